@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import quality_rules, secret_scan
 from .common import table
 
 
@@ -19,5 +19,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op6_quality_rules": op6_quality_rules}
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in secret_scan.KINDS], F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"), secret_scan.listed(F.col("found")).alias("spans"))
+
+
+QUERIES = {"op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules}
 ORACLES: dict[str, str] = {}
