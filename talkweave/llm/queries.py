@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, secret_scan
+from . import quality_rules, secret_scan, simhash
 from .common import table
 
 
@@ -25,5 +25,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in secret_scan.KINDS], F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"), secret_scan.listed(F.col("found")).alias("spans"))
 
 
-QUERIES = {"op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+QUERIES = {"op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op10_simhash": op10_simhash}
 ORACLES: dict[str, str] = {}
