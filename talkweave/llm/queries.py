@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, secret_scan, simhash
+from . import decontaminate, quality_rules, secret_scan, simhash
 from .common import table
 
 
@@ -25,10 +25,16 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in secret_scan.KINDS], F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"), secret_scan.listed(F.col("found")).alias("spans"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), slop=4)
+    n = F.size("items").cast("bigint")
+    return found.select("doc_id", "n_words", "n_hit", n.alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n >= decontaminate.LEAST_ITEMS).alias("contaminated"), F.size("near_items").cast("bigint").alias("n_near_items"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {"op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op10_simhash": op10_simhash}
+QUERIES = {"op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash}
 ORACLES: dict[str, str] = {}
