@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules, secret_scan, simhash
+import corpus_pipeline
+
+from . import decontaminate, mixing, quality_rules, secret_scan, simhash
 from .common import table
 
 
@@ -19,6 +21,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.replicated(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
@@ -36,5 +42,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {"op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash}
+QUERIES = {"op3_mixing": op3_mixing, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}

@@ -206,3 +206,17 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
         return F.struct(F.concat(a["out"], F.coalesce(gap, first, F.lit(""))).alias("out"), F.greatest(a["at"], s["end"]).alias("at"))
 
     return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+
+
+def cleaned(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with secrets redacted and ``n_chars``, where there is one, set to the new length.
+
+    The thresholds come from a first pass over the texts, which stages only scores; the second pass finds the spans
+    again beside the text, so that texts are never shuffled.
+    """
+    t = F.coalesce(F.col(text), F.lit(""))
+    limits = thresholds(staged(docs.select(let(t, lambda t: _candidates(t, base_spans(t))).alias("candidates")), "secret-scores"))
+    found = let(t, lambda t: let(base_spans(t), lambda b: all_spans(b, _candidates(t, b), limits)))
+    clean = F.when(F.col(text).isNotNull(), let(F.struct(t.alias("t"), found.alias("s")), lambda x: F.when(F.size(x["s"]) == 0, x["t"]).otherwise(redacted(x["t"], x["s"]))))
+    sized = {"n_chars": F.coalesce(F.length(text).cast("bigint"), F.lit(0).cast("bigint"))} if "n_chars" in docs.columns else {}
+    return docs.withColumn(text, clean).withColumns(sized).select(*[f"`{c}`" for c in docs.columns])
