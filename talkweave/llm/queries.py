@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, mixing, quality_rules, secret_scan, simhash
-from .common import table
+from . import decontaminate, language_id, mixing, quality_rules, secret_scan, simhash, token_counts
+from .common import remainder, shared_folder, table
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +23,19 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs, remainder(F.col("doc_id"), 4) != 2)
+    found = language_id.predictions(docs, model)
+    return found.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_counts.counted(docs, f"{shared_folder(spark)}/token-cache-{uuid.uuid4().hex}")
+    return found.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicated(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
@@ -42,5 +57,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
+QUERIES = {"op1_language_id": op1_language_id, "op3_mixing": op3_mixing, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op8_token_counts": op8_token_counts, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
