@@ -55,9 +55,11 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, tempe
     else:
         named = F.map_from_arrays(F.array(*[F.lit("" if k is None else f"={k}") for k in weights]), F.array(*[F.lit(float(v)) for v in weights.values()]))
         wanted = sizes.withColumn("weight", F.coalesce(F.try_element_at(named, F.col(KEY)), F.lit(0.0)))
-    total = wanted.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    rate = F.when((F.col("size") > 0) & (F.col("all_weight") > 0), F.col("weight") / F.col("all_weight") * F.col("all_size") / F.col("size")).otherwise(F.lit(0.0))
-    return wanted.join(F.broadcast(total)).select(KEY, rate.alias("rate"))  # the other side is one row
+    total = wanted.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()
+    if not (total["size"] and total["weight"]):
+        return wanted.select(KEY, F.lit(0.0).alias("rate"))
+    rate = F.when(F.col("size") > 0, F.col("weight") / F.lit(total["weight"]) * F.lit(total["size"]) / F.col("size")).otherwise(F.lit(0.0))
+    return wanted.select(KEY, rate.alias("rate"))
 
 
 def replicated(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: int = SEED, temperature: float = TEMPERATURE) -> DataFrame:
