@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, token_counts
+from . import decontaminate, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, suffix_lm, token_counts
 from .common import remainder, shared_folder, table
 
 
@@ -37,6 +37,12 @@ def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_lm.scored(docs, remainder(F.col("doc_id"), 7) != 2)
+    return found.select("doc_id", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = token_counts.counted(docs, f"{shared_folder(spark)}/token-cache-{uuid.uuid4().hex}")
@@ -64,5 +70,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op3_mixing": op3_mixing, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op5_quality_model": op5_quality_model, "op8_token_counts": op8_token_counts, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
+QUERIES = {"op1_language_id": op1_language_id, "op3_mixing": op3_mixing, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op5_quality_model": op5_quality_model, "op7_suffix_lm": op7_suffix_lm, "op8_token_counts": op8_token_counts, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
