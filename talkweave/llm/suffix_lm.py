@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 
 from .common import staged, utf8
 
-DEPTH = 4
-P_MIN, DIVERGENCE, SMOOTH = 1e-5, 20.0, 4.0
+DEPTH = 5
+P_MIN, DIVERGENCE, SMOOTH = 1e-6, 20.0, 4.0
 HEAD = 500_000
-#: Texts are counted and scored in chunks of about so many bytes, and words are passed on at so many distinct ones.
-CHUNK, DISTINCT = 8 << 20, 400_000
+#: Texts are counted and scored in chunks of about so many bytes; partial counts are passed on at so many distinct
+#: words and byte strings.
+CHUNK, DISTINCT_WORDS, DISTINCT_GRAMS = 8 << 20, 400_000, 2_000_000
 
 END = b"\n"
 _PAD = END * DEPTH
@@ -83,9 +84,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, n = np.unique(_codes(docs)[0], return_counts=True)
         grams, back = np.unique(np.concatenate((grams, g)), return_inverse=True)
         counts = np.bincount(back, np.concatenate((counts, n)), len(grams)).astype(np.int64)
-        if len(words) > DISTINCT:
+        if len(words) > DISTINCT_WORDS:
             yield from passed()
-        if len(grams) > DISTINCT:
+        if len(grams) > DISTINCT_GRAMS:
             yield pa.record_batch([pa.nulls(len(grams), pa.binary()), pa.array(grams.view(np.int64)), pa.array(counts)], names=["word", "gram", "n"])
             grams, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     yield from passed()
