@@ -110,8 +110,10 @@ def counted(docs: DataFrame, cache_path: str, tokenizer: str = "word_bpe_49k.jso
     known = _stored(spark, cache_path, version)
     if known is None:  # no rows at all
         known = spark.createDataFrame([], "digest binary, n_tokens bigint")
-    # two runs that append at once may both store a digest: equal counts, so either will do
-    return keyed.join(known.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "digest").select("doc_id", "n_bytes", "n_tokens")
+    # two runs that append at once may both store a digest: equal counts, so either will do. Staged before the join,
+    # which adaptive execution can then split where one digest has many documents
+    once_each = staged(known.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "known-counts")
+    return keyed.join(once_each, "digest").select("doc_id", "n_bytes", "n_tokens")
 
 
 def _stored(spark, cache_path: str, version: str) -> DataFrame | None:
