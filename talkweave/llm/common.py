@@ -28,8 +28,13 @@ def shared_folder(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read again: its lineage ends there."""
+def staged(df: DataFrame, name: str, one_in: int = 1) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read again: its lineage ends there.
+
+    ``one_in``: for tables much smaller than the texts, one file for so many of the session's shuffle partitions.
+    """
+    if one_in > 1:
+        df = df.coalesce(max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // one_in))
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from .common import staged
 
 
+#: Edges are few beside what they were found in: one file for so many shuffle partitions.
+SMALL = 16
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the least of the node and its neighbours."""
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -33,11 +37,11 @@ def connected(edges: DataFrame) -> DataFrame:
     Only nodes with an edge to another node appear. Null ends, loops and repeated edges have no effect; an empty
     table gives an empty one.
     """
-    e = staged(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    e = staged(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", SMALL)
     before = None
     while True:
         now = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == before or not now["n"]:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         before = now
-        e = staged(_small_star(_large_star(e)), "edges")
+        e = staged(_small_star(_large_star(e)), "edges", SMALL)

@@ -178,7 +178,7 @@ def links(distinct: DataFrame, n_distinct: int, radius: int = RADIUS) -> DataFra
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(``doc_id``, ``fp``, ``component``) for every row: the least id reachable over links, itself included."""
     fps = staged(fingerprints(docs, doc_id, text), "fingerprints")
-    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints")
+    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints", 8)
     named = distinct.filter(F.col("rep").isNotNull())
     comps = connected(links(named, named.count(), radius))
     classes = distinct.join(comps, distinct["rep"] == comps["node"], "left").select("fp", F.coalesce("component", "rep").alias("component"))
