@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, suffix_lm, token_counts
+from . import decontaminate, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, suffix_lm, token_counts, url_filters
 from .common import remainder, shared_folder, table
 
 
@@ -43,6 +43,10 @@ def op7_suffix_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judged(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = token_counts.counted(docs, f"{shared_folder(spark)}/token-cache-{uuid.uuid4().hex}")
@@ -70,5 +74,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op3_mixing": op3_mixing, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op5_quality_model": op5_quality_model, "op7_suffix_lm": op7_suffix_lm, "op8_token_counts": op8_token_counts, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
+QUERIES = {"op1_language_id": op1_language_id, "op2_url_filters": op2_url_filters, "op3_mixing": op3_mixing, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op5_quality_model": op5_quality_model, "op7_suffix_lm": op7_suffix_lm, "op8_token_counts": op8_token_counts, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}
