@@ -132,8 +132,8 @@ def fit(docs: DataFrame, learn_from: Column, sample: int = SAMPLE) -> Model:
     share = sample / max(1, len(sizes))
     rates = F.map_from_arrays(F.array(*map(F.lit, sizes)), F.array(*[F.lit(min(1.0, share / n)) for n in sizes.values()])) if sizes else F.lit(None)
     drawn = rows.filter((F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)) < F.element_at(rates, F.col("lang"))) if sizes else rows
-    got = drawn.select("lang", "text").mapInArrow(_vectors, "lang string, at binary, count binary").limit(2 * sample).toPandas()
-    found = sorted(zip(got["lang"], got["at"], got["count"], strict=True))  # the order of arrival doesn't matter
+    got = drawn.select("lang", "text").mapInArrow(_vectors, "lang string, at binary, count binary").limit(2 * sample).toArrow()
+    found = sorted(zip(*(got[c].to_pylist() for c in ("lang", "at", "count")), strict=True))  # the order of arrival doesn't matter
     return train([(a, np.frombuffer(b, np.int32), np.frombuffer(c, np.int32)) for a, b, c in found], idf)
 
 

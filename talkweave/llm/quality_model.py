@@ -96,8 +96,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20) < rate).limit(2 * sample)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull())
     rows = texts.join(F.broadcast(drawn), "doc_id").select("quality", "text")  # at most 2 * sample rows
-    got = rows.mapInArrow(_vectors, "quality int, at binary, share binary").limit(4 * sample).toPandas()
-    found = sorted(zip(got["quality"], got["at"], got["share"], strict=True))  # the order of arrival doesn't matter
+    got = rows.mapInArrow(_vectors, "quality int, at binary, share binary").limit(4 * sample).toArrow()
+    found = sorted(zip(*(got[c].to_pylist() for c in ("quality", "at", "share")), strict=True))  # the order of arrival doesn't matter
     if len({r[0] for r in found}) < 2:
         return Model(np.zeros(1 << BITS, np.float32), 0.0)
     return train([(a, np.frombuffer(b, np.int32), np.frombuffer(c, np.float32)) for a, b, c in found])

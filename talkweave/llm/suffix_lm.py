@@ -121,35 +121,25 @@ def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.n
     return np.where(keys[at] == wanted, values[at], 0)
 
 
-def _low(c: Column, n_bytes: int) -> Column:
-    return c.bitwiseAND((1 << 8 * n_bytes) - 1)
-
-
 def tree(grams: DataFrame) -> Tree:
     """The tree from (``gram``, ``n``). Only strings of retained states reach the driver."""
-    total = grams.agg(F.sum("n")).first()[0] or 0
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col("gram").bitwiseAND((1 << 8 * (d + 1)) - 1).alias("s")) for d in range(DEPTH + 1)]))
+    strings = staged(grams.select(each.alias("x"), "n").groupBy("x.d", "x.s").agg(F.sum("n").alias("n")), "strings", 4).withColumn("c", F.shiftright("s", 8))
+    contexts = strings.groupBy("d", "c").agg(F.sum("n").alias("of"))
+    known = staged(strings.join(contexts, ["d", "c"]), "contexts", 4)
+    total = known.filter("d = 0").agg(F.max("of")).first()[0] or 0
+    shorter = known.select((F.col("d") + 1).alias("d"), F.col("s").alias("suffix"), F.col("n").alias("suffix_n"), F.col("of").alias("suffix_of"))
+    frequent = known.filter((F.col("d") > 0) & (F.col("of") >= P_MIN * total)).withColumn("suffix", F.col("s").bitwiseAND(F.expr("shiftleft(1L, 8 * d) - 1")))
+    gain = F.col("n") * (F.log(F.col("n") / F.col("of")) - F.log(F.col("suffix_n") / F.col("suffix_of")))
+    states = frequent.join(shorter, ["d", "suffix"]).groupBy("d", "c").agg(F.sum(gain).alias("gain")).filter(F.col("gain") >= DIVERGENCE).select("d", "c")
+    kept = known.filter("d > 0").join(states, ["d", "c"], "left_semi").select("d", "s", "n").unionByName(known.filter("d = 0").select("d", "s", "n"))
+    rows = kept.toArrow()
+    depth, string, count = (rows[c].to_numpy() for c in ("d", "s", "n"))
     out = Tree()
-    if not total:
-        return out
-    kept: DataFrame | None = None
-    for d in range(DEPTH + 1):
-        strings = grams.groupBy(_low(F.col("gram"), d + 1).alias("s")).agg(F.sum("n").alias("n"))
-        if d == 0:
-            level = strings.select(F.lit(0).alias("d"), "s", "n")
-        else:
-            of_context = strings.groupBy(F.shiftright("s", 8).alias("c")).agg(F.sum("n").alias("of")).filter(F.col("of") >= P_MIN * total)
-            mine = strings.withColumn("c", F.shiftright("s", 8)).join(of_context, "c")
-            parents = grams.groupBy(_low(F.col("gram"), d).alias("ps")).agg(F.sum("n").alias("pn"))
-            totals = parents.groupBy(F.shiftright("ps", 8).alias("pc")).agg(F.sum("pn").alias("pof"))
-            both = mine.withColumn("ps", _low(F.col("s"), d)).join(parents, "ps").withColumn("pc", F.shiftright("ps", 8)).join(totals, "pc")
-            gain = F.col("n") * (F.log(F.col("n") / F.col("of")) - F.log(F.col("pn") / F.col("pof")))
-            states = both.groupBy("c").agg(F.sum(gain).alias("gain")).filter(F.col("gain") >= DIVERGENCE).select("c")
-            level = mine.join(states, "c", "left_semi").select(F.lit(d).alias("d"), "s", "n")
-        kept = level if kept is None else kept.unionByName(level)
-    rows = kept.toPandas()
-    for d in range(DEPTH + 1):
-        own = rows[rows["d"] == d].sort_values("s")
-        s, n = own["s"].to_numpy().astype(np.uint64), own["n"].to_numpy(np.float64)
+    for d in range(DEPTH + 1 if total else 0):
+        s, n = string[depth == d].astype(np.uint64), count[depth == d].astype(np.float64)
+        order = np.argsort(s)
+        s, n = s[order], n[order]
         states, back = np.unique(s >> np.uint64(8), return_inverse=True)
         out.strings.append(s)
         out.counts.append(n)
@@ -206,8 +196,8 @@ def scored(docs: DataFrame, learn_from: Column) -> DataFrame:
     sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = sums["n"] or 0, sums["v"]
     least = max(1, -(-n // HEAD))  # rounded up: at most HEAD words reach it
-    top = words.filter(F.col("n") >= least).toPandas()
-    head = spark.sparkContext.broadcast(dict(zip(map(bytes, top["word"]), np.log10(top["n"].to_numpy() + 1.0).tolist(), strict=True)))
+    top = words.filter(F.col("n") >= least).toArrow()
+    head = spark.sparkContext.broadcast(dict(zip(top["word"].to_pylist(), np.log10(top["n"].to_numpy() + 1.0).tolist(), strict=True)))
     model = spark.sparkContext.broadcast(tree(grams))
     schema = f"doc_id {kind}, part bigint, place bigint, n_tokens bigint, head_known bigint, head_sum double, rest array<binary>, times array<bigint>, score double"
     rows = staged(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_scorer(head, model), schema), "scored")
