@@ -65,7 +65,7 @@ def transcripts(chunks: DataFrame, found: DataFrame, min_chunk_duration_sec: flo
 def report(chunks: DataFrame, texts: DataFrame, batch_size: int = 8, orchestration_batch_size: int = 64, min_chunk_duration_sec: float = 0.25) -> DataFrame:
     """One row per call, without the clock's columns: counts, coverage, characters a second, batches."""
     rows = with_eligibility(chunks.select("call_id", "idx", "start", "end"), min_chunk_duration_sec).join(texts.select("call_id", "idx", "raw_text", "status"), ["call_id", "idx"], "left")
-    e, ok, size = F.col("eligible"), F.col("status") == "ok", batch_size_of(batch_size, orchestration_batch_size)
+    e, ok, size = F.col("eligible"), F.coalesce(F.col("status") == "ok", F.lit(False)), batch_size_of(batch_size, orchestration_batch_size)
     n = F.length(T.strip(F.col("raw_text")))
     g = rows.groupBy("call_id").agg(
         F.count(F.lit(1)).alias("total_chunks"), F.count_if(e).alias("eligible_chunks"), F.count_if(e & ok).alias("processed_chunks"), F.count_if(~e).alias("skipped_short_chunks"), F.count_if(e & ~ok).alias("failed_chunks"),

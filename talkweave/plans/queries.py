@@ -18,7 +18,8 @@ def joined(c: str, name: str | None = None) -> Column:
     return F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(name or c)
 
 
-TIMES = (r6("start", "start_sec"), r6("end", "end_sec"))
+def times() -> tuple[Column, Column]:
+    return r6("start", "start_sec"), r6("end", "end_sec")
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,15 +66,15 @@ GIVEN = (
 
 
 def valid_segments(spark: SparkSession, sf: str) -> DataFrame:
-    return intervals.valid(_segments(spark, sf)).select("call_id", "ordinal", "speaker", *TIMES)
+    return intervals.valid(_segments(spark, sf)).select("call_id", "ordinal", "speaker", *times())
 
 
 def reindex_segments(spark: SparkSession, sf: str) -> DataFrame:
-    return intervals.reindexed(_events(spark, sf)).select("call_id", "ordinal", "idx", "speaker", *TIMES)
+    return intervals.reindexed(_events(spark, sf)).select("call_id", "ordinal", "idx", "speaker", *times())
 
 
 def clip_segments(spark: SparkSession, sf: str) -> DataFrame:
-    return intervals.clipped(_events(spark, sf)).select("call_id", "ordinal", "speaker", *TIMES)
+    return intervals.clipped(_events(spark, sf)).select("call_id", "ordinal", "speaker", *times())
 
 
 def _merged(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,24 +82,24 @@ def _merged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_same_speaker(spark: SparkSession, sf: str) -> DataFrame:
-    return _merged(spark, sf).select("call_id", "speaker", *TIMES, joined("source_indices"), joined("merge_reasons"), "n_merged")
+    return _merged(spark, sf).select("call_id", "speaker", *times(), joined("source_indices"), joined("merge_reasons"), "n_merged")
 
 
 def pad_segments(spark: SparkSession, sf: str) -> DataFrame:
-    return intervals.padded(_merged(spark, sf), 60).select("call_id", "speaker", *TIMES, joined("source_indices"))
+    return intervals.padded(_merged(spark, sf), 60).select("call_id", "speaker", *times(), joined("source_indices"))
 
 
 def absorb_short(spark: SparkSession, sf: str) -> DataFrame:
-    return intervals.absorbed(_merged(spark, sf), 450, 220).select("call_id", "speaker", *TIMES, joined("source_indices"), joined("merge_reasons"), "n_absorbed")
+    return intervals.absorbed(_merged(spark, sf), 450, 220).select("call_id", "speaker", *times(), joined("source_indices"), joined("merge_reasons"), "n_absorbed")
 
 
 def resolve_overlaps(spark: SparkSession, sf: str) -> DataFrame:
     rows = intervals.resolved(intervals.padded(_merged(spark, sf), 60), 450)
-    return intervals.valid(rows).select("call_id", "speaker", *TIMES)
+    return intervals.valid(rows).select("call_id", "speaker", *times())
 
 
 def merge_groups(spark: SparkSession, sf: str) -> DataFrame:
-    return intervals.groups(intervals.resolved_entries(_events(spark, sf))).select("call_id", "output_index", "speaker", *TIMES, r6("duration_sec"), joined("source_indices"), joined("merge_reasons"))
+    return intervals.groups(intervals.resolved_entries(_events(spark, sf))).select("call_id", "output_index", "speaker", *times(), r6("duration_sec"), joined("source_indices"), joined("merge_reasons"))
 
 
 def postprocess_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,7 +135,7 @@ def nearest_rank_percentile(spark: SparkSession, sf: str) -> DataFrame:
 
 def merge_transcript(spark: SparkSession, sf: str) -> DataFrame:
     rows = transcript.assembled(_chunks(spark, sf).drop("raw_text", "asr_status"), _transcripts(spark, sf))
-    return rows.select("call_id", "idx", "speaker", *TIMES, "raw_text", "asr_status", "chunk_path")
+    return rows.select("call_id", "idx", "speaker", *times(), "raw_text", "asr_status", "chunk_path")
 
 
 def _quality(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,11 +166,11 @@ def cleanup_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_segments(spark: SparkSession, sf: str) -> DataFrame:
-    return transcript.deduplicated(transcript.filtered(_segments(spark, sf))).select("call_id", "ordinal", "speaker", *TIMES)
+    return transcript.deduplicated(transcript.filtered(_segments(spark, sf))).select("call_id", "ordinal", "speaker", *times())
 
 
 def clip_overlaps(spark: SparkSession, sf: str) -> DataFrame:
-    return intervals.midpoint_clipped(_events(spark, sf)).select("call_id", "ordinal", *TIMES, "conflict")
+    return intervals.midpoint_clipped(_events(spark, sf)).select("call_id", "ordinal", *times(), "conflict")
 
 
 def cleanup_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -182,7 +183,7 @@ def _windowed(spark: SparkSession, sf: str) -> DataFrame:
 
 def semantic_windows(spark: SparkSession, sf: str) -> DataFrame:
     w = windows.built(_windowed(spark, sf))
-    return w.select("call_id", "window_index", joined("segment_positions"), *TIMES, r6("duration_sec"), joined("speakers"), "segments_count", "chars_count", F.array_join("texts", "|").alias("texts"))
+    return w.select("call_id", "window_index", joined("segment_positions"), *times(), r6("duration_sec"), joined("speakers"), "segments_count", "chars_count", F.array_join("texts", "|").alias("texts"))
 
 
 def semantic_window_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -231,7 +232,7 @@ def dominant_language(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_drift(spark: SparkSession, sf: str) -> DataFrame:
-    other = F.when(F.col("text_id") % 3 == 0, F.concat(F.col("text"), F.lit(" extra"))).otherwise(F.upper("text"))
+    other = F.when(F.col("text_id") % 3 == 0, F.concat(F.col("text"), F.lit(" extra"))).otherwise(F.lower("text"))
     return _texts(spark, sf).select("text_id", T.drifted(F.col("text"), other).alias("drift"))
 
 
