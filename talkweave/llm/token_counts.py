@@ -28,6 +28,8 @@ from .common import WHITE, staged
 LIMIT = 2048
 #: Texts and bytes that are handed to the library at once.
 AT_ONCE, BYTES_AT_ONCE = 256, 4 << 20
+#: Chunks of text whose counts a task remembers.
+CHUNKS = 400_000
 DROPS_SPACE = ("word_bpe_49k.json",)
 
 
@@ -68,9 +70,29 @@ def _first_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield b.filter(pa.array(new, pa.bool_()))
 
 
-def _counter(path: str):
+class ByChunk:
+    """Counts of texts as sums over their chunks between spaces, each distinct chunk encoded once.
+
+    For tokenizers that drop white space before they split, no token, normal form or special token spans a space, so
+    the count of a text is the sum of those of its chunks. The memory is bounded: at ``CHUNKS`` it starts anew.
+    """
+
+    def __init__(self, counts: Callable[[list[str]], list[int]]):
+        self.counts, self.known = counts, {}
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        split = [t.split(" ") for t in texts]
+        if len(self.known) > CHUNKS:
+            self.known.clear()
+        known = self.known
+        new = list({c for s in split for c in s if c not in known})
+        known.update(zip(new, self.counts(new), strict=True))
+        return [sum(map(known.__getitem__, s)) for s in split]
+
+
+def _counter(path: str, by_chunk: bool):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = encoder(path)
+        counts = ByChunk(encoder(path)) if by_chunk else encoder(path)
         for b in batches:
             out, part, size = [], [], 0
             for t in b.column(1).to_pylist():
@@ -105,7 +127,7 @@ def counted(docs: DataFrame, cache_path: str, tokenizer: str = "word_bpe_49k.jso
         texts = texts.join(stored, "digest", "left_anti")
     once = "digest binary, content string"
     misses = texts.mapInArrow(_first_in_task, once).repartition("digest").mapInArrow(_first_in_task, once)
-    counts = misses.mapInArrow(_counter(path), "digest binary, n_tokens bigint")
+    counts = misses.mapInArrow(_counter(path, tokenizer in DROPS_SPACE), "digest binary, n_tokens bigint")
     counts.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(cache_path)
     known = _stored(spark, cache_path, version)
     if known is None:  # no rows at all
