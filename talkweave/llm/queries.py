@@ -11,6 +11,7 @@ import corpus_pipeline
 
 from . import decontaminate, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, suffix_lm, token_counts, url_filters
 from .common import remainder, shared_folder, table
+from .oracles import ORACLES
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,4 +76,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_language_id": op1_language_id, "op2_url_filters": op2_url_filters, "op3_mixing": op3_mixing, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op5_quality_model": op5_quality_model, "op7_suffix_lm": op7_suffix_lm, "op8_token_counts": op8_token_counts, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
