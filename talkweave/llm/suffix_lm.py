@@ -6,7 +6,9 @@ texts to learn from; the counts of shorter ones are their sums. A context become
 ``P_MIN`` of all places (so each depth has at most ``1 / P_MIN``) and if its next-byte distribution diverges from
 that of the context one byte shorter: by a log-likelihood of at least ``DIVERGENCE`` nats over all its occurrences.
 A state's distribution is smoothed by that of its longest suffix among the states, down to a uniform one at the root.
-A byte is scored by the longest suffix that is a state; a text's score is the sum of the log10 probabilities.
+A byte is scored by the longest suffix that is a state, and a token by the product over its bytes. The tree spells
+words that it hasn't seen, but is poor at whole frequent words, so a token's probability is the even mixture of the
+tree's and the smoothed unigram's; a text's score is the sum of the tokens' log10 probabilities.
 
 Unigram counts are exact over all words. Those that make up at least ``1 / HEAD`` of all tokens, at most ``HEAD``
 words, are broadcast; the rest of each document's words, once per document, are joined to their counts.
@@ -172,43 +174,64 @@ def tree(grams: DataFrame) -> Tree:
     return out
 
 
-def _scorer(head, model):
+class Head(dict):
+    """Counts plus one of frequent words; 0 for all others."""
+
+    def __missing__(self, _: bytes) -> float:
+        return 0.0
+
+
+def token_scores(tree_: Tree, docs: list[list[bytes]]) -> np.ndarray:
+    """The tree's log10 probability of every token of the texts in order, each text's end included.
+
+    A word's bytes are its own and the space before it, if there is one.
+    """
+    codes, starts = _codes(docs)
+    distinct, _ = np.unique(codes, return_counts=True)  # with counts numpy takes its faster way
+    symbol = codes & np.uint64(255)
+    first = (symbol == 32) | (symbol == END[0])
+    first[starts] = True
+    return np.add.reduceat(tree_.log10(distinct)[_places(distinct, codes)], np.nonzero(first)[0])
+
+
+def _scorer(head, model, total: float):
+    """``total`` is the unigrams' denominator."""
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, m = head.value, model.value
         part, place = int.from_bytes(os.urandom(8), "little", signed=True), 0
         for b in batches:
             first = 0
             for docs in _chunks(utf8(b.column(1))):
-                codes, starts = _codes(docs)
-                distinct, _ = np.unique(codes, return_counts=True)  # with counts numpy takes its faster way
-                scores = np.add.reduceat(m.log10(distinct)[_places(distinct, codes)], starts)
-                rows = []
-                for d in docs:
-                    counts = Counter(d)
-                    counts[b""] = 1
-                    total, n_known, rest, times = 0.0, 0, [], []
-                    for w, n in counts.items():
-                        v = known.get(w)
-                        if v is None:
-                            rest.append(w)
-                            times.append(n)
-                        else:
-                            total += n * v
-                            n_known += n
-                    rows.append((len(d) + 1, n_known, total, rest, times))
-                cols = list(zip(*rows, strict=True))
-                ids = b.column(0).slice(first, len(docs))
-                first += len(docs)
+                lp = token_scores(model.value, docs)
+                tokens = [w for d in docs for w in (*d, b"")]
+                n = np.fromiter((len(d) + 1 for d in docs), np.int64, len(docs))
+                starts = np.cumsum(n) - n
+                counts = np.fromiter(map(head.value.__getitem__, tokens), np.float64, len(tokens))
+                known = counts > 0
+                plain = np.where(known, np.log10(np.maximum(counts, 1.0)), 0.0)
+                mixed = np.where(known, mixture(counts / total, lp), 0.0)
+                rest, scores = [], []
+                left = np.nonzero(~known)[0]
+                for own in np.split(left, np.searchsorted(left, starts[1:])):
+                    of: dict[bytes, list[float]] = {}
+                    for k, x in zip(own.tolist(), lp[own].tolist(), strict=True):
+                        of.setdefault(tokens[k], []).append(x)
+                    rest.append(list(of))
+                    scores.append(list(of.values()))
+                sums = (np.add.reduceat(x, starts) for x in (known.astype(np.int64), plain, mixed))
                 yield pa.record_batch(
-                    [ids, pa.array([part] * len(docs), pa.int64()), pa.array(range(place, place + len(docs)), pa.int64()), *(pa.array(c, k) for c, k in zip(cols, KINDS, strict=True)), pa.array(scores)],
-                    names=["doc_id", "part", "place", "n_tokens", "head_known", "head_sum", "rest", "times", "score"],
+                    [b.column(0).slice(first, len(docs)), pa.array([part] * len(docs), pa.int64()), pa.array(range(place, place + len(docs)), pa.int64()), pa.array(n), *map(pa.array, sums), pa.array(rest, pa.list_(pa.binary())), pa.array(scores, pa.list_(pa.list_(pa.float32())))],
+                    names=["doc_id", "part", "place", "n_tokens", "head_known", "head_base", "head_score", "rest", "rest_scores"],
                 )
+                first += len(docs)
                 place += len(docs)
 
     return score
 
 
-KINDS = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+def mixture(unigram: np.ndarray, tree_log10: np.ndarray) -> np.ndarray:
+    """log10 of the even mixture of a unigram's and the tree's probability of a token."""
+    return np.log10(0.5 * unigram + 0.5 * 10.0**tree_log10)
 
 
 def scored(docs: DataFrame, learn_from: Column) -> DataFrame:
@@ -219,14 +242,20 @@ def scored(docs: DataFrame, learn_from: Column) -> DataFrame:
     words, grams = counts.filter(F.col("word").isNotNull()).select("word", "n"), counts.filter(F.col("gram").isNotNull()).select("gram", "n")
     sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = sums["n"] or 0, sums["v"]
+    total = float(n + v + 1)
     least = max(1, -(-n // HEAD))  # rounded up: at most HEAD words reach it
     top = words.filter(F.col("n") >= least).toArrow()
-    head = spark.sparkContext.broadcast(dict(zip(top["word"].to_pylist(), np.log10(top["n"].to_numpy() + 1.0).tolist(), strict=True)))
+    head = spark.sparkContext.broadcast(Head(zip(top["word"].to_pylist(), (top["n"].to_numpy() + 1.0).tolist(), strict=True)))
     model = spark.sparkContext.broadcast(tree(grams))
-    schema = f"doc_id {kind}, part bigint, place bigint, n_tokens bigint, head_known bigint, head_sum double, rest array<binary>, times array<bigint>, score double"
-    rows = staged(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_scorer(head, model), schema), "scored")
-    tail = rows.select("part", "place", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("part", "place", F.col("x.rest").alias("word"), F.col("x.times").alias("times"))
-    of = tail.join(words.filter(F.col("n") < least), "word").groupBy("part", "place").agg(F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("sum"))
-    out = rows.drop("rest", "times").join(of, ["part", "place"], "left")
-    base = F.col("head_sum") + F.coalesce("sum", F.lit(0.0)) - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
-    return out.select("doc_id", "n_tokens", (F.col("head_known") + F.coalesce("known", F.lit(0).cast("bigint"))).alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score")
+    schema = f"doc_id {kind}, part bigint, place bigint, n_tokens bigint, head_known bigint, head_base double, head_score double, rest array<binary>, rest_scores array<array<float>>"
+    rows = staged(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_scorer(head, model, total), schema), "scored")
+    tail = rows.select("part", "place", F.explode(F.arrays_zip("rest", "rest_scores")).alias("x")).select("part", "place", F.col("x.rest").alias("word"), F.col("x.rest_scores").alias("lp"))
+    found = tail.join(words.filter(F.col("n") < least), "word", "left")
+    c, times = F.coalesce("n", F.lit(0).cast("bigint")), F.size("lp").cast("bigint")
+    unigram = (c + 1) / F.lit(total)
+    own = F.aggregate("lp", F.lit(0.0), lambda a, x: a + F.log10(0.5 * unigram + 0.5 * F.pow(F.lit(10.0), x.cast("double"))))
+    of = found.groupBy("part", "place").agg(F.sum(F.when(c > 0, times).otherwise(F.lit(0).cast("bigint"))).alias("known"), F.sum(times * F.log10(c + 1.0)).alias("base"), F.sum(own).alias("own"))
+    out = rows.drop("rest", "rest_scores").join(of, ["part", "place"], "left")
+    zero = F.lit(0.0)
+    base = F.col("head_base") + F.coalesce("base", zero) - F.col("n_tokens") * F.log10(F.lit(total))
+    return out.select("doc_id", "n_tokens", (F.col("head_known") + F.coalesce("known", F.lit(0).cast("bigint"))).alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"), base.alias("base_score"), (F.col("head_score") + F.coalesce("own", zero)).alias("score"))
