@@ -12,6 +12,7 @@ from talkweave.plans import queries as plans
 ORACLE = """
 import sys, json, duckdb
 con = duckdb.connect()
+con.execute("SET enable_progress_bar = false")
 for t in "documents embeddings pages benchmark labels conversations events".split():
     con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sys.argv[1]}/{t}.parquet'")
 out = {}
