@@ -36,8 +36,8 @@ DEPTH = 5
 P_MIN, DIVERGENCE, SMOOTH = 1e-6, 20.0, 4.0
 HEAD = 500_000
 #: Texts are counted and scored in chunks of about so many bytes; partial counts are passed on at so many distinct
-#: words and byte strings.
-CHUNK, DISTINCT_WORDS, DISTINCT_GRAMS = 8 << 20, 400_000, 2_000_000
+#: words, or when so many byte strings have come together and half as many are distinct.
+CHUNK, DISTINCT_WORDS, DISTINCT_GRAMS = 2 << 20, 400_000, 1_500_000
 
 END = b"\n"
 _PAD = END * DEPTH
@@ -113,7 +113,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(words) > DISTINCT_WORDS:
             yield of_words()
         if sum(len(g) for g, _ in parts) > DISTINCT_GRAMS:
-            yield of_grams()
+            parts[:] = [_summed(parts)]
+            if len(parts[0][0]) > DISTINCT_GRAMS // 2:
+                yield of_grams()
     if words:
         yield of_words()
     if parts:
