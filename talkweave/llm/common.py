@@ -28,8 +28,8 @@ def shared_folder(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
 
 
-def staged(df: DataFrame, name: str, one_in: int = 1) -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read again: its lineage ends there.
+def written(df: DataFrame, name: str, one_in: int = 1) -> tuple[DataFrame, str]:
+    """``df`` as Parquet in a new folder of the shared folder, read again, and that folder.
 
     ``one_in``: for tables much smaller than the texts, one file for so many of the session's shuffle partitions.
     """
@@ -37,7 +37,18 @@ def staged(df: DataFrame, name: str, one_in: int = 1) -> DataFrame:
         df = df.coalesce(max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // one_in))
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame, name: str, one_in: int = 1) -> DataFrame:
+    """``df`` written to the shared folder and read again: its lineage ends there, and a lost executor costs no more than what came after."""
+    return written(df, name, one_in)[0]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that ``written`` made and that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def let(value: Column, body) -> Column:

@@ -2,7 +2,8 @@
 
 Nothing but convergence counts reaches the driver. A star's centre may have any number of neighbours: minima are
 aggregated before the shuffle, and the join that brings them back can be split by adaptive execution, as its other
-side has one row per node. Each round is staged in the shared folder, so that a lost executor costs one round.
+side has one row per node. Each round is written to the shared folder, so that a lost executor costs
+one round, and the round before is deleted.
 """
 
 from __future__ import annotations
@@ -10,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
-
+from .common import removed, written
 
 #: Edges are few beside what they were found in: one file for so many shuffle partitions.
 SMALL = 16
@@ -37,11 +37,12 @@ def connected(edges: DataFrame) -> DataFrame:
     Only nodes with an edge to another node appear. Null ends, loops and repeated edges have no effect; an empty
     table gives an empty one.
     """
-    e = staged(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", SMALL)
+    e, path = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges", SMALL)
     before = None
     while True:
         now = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == before or not now["n"]:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = now
-        e = staged(_small_star(_large_star(e)), "edges", SMALL)
+        before, last = now, path
+        e, path = written(_small_star(_large_star(e)), "edges", SMALL)
+        removed(edges.sparkSession, last)
