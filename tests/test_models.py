@@ -164,3 +164,13 @@ def test_stream(spark, tmp_path):
     q.awaitTermination(60)
     r = spark.table("rates").first()
     assert (r.segments, r.low, r.low_ratio) == (2, 1, 0.5)
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    from talkweave.__main__ import main
+
+    providers.register("echo", Echo)
+    (tmp_path / "in.json").write_text('{"call_id":1,"ordinal":0,"idx":0,"speaker":"A","start":0.0,"end":2.0}\n')
+    main([f"{tmp_path}/in.json", "--artifacts-root", f"{tmp_path}/out", "--recognizer", "echo"])
+    where = capsys.readouterr().out.strip()
+    assert spark.read.json(where).first()["metrics"]["asr_chunks_total"] == 1
