@@ -68,8 +68,9 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
-    """The values of an Arrow string column as UTF-8 bytes; null gives the empty text."""
-    return (x or b"" for x in column.cast(pa.binary()).to_pylist())
+    """The values of an Arrow string column as UTF-8 bytes, some rows at a time; null gives the empty text."""
+    for at in range(0, len(column), 256):
+        yield from (x or b"" for x in column.slice(at, 256).cast(pa.binary()).to_pylist())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
