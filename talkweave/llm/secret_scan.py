@@ -47,22 +47,39 @@ BIN, BINS = 0.25, 160
 SPAN = "array<struct<start:int,kind_no:int,kind:string,end:int>>"
 
 
+#: Running sums are taken in blocks of so many, so that a text with very many matches costs no square of their number.
+BLOCK = 128
+
+
+def _running(steps: Column, body) -> Column:
+    """``body(upto)``, where ``upto(i)`` is the sum of the steps from the first to the one at ``i``."""
+    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
+    block = lambda i: F.floor(i / F.lit(BLOCK)).cast("int")
+
+    def of_steps(t: Column) -> Column:
+        sums = F.transform(F.sequence(F.lit(0), block(F.size(t))), lambda j: total(F.slice(t, j * BLOCK + 1, BLOCK)))
+
+        def of_sums(s: Column) -> Column:
+            before = F.transform(s, lambda _, j: total(F.slice(s, F.lit(1), j)))
+            return let(before, lambda b: body(lambda i: F.get(b, block(i)) + total(F.slice(t, block(i) * BLOCK + 1, i % BLOCK + 1))))
+
+        return let(sums, of_sums)
+
+    return let(steps, of_steps)
+
+
 def _matches(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
     """Spans of all matches. Between two matches lies a piece of split(), so lengths add up to places."""
     p = F.lit(pattern)
     found = F.struct(F.regexp_extract_all(text, p, F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("s"), F.regexp_extract_all(text, p, F.lit(group)).alias("g"))
+    no = F.lit(KINDS.index(kind) if kind in KINDS else len(KINDS))
 
     def spans(f: Column) -> Column:
-        steps = F.transform(f["m"], lambda m, i: F.length(m) + F.length(F.get(f["s"], i)))
-
-        def of_steps(t: Column) -> Column:
-            each = F.transform(
-                f["m"],
-                lambda m, i: let(F.aggregate(F.slice(t, 1, i + 1), F.lit(0), lambda a, x: a + x), lambda end: F.struct((end - F.length(m)).alias("start"), F.lit(KINDS.index(kind) if kind in KINDS else len(KINDS)).alias("kind_no"), F.lit(kind).alias("kind"), end.alias("end"), m.alias("m"), F.length(F.get(f["g"], i)).alias("n"))),
-            )
-            return F.filter(each, lambda x: x["n"] >= least)
+        def each(upto) -> Column:
+            place = lambda m, i: let(upto(i), lambda end: F.struct((end - F.length(m)).alias("start"), no.alias("kind_no"), F.lit(kind).alias("kind"), end.alias("end"), m.alias("m"), F.length(F.get(f["g"], i)).alias("n")))
+            return F.filter(F.transform(f["m"], place), lambda x: x["n"] >= least)
 
-        return let(steps, of_steps)
+        return _running(F.transform(f["m"], lambda m, i: F.length(m) + F.length(F.get(f["s"], i))), each)
 
     return F.when(F.rlike(text, p), let(found, spans))
 
