@@ -37,7 +37,7 @@ P_MIN, DIVERGENCE, SMOOTH = 1e-6, 20.0, 4.0
 HEAD = 500_000
 #: Texts are counted and scored in chunks of about so many bytes; partial counts are passed on at so many distinct
 #: words, or when so many byte strings have come together and half as many are distinct.
-CHUNK, DISTINCT_WORDS, DISTINCT_GRAMS = 1 << 20, 300_000, 1_000_000
+CHUNK, DISTINCT_WORDS, DISTINCT_GRAMS = 1 << 20, 300_000, 1_300_000
 
 END = b"\n"
 _PAD = END * DEPTH
