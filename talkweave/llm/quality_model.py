@@ -35,8 +35,11 @@ def buckets(text: str | None) -> np.ndarray:
         return np.zeros(0, np.int64)
     w = word_hashes(cp)
     pairs = w[:-1] * np.uint64(3) + w[1:]
-    same = np.where(w[:-1] == w[1:], np.uint64(0x51), np.uint64(0x52))  # whether a word repeats the one before
-    return np.concatenate((fold(w, BITS), fold(pairs, BITS), fold(same, BITS), char_grams(cp, SIZES, BITS)))
+    # whether a word is the one before, and whether it came before at all: repetition in words of any language
+    again = np.ones(len(w), np.uint64)
+    again[np.unique(w, return_index=True)[1]] = 0
+    same = (w[:-1] == w[1:]).astype(np.uint64)
+    return np.concatenate((fold(w, BITS), fold(pairs, BITS), fold(same + np.uint64(0x51), BITS), fold(again + np.uint64(0x61), BITS), char_grams(cp, SIZES, BITS)))
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
