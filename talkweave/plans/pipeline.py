@@ -53,3 +53,13 @@ def run(diarization: DataFrame, durations: DataFrame, recognizer: Recognizer, se
     rows = quality.chunk_rows(cut, texts, final, s.low_confidence_min_cps, s.low_confidence_max_cps)
     metrics = report.call_metrics(post, asr_report, enrichment.anonymize_report(w, answers), enhance_report, quality.summary(rows, s.low_confidence_min_cps, s.low_confidence_max_cps), final)
     return Result(metrics, report.documents(metrics, final), rows, final)
+
+
+def describe() -> dict[str, str]:
+    """What does each stage: the operator, or the provider that it calls."""
+    return {
+        "normalize_audio": "sources.audio.normalised", "enhance_audio": "sources.audio.enhanced", "diarization": "sources.audio.diarized (Diarizer)", "postprocess_segments": "operators.intervals.resolved_entries",
+        "audio_chunks": "operators.chunks.manifest, sources.audio.sliced", "asr_transcripts": "operators.asr.recognized (Recognizer)", "merge_transcript": "operators.transcript.assembled", "clean_transcript": "operators.transcript.cleaned",
+        "semantic_windows": "operators.windows.built", "anonymize_transcript": "operators.enrichment.called (TextProvider)", "enhance_transcript": "operators.enrichment.enhanced_by (TextProvider) or enhanced_plainly", "quality_report": "operators.quality.chunk_rows",
+        "call_result": "operators.report.documents",
+    }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from talkweave.functions import text as T
 from talkweave.operators import asr, chunks, enrichment, intervals, quality, report, transcript, windows
-from talkweave.sources import fixtures
+from talkweave.sources import audio, fixtures
 
 
 def r6(c: str | Column, name: str | None = None) -> Column:
@@ -314,6 +314,57 @@ def vector_levels(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("vec_id", r6("rms"), r6("peak"), r6(20 * F.log10(F.greatest("rms", F.lit(1e-8))), "rms_dbfs"), r6(20 * F.log10(F.greatest("peak", F.lit(1e-8))), "peak_dbfs"))
 
 
+class Named:
+    """A stand-in for models: recognises a chunk by its file's name, masks nothing, ends every text with a full stop."""
+
+    provider_name, model_name = "named", "stand-in"
+
+    def transcribe_batch(self, paths: list[str], batch_size: int, pretokenize: bool) -> list[str]:
+        return [f"heard {p}" for p in paths]
+
+    def anonymize(self, texts: list[str]) -> list[str]:
+        return texts
+
+    def enhance(self, texts: list[str]) -> list[str]:
+        return [f"{t}." for t in texts]
+
+
+def asr_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    c = _chunks(spark, sf).select("call_id", "ordinal", "idx", "start", "end", "chunk_path")
+    found = asr.recognized(asr.with_batches(c, 2, 4), Named(), 2)
+    return asr.transcripts(c, found).select("call_id", "idx", "raw_text", "status")
+
+
+def enhance_guarded(spark: SparkSession, sf: str) -> DataFrame:
+    rows = quality.flagged_segments(transcript.positioned(_segments(spark, sf)))
+    w = windows.built(_windowed(spark, sf))
+    out = enrichment.enhanced_by(enrichment.anonymized(rows), w, Named())
+    return out.select("call_id", "position", "enhanced_text", "drifted", "skipped", "windowed")
+
+
+def _waves(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors as sound: 16-bit files of 8000 Hz, each vector's samples repeated to an eighth of a second."""
+    from collections.abc import Iterator
+
+    import numpy as np
+    import pandas as pd
+
+    def wav(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"path": b["vec_id"].astype(str), "content": [audio.encode_wav(np.resize(np.asarray(v, float) * 0.5, 1000), 8000) for v in b["embedding"]]})
+
+    return fixtures.table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(wav, "path string, content binary")
+
+
+def audio_normalize(spark: SparkSession, sf: str) -> DataFrame:
+    return audio.normalised(_waves(spark, sf)).select("path", "sample_rate", r6("duration_sec"), "channels", "format")
+
+
+def audio_enhance(spark: SparkSession, sf: str) -> DataFrame:
+    rows = audio.enhanced(audio.normalised(_waves(spark, sf)).select("path", "wav"))
+    return rows.select("path", "sample_rate", r6("duration_sec"), *[F.round(c, 3).alias(c) for c in ("input_rms_dbfs", "output_rms_dbfs", "input_peak_dbfs", "output_peak_dbfs")])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -321,5 +372,6 @@ QUERIES = {
         nearest_rank_percentile, merge_transcript, chunk_quality, cleaned_out_chunks, quality_summary, chunk_overlap, cleanup_filter, dedup_segments, clip_overlaps, cleanup_report, semantic_windows, semantic_window_report,
         window_segments, low_confidence_segments, language_switching_ratio, punctuation_density, normalize_words, token_language, code_switch, dominant_language, word_drift, placeholder_counts, pii_candidates, seg_payload,
         seg_parse, anonymize_passthrough, anonymize_report, drift_guard, enhance_deterministic, enhancement_report, call_metrics, call_result, vector_levels,
+        asr_transcripts, enhance_guarded, audio_normalize, audio_enhance,
     )
 }

@@ -174,3 +174,9 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     main([f"{tmp_path}/in.json", "--artifacts-root", f"{tmp_path}/out", "--recognizer", "echo"])
     where = capsys.readouterr().out.strip()
     assert spark.read.json(where).first()["metrics"]["asr_chunks_total"] == 1
+
+
+def test_every_stage_is_described():
+    from talkweave.plans.pipeline import STAGES, describe
+
+    assert tuple(describe()) == STAGES and len(set(STAGES)) == 13
