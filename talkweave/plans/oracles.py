@@ -112,7 +112,47 @@ cq AS (SELECT c.call_id, c.idx AS chunk_index, c.speaker, c.s, c.e, greatest(0,
 qr AS (SELECT *, length(raw_text) AS raw_text_length, length(raw_text) / greatest(1e-6, dur) AS cps FROM cq),
 qq AS (SELECT *, asr_status <> 'ok' OR raw_text = '' OR cps < 1.5 OR cps > 28.0 AS low_confidence_marker FROM qr)"""
 
+#: Short segments joined to a neighbour, row by row: the state is the last entry passed (t..) and what the next one takes up (c..).
+ABSORBED = MERGED + """,
+a0 AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY seq) AS rn, lead(s) OVER (PARTITION BY call_id ORDER BY seq) AS ns, count(*) OVER (PARTITION BY call_id) AS n,
+         string_split(source_indices, ',')::BIGINT[] AS src, CASE WHEN n_merged > 0 THEN ['same_speaker_gap'] ELSE []::VARCHAR[] END AS rs FROM mg),
+ab AS (SELECT call_id, 0::BIGINT AS rn, n, false AS has, 0.0::DOUBLE AS ts, 0.0::DOUBLE AS te, ''::VARCHAR AS tsp, 0::BIGINT AS tseq, []::BIGINT[] AS tsrc, []::VARCHAR[] AS trs, 0::BIGINT AS tab,
+         NULL::DOUBLE AS cs, []::BIGINT[] AS csrc, 0::BIGINT AS cab, false AS em, 0.0::DOUBLE AS es, 0.0::DOUBLE AS ee, ''::VARCHAR AS esp, 0::BIGINT AS eseq, []::BIGINT[] AS esrc, []::VARCHAR[] AS ers, 0::BIGINT AS eab FROM a0 WHERE rn = 1
+       UNION ALL
+       SELECT call_id, rn, n, has OR w = 'P', CASE w WHEN 'P' THEN s ELSE ts END, CASE w WHEN 'P' THEN e WHEN 'L' THEN greatest(te, e) ELSE te END, CASE w WHEN 'P' THEN sp ELSE tsp END, CASE w WHEN 'P' THEN seq ELSE tseq END,
+         CASE w WHEN 'P' THEN src WHEN 'L' THEN tsrc || src ELSE tsrc END, CASE w WHEN 'P' THEN rs WHEN 'L' THEN trs || ['absorbed_short'] ELSE trs END, CASE w WHEN 'P' THEN nab WHEN 'L' THEN tab + nab + 1 ELSE tab END,
+         CASE w WHEN 'R' THEN least(ns, s) END, CASE w WHEN 'R' THEN src ELSE []::BIGINT[] END, CASE w WHEN 'R' THEN nab + 1 ELSE 0 END, has AND w = 'P', ts, te, tsp, tseq, tsrc, trs, tab
+       FROM (SELECT *, CASE WHEN e - s < 0.45 AND (has OR ns IS NOT NULL) AND r <= 0.22 AND r < l THEN 'R' WHEN e - s < 0.45 AND (has OR ns IS NOT NULL) AND l <= 0.22 THEN 'L' ELSE 'P' END AS w FROM (
+         SELECT *, CASE WHEN has THEN greatest(0, s - te) ELSE 'infinity'::DOUBLE END AS l, CASE WHEN ns IS NOT NULL THEN greatest(0, ns - e) ELSE 'infinity'::DOUBLE END AS r FROM (
+           SELECT ab.* EXCLUDE (rn), a0.rn, a0.ns, a0.seq, a0.speaker AS sp, a0.e, coalesce(ab.cs, a0.s) AS s, a0.src || ab.csrc AS src, CASE WHEN ab.cs IS NULL THEN a0.rs ELSE a0.rs || ['absorbed_short'] END AS rs, ab.cab AS nab
+           FROM ab JOIN a0 ON a0.call_id = ab.call_id AND a0.rn = ab.rn + 1)))),
+abs AS (SELECT call_id, eseq AS seq, esp AS speaker, es AS s, ee AS e, esrc AS src, ers AS rs, eab AS nab FROM ab WHERE em UNION ALL SELECT call_id, tseq, tsp, ts, te, tsrc, trs, tab FROM ab WHERE rn = n)"""
+
+#: Then padded, and overlaps settled with their lineage and counts.
+SETTLED = ABSORBED + """,
+o AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY s, e, seq) AS rn, count(*) OVER (PARTITION BY call_id) AS n FROM (
+  SELECT abs.* EXCLUDE (s, e), greatest(0.0, s - 0.06) AS s, least(x.audio, e + 0.06) AS e FROM abs JOIN (SELECT call_id, max(audio) AS audio FROM mg GROUP BY call_id) x USING (call_id)) WHERE e > s),
+g AS (SELECT call_id, rn, n, speaker AS sp, s AS ls, e AS le, seq, src, rs, ''::VARCHAR AS dsp, 0.0::DOUBLE AS ds, 0.0::DOUBLE AS de, 0::BIGINT AS dseq, []::BIGINT[] AS dsrc, []::VARCHAR[] AS drs, 'N' AS w FROM o WHERE rn = 1
+      UNION ALL
+      SELECT call_id, rn, n, osp, CASE w WHEN 'N' THEN os WHEN 'S' THEN oe WHEN 'A' THEN least(os, ls) WHEN 'B' THEN oe ELSE least(oe, (le + os) / 2) END, oe, oseq, CASE w WHEN 'A' THEN osrc || src ELSE osrc END, CASE w WHEN 'A' THEN ors || ['reassigned_short_overlap'] ELSE ors END,
+        sp, ls, CASE w WHEN 'N' THEN le WHEN 'A' THEN ls WHEN 'M' THEN greatest(ls, (le + os) / 2) ELSE greatest(le, oe) END, seq, CASE WHEN w IN ('S', 'B') THEN src || osrc ELSE src END,
+        CASE w WHEN 'S' THEN rs || ['same_speaker_overlap'] WHEN 'B' THEN rs || ['reassigned_short_overlap'] ELSE rs END, w
+      FROM (SELECT *, CASE WHEN le <= os THEN 'N' WHEN sp = osp THEN 'S' WHEN least(greatest(0, le - ls), greatest(0, oe - os)) > 0.225 THEN 'M' WHEN greatest(0, le - ls) <= greatest(0, oe - os) THEN 'A' ELSE 'B' END AS w FROM (
+        SELECT g.* EXCLUDE (rn, w), o.rn, o.speaker AS osp, o.s AS os, o.e AS oe, o.seq AS oseq, o.src AS osrc, o.rs AS ors FROM g JOIN o ON o.call_id = g.call_id AND o.rn = g.rn + 1))),
+fin AS (SELECT call_id, dsp AS speaker, ds AS s, de AS e, dseq AS seq, dsrc AS src, drs AS rs FROM g WHERE rn > 1 UNION ALL SELECT call_id, sp, ls, le, seq, src, rs FROM g WHERE rn = n)"""
+
+SOURCES = "array_to_string(list_sort(list_distinct(src)), ',') AS source_indices, array_to_string(list_sort(list_distinct(rs)), ',') AS merge_reasons"
+
 ORACLES = {
+    "absorb_short": f"WITH RECURSIVE {ABSORBED} SELECT call_id, speaker, {TIMES}, {SOURCES}, nab AS n_absorbed FROM abs",
+    "merge_groups": f"WITH RECURSIVE {SETTLED} SELECT call_id, row_number() OVER (PARTITION BY call_id ORDER BY s, e, seq) - 1 AS output_index, speaker, {TIMES}, round(e - s, 6) AS duration_sec, {SOURCES} FROM fin WHERE e > s",
+    "postprocess_report": f"""WITH RECURSIVE {SETTLED}, i AS (SELECT call_id, count(*) AS input_segments FROM seg GROUP BY call_id), c AS (SELECT call_id, count(*) AS nv, count(*) FILTER (e - s < 0.45) AS sb FROM clip GROUP BY call_id),
+m AS (SELECT call_id, sum(n_merged)::BIGINT AS nm FROM mg GROUP BY call_id), a AS (SELECT call_id, sum(nab)::BIGINT AS na FROM abs GROUP BY call_id),
+k AS (SELECT call_id, count(*) FILTER (w <> 'N') AS nc, count(*) FILTER (w IN ('A', 'B')) AS nr, count(*) FILTER (w IN ('S', 'A', 'B')) AS ng FROM g GROUP BY call_id), f AS (SELECT call_id, count(*) AS nf, count(*) FILTER (e - s < 0.45) AS sa FROM fin WHERE e > s GROUP BY call_id)
+SELECT call_id, input_segments, coalesce(nf, 0) AS output_segments, coalesce(nm, 0) + coalesce(na, 0) + coalesce(ng, 0) AS merged_segments_count, coalesce(nc, 0) AS overlap_conflicts_count, coalesce(sb, 0) AS short_segments_before, coalesce(sa, 0) AS short_segments_after,
+  coalesce(na, 0) AS absorbed_short_segments_count, coalesce(nr, 0) AS reassigned_short_overlap_count, round(coalesce(sb, 0) / greatest(1, coalesce(nv, 0)), 6) AS short_segment_ratio_before, round(coalesce(sa, 0) / greatest(1, coalesce(nf, 0)), 6) AS short_segment_ratio_after,
+  CASE WHEN nv > 0 THEN 450::BIGINT END AS min_segment_duration_ms, CASE WHEN nv > 0 THEN 300::BIGINT END AS merge_gap_ms, CASE WHEN nv > 0 THEN 60::BIGINT END AS padding_ms, CASE WHEN nv > 0 THEN 220::BIGINT END AS absorb_short_gap_ms
+FROM i LEFT JOIN c USING (call_id) LEFT JOIN m USING (call_id) LEFT JOIN a USING (call_id) LEFT JOIN k USING (call_id) LEFT JOIN f USING (call_id)""",
     "valid_segments": f"WITH {SEG} SELECT call_id, ordinal, speaker, {TIMES} FROM seg WHERE e > s",
     "reindex_segments": f"WITH {EVENT} SELECT call_id, ordinal, seq - 1 AS idx, speaker, {TIMES} FROM aud",
     "clip_segments": f"WITH {EVENT} SELECT call_id, ordinal, speaker, {TIMES} FROM clip",

@@ -90,7 +90,8 @@ def pad_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def absorb_short(spark: SparkSession, sf: str) -> DataFrame:
-    return intervals.absorbed(_merged(spark, sf), 450, 220).select("call_id", "speaker", *times(), joined("source_indices"), joined("merge_reasons"), "n_absorbed")
+    rows = intervals.absorbed(_merged(spark, sf), 450, 220).withColumns({c: F.array_sort(F.array_distinct(c)) for c in ("source_indices", "merge_reasons")})
+    return rows.select("call_id", "speaker", *times(), joined("source_indices"), joined("merge_reasons"), "n_absorbed")
 
 
 def resolve_overlaps(spark: SparkSession, sf: str) -> DataFrame:
