@@ -28,7 +28,7 @@ seg AS (SELECT call_id, ordinal, ordinal AS idx, speaker, st::DOUBLE / 1000 AS s
 aud AS (SELECT *, max(s) OVER (PARTITION BY call_id) AS audio, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) AS seq FROM seg),
 clip AS (SELECT * FROM (SELECT call_id, ordinal, idx, seq, speaker, audio, greatest(0.0, s) AS s, least(audio, e) AS e FROM aud) WHERE e > s)"""
 
-MERGED = EVENT + """,
+_MERGED = """,
 m1 AS (SELECT *, sum(ch) OVER (PARTITION BY call_id ORDER BY seq) AS run FROM (SELECT *, CASE WHEN speaker <> lag(speaker) OVER (PARTITION BY call_id ORDER BY seq) THEN 1 ELSE 0 END AS ch FROM clip)),
 m2 AS (SELECT *, max(e) OVER (PARTITION BY call_id, run ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM m1),
 m3 AS (SELECT *, sum(CASE WHEN reach IS NULL OR s - reach > 0.3 THEN 1 ELSE 0 END) OVER (PARTITION BY call_id ORDER BY seq) AS grp FROM m2),
@@ -71,6 +71,7 @@ wd AS (SELECT *, greatest(0, e - s) AS dur FROM wn)"""
 TEXTS = "given(text_id, text) AS (VALUES " + ", ".join("({}, '{}')".format(i, t.replace("'", "''")) for i, t in enumerate(GIVEN)) + """),
 texts AS (SELECT text_id, text FROM given UNION ALL SELECT conv_id * 1000 + turn + 1000, coalesce(text, '') FROM conversations)"""
 
+SEG_RE = """'(?is)<SEG\\s+id=[''"]?(\\d+)[''"]?>(.*?)</SEG>'"""
 WORD = "'[A-Za-zА-Яа-яЁёӘәІіҢңҒғҮүҰұҚқӨөҺһ0-9]+'"
 
 
@@ -98,7 +99,7 @@ asm AS (SELECT c.call_id, c.idx, c.speaker, c.s, c.e, c.ordinal, c.chunk_path, c
 f AS (SELECT *, lower(regexp_replace(trim(raw_text), '\s+', ' ', 'g')) AS norm, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) AS rn FROM asm WHERE asr_status <> 'skipped_short' AND trim(raw_text) <> ''),
 """ + KEPT[KEPT.index("k AS (") :] + """,
 kept2 AS (SELECT kept.call_id, kept.s, kept.e, kept.ordinal, a.raw_text, a.chunk_path FROM kept JOIN asm a USING (call_id, ordinal)),""" + middle("kept2") + """,
-fin AS (SELECT call_id, chunk_path, raw_text, """ + LIGHT.replace("X", "raw_text") + """ AS enhanced FROM cut WHERE e > s),
+fnl AS (SELECT call_id, chunk_path, raw_text, """ + LIGHT.replace("X", "raw_text") + """ AS enhanced FROM cut WHERE e > s),
 tk AS (SELECT call_id, idx, unnest(string_split_regex(trim(raw_text), '\\s+')) AS tok, generate_subscripts(string_split_regex(trim(raw_text), '\\s+'), 1) AS i FROM said),
 lb AS (SELECT call_id, idx, i, """ + label("tok") + """ AS label FROM tk),
 lk AS (SELECT *, lag(label) OVER (PARTITION BY call_id, idx ORDER BY i) AS before FROM lb WHERE label <> 'other'),
@@ -106,14 +107,14 @@ lang AS (SELECT call_id, idx, bool_or(coalesce(label <> before, false)) AS sw, c
 ov AS (SELECT call_id, idx, coalesce(lag(e) OVER o > s, false) OR coalesce(e > lead(s) OVER o, false) AS overlap_marker FROM chunk WINDOW o AS (PARTITION BY call_id ORDER BY s, e, idx)),
 cq AS (SELECT c.call_id, c.idx AS chunk_index, c.speaker, c.s, c.e, greatest(0, c.e - c.s) AS dur, c.chunk_path, coalesce(x.status, 'missing') AS asr_status, trim(coalesce(x.raw_text, '')) AS raw_text, ov.overlap_marker,
          coalesce(l.sw, false) AS code_switch_presence, CASE WHEN coalesce(greatest(ru, kk, lat, mx), 0) = 0 THEN 'unknown' WHEN ru = greatest(ru, kk, lat, mx) THEN 'ru' WHEN kk = greatest(ru, kk, lat, mx) THEN 'kk' WHEN lat = greatest(ru, kk, lat, mx) THEN 'lat' ELSE 'mixed' END AS dominant_language,
-         fin.raw_text IS NULL AS cleaned_out, fin.raw_text IS NOT NULL AND trim(fin.raw_text) <> trim(fin.enhanced) AS enhancement_changed_text,
-         fin.raw_text IS NOT NULL AND lower(regexp_extract_all(fin.raw_text, """ + WORD + """)::VARCHAR) <> lower(regexp_extract_all(fin.enhanced, """ + WORD + """)::VARCHAR) AS suspicious_substitution_flag
-       FROM chunk c LEFT JOIN said x USING (call_id, idx) JOIN ov USING (call_id, idx) LEFT JOIN lang l USING (call_id, idx) LEFT JOIN fin ON fin.call_id = c.call_id AND fin.chunk_path = c.chunk_path),
+         fnl.raw_text IS NULL AS cleaned_out, fnl.raw_text IS NOT NULL AND trim(fnl.raw_text) <> trim(fnl.enhanced) AS enhancement_changed_text,
+         fnl.raw_text IS NOT NULL AND lower(regexp_extract_all(fnl.raw_text, """ + WORD + """)::VARCHAR) <> lower(regexp_extract_all(fnl.enhanced, """ + WORD + """)::VARCHAR) AS suspicious_substitution_flag
+       FROM chunk c LEFT JOIN said x USING (call_id, idx) JOIN ov USING (call_id, idx) LEFT JOIN lang l USING (call_id, idx) LEFT JOIN fnl ON fnl.call_id = c.call_id AND fnl.chunk_path = c.chunk_path),
 qr AS (SELECT *, length(raw_text) AS raw_text_length, length(raw_text) / greatest(1e-6, dur) AS cps FROM cq),
 qq AS (SELECT *, asr_status <> 'ok' OR raw_text = '' OR cps < 1.5 OR cps > 28.0 AS low_confidence_marker FROM qr)"""
 
 #: Short segments joined to a neighbour, row by row: the state is the last entry passed (t..) and what the next one takes up (c..).
-ABSORBED = MERGED + """,
+_ABSORBED = """,
 a0 AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY seq) AS rn, lead(s) OVER (PARTITION BY call_id ORDER BY seq) AS ns, count(*) OVER (PARTITION BY call_id) AS n,
          string_split(source_indices, ',')::BIGINT[] AS src, CASE WHEN n_merged > 0 THEN ['same_speaker_gap'] ELSE []::VARCHAR[] END AS rs FROM mg),
 ab AS (SELECT call_id, 0::BIGINT AS rn, n, false AS has, 0.0::DOUBLE AS ts, 0.0::DOUBLE AS te, ''::VARCHAR AS tsp, 0::BIGINT AS tseq, []::BIGINT[] AS tsrc, []::VARCHAR[] AS trs, 0::BIGINT AS tab,
@@ -129,7 +130,7 @@ ab AS (SELECT call_id, 0::BIGINT AS rn, n, false AS has, 0.0::DOUBLE AS ts, 0.0:
 abs AS (SELECT call_id, eseq AS seq, esp AS speaker, es AS s, ee AS e, esrc AS src, ers AS rs, eab AS nab FROM ab WHERE em UNION ALL SELECT call_id, tseq, tsp, ts, te, tsrc, trs, tab FROM ab WHERE rn = n)"""
 
 #: Then padded, and overlaps settled with their lineage and counts.
-SETTLED = ABSORBED + """,
+_SETTLED = """,
 o AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY s, e, seq) AS rn, count(*) OVER (PARTITION BY call_id) AS n FROM (
   SELECT abs.* EXCLUDE (s, e), greatest(0.0, s - 0.06) AS s, least(x.audio, e + 0.06) AS e FROM abs JOIN (SELECT call_id, max(audio) AS audio FROM mg GROUP BY call_id) x USING (call_id)) WHERE e > s),
 g AS (SELECT call_id, rn, n, speaker AS sp, s AS ls, e AS le, seq, src, rs, ''::VARCHAR AS dsp, 0.0::DOUBLE AS ds, 0.0::DOUBLE AS de, 0::BIGINT AS dseq, []::BIGINT[] AS dsrc, []::VARCHAR[] AS drs, 'N' AS w FROM o WHERE rn = 1
@@ -141,9 +142,32 @@ g AS (SELECT call_id, rn, n, speaker AS sp, s AS ls, e AS le, seq, src, rs, ''::
         SELECT g.* EXCLUDE (rn, w), o.rn, o.speaker AS osp, o.s AS os, o.e AS oe, o.seq AS oseq, o.src AS osrc, o.rs AS ors FROM g JOIN o ON o.call_id = g.call_id AND o.rn = g.rn + 1))),
 fin AS (SELECT call_id, dsp AS speaker, ds AS s, de AS e, dseq AS seq, dsrc AS src, drs AS rs FROM g WHERE rn > 1 UNION ALL SELECT call_id, sp, ls, le, seq, src, rs FROM g WHERE rn = n)"""
 
+MERGED = EVENT + _MERGED
+ABSORBED = MERGED + _ABSORBED
+SETTLED = ABSORBED + _SETTLED
+
 SOURCES = "array_to_string(list_sort(list_distinct(src)), ',') AS source_indices, array_to_string(list_sort(list_distinct(rs)), ',') AS merge_reasons"
 
+#: The same passes over the conversations' segments, whose audio ends with the last of them.
+CALLS = (
+    QUALITY
+    + """,
+aud AS (SELECT *, max(e) OVER (PARTITION BY call_id) AS audio, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) AS seq FROM ix),
+clip AS (SELECT * FROM (SELECT call_id, ordinal, idx, seq, speaker, audio, greatest(0.0, s) AS s, least(audio, e) AS e FROM aud) WHERE e > s)"""
+    + _MERGED + _ABSORBED + _SETTLED
+    + """,
+fe AS (SELECT call_id, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) AS pos, """ + LIGHT.replace("X", "raw_text") + """ AS en FROM cut WHERE e > s),
+ft AS (SELECT call_id, pos, unnest(regexp_extract_all(en, """ + WORD + """)) AS tok, generate_subscripts(regexp_extract_all(en, """ + WORD + """), 1) AS i FROM fe),
+fl AS (SELECT *, lag(label) OVER (PARTITION BY call_id ORDER BY pos, i) AS before FROM (SELECT *, """ + label("tok") + """ AS label FROM ft) WHERE label <> 'other'),
+sw AS (SELECT call_id, CASE WHEN count(*) < 2 THEN 0 ELSE count(*) FILTER (before <> label) / (count(*) - 1) END AS ratio FROM fl GROUP BY call_id),
+pn AS (SELECT call_id, (length(j) - length(regexp_replace(j, '[.,!?;:()\\[\\]{}"''-]', '', 'g'))) / length(j) AS density FROM (SELECT call_id, string_agg(en, ' ' ORDER BY pos) AS j FROM fe GROUP BY call_id))"""
+)
+
 ORACLES = {
+    "call_metrics": f"""WITH RECURSIVE {CALLS} SELECT c.call_id, c.n AS asr_chunks_total, c.n AS total_segments_before_postprocess, coalesce(f.n, 0) AS total_segments_after_postprocess, 0::BIGINT AS semantic_drift_flags_total, q.low AS low_confidence_chunk_ratio,
+  round(coalesce(sw.ratio, 0), 6) AS language_switching_ratio, round(coalesce(pn.density, 0), 6) AS punctuation_density_after_enhancement, 0::BIGINT AS llm_calls_total
+FROM (SELECT call_id, count(*) AS n FROM chunk GROUP BY call_id) c LEFT JOIN (SELECT call_id, count(*) AS n FROM fin WHERE e > s GROUP BY call_id) f USING (call_id) LEFT JOIN (SELECT call_id, round(count(*) FILTER (low_confidence_marker) / count(*), 6) AS low FROM qq GROUP BY call_id) q USING (call_id)
+LEFT JOIN sw USING (call_id) LEFT JOIN pn USING (call_id)""",
     "absorb_short": f"WITH RECURSIVE {ABSORBED} SELECT call_id, speaker, {TIMES}, {SOURCES}, nab AS n_absorbed FROM abs",
     "merge_groups": f"WITH RECURSIVE {SETTLED} SELECT call_id, row_number() OVER (PARTITION BY call_id ORDER BY s, e, seq) - 1 AS output_index, speaker, {TIMES}, round(e - s, 6) AS duration_sec, {SOURCES} FROM fin WHERE e > s",
     "postprocess_report": f"""WITH RECURSIVE {SETTLED}, i AS (SELECT call_id, count(*) AS input_segments FROM seg GROUP BY call_id), c AS (SELECT call_id, count(*) AS nv, count(*) FILTER (e - s < 0.45) AS sb FROM clip GROUP BY call_id),
@@ -214,6 +238,8 @@ SELECT text_id, CASE greatest(ru, kk, lat, mx) WHEN 0 THEN 'unknown' WHEN ru THE
     "pii_candidates": r"SELECT doc_id AS text_id, regexp_matches(coalesce(text, ''), '\b\+?\d[\d\s\-()]{6,}\b') OR regexp_matches(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') OR regexp_matches(coalesce(text, ''), '\b\d{8,}\b') AS candidate FROM documents",
     "seg_payload": f"""WITH {TEXTS}, x AS (SELECT text_id // 10 AS group_id, row_number() OVER (PARTITION BY text_id // 10 ORDER BY text_id) - 1 AS i, replace(replace(trim(replace(text, chr(10), ' ')), '&', '&amp;'), '<', '&lt;') AS c FROM texts)
 SELECT group_id, string_agg('<SEG id="' || i || '">' || c || '</SEG>', chr(10) ORDER BY i) AS payload FROM x GROUP BY group_id""",
+    "seg_parse": f"""WITH {TEXTS}, x AS (SELECT text_id, list_zip(regexp_extract_all(text, {SEG_RE}, 1), regexp_extract_all(text, {SEG_RE}, 2)) AS z FROM given),
+y AS (SELECT text_id, list_filter(z, lambda p: p[1] = '0') AS a, list_filter(z, lambda p: p[1] = '1') AS b FROM x) SELECT text_id, CASE WHEN len(a) > 0 AND len(b) > 0 THEN trim(a[-1][2]) || '|' || trim(b[-1][2]) ELSE '' END AS texts FROM y""",
     "anonymize_passthrough": f"WITH {SEG} SELECT call_id, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) - 1 AS position, raw_text AS anonymized_text, '' AS enhanced_text FROM seg",
     "anonymize_report": f"WITH RECURSIVE {WINDOWS} SELECT call_id, count(*) AS windows_total, 0::BIGINT AS llm_calls_total, 0::BIGINT AS windows_failed, 0::BIGINT AS fallback_segments, 0::BIGINT AS pii_candidate_segments, 0::DOUBLE AS anonymization_recall_proxy FROM wd GROUP BY call_id",
     "drift_guard": f"WITH {TEXTS} SELECT text_id, CASE WHEN text_id % 7 = 0 THEN {LIGHT.replace('X', 'text')} WHEN text_id % 5 = 0 THEN text ELSE text || ' !' END AS enhanced FROM texts",
