@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,17 +39,31 @@ def _chunks(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("chunk_path", chunks.chunk_path(F.col("idx"), F.col("speaker")))
 
 
-def _transcripts(spark: SparkSession, sf: str) -> DataFrame:
+def _transcripts(chunk: DataFrame) -> DataFrame:
     """Of the chunks' texts: some are missing, some come twice."""
-    rows = _chunks(spark, sf).select("call_id", "idx", "ordinal", "raw_text", F.col("asr_status").alias("status")).filter("idx % 13 <> 5")
+    rows = chunk.select("call_id", "idx", "ordinal", "raw_text", F.col("asr_status").alias("status")).filter("idx % 13 <> 5")
     again = rows.filter("idx % 7 = 3").withColumns({"ordinal": F.col("ordinal") + 2000000, "raw_text": F.concat(F.col("raw_text"), F.lit(" again"))})
     return rows.unionByName(again)
 
 
-def _final(spark: SparkSession, sf: str) -> DataFrame:
-    """Cleaned and plainly enhanced segments with their places."""
-    rows = transcript.assembled(_chunks(spark, sf).drop("raw_text", "asr_status"), _transcripts(spark, sf))
-    return enrichment.enhanced_plainly(enrichment.anonymized(transcript.positioned(transcript.cleaned(rows))))
+@dataclass
+class Call:
+    """Tables that several parts of one query read: kept while it runs, so that their plans run once."""
+
+    chunk: DataFrame
+    said: DataFrame
+    final: DataFrame
+
+    @property
+    def bare(self) -> DataFrame:
+        return self.chunk.drop("raw_text", "asr_status")
+
+
+def _call(spark: SparkSession, sf: str) -> Call:
+    chunk = _chunks(spark, sf).persist()
+    said = _transcripts(chunk)
+    rows = transcript.assembled(chunk.drop("raw_text", "asr_status"), said)
+    return Call(chunk, said, enrichment.enhanced_plainly(enrichment.anonymized(transcript.positioned(transcript.cleaned(rows)))).persist())
 
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,8 +139,9 @@ def asr_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def asr_report(spark: SparkSession, sf: str) -> DataFrame:
-    texts = transcript.last_by(_transcripts(spark, sf), ["call_id", "idx"], "ordinal")
-    rows = asr.report(_chunks(spark, sf), texts, 2, 4)
+    chunk = _chunks(spark, sf)
+    texts = transcript.last_by(_transcripts(chunk), ["call_id", "idx"], "ordinal")
+    rows = asr.report(chunk, texts, 2, 4)
     ratios = ("asr_audio_coverage_ratio", "chars_per_second_of_audio", "empty_asr_output_ratio")
     return rows.withColumns({c: F.round(c, 6) for c in ratios}).withColumn("actual_orchestration_batch_sizes", joined("actual_orchestration_batch_sizes"))
 
@@ -135,25 +152,27 @@ def nearest_rank_percentile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merge_transcript(spark: SparkSession, sf: str) -> DataFrame:
-    rows = transcript.assembled(_chunks(spark, sf).drop("raw_text", "asr_status"), _transcripts(spark, sf))
+    chunk = _chunks(spark, sf)
+    rows = transcript.assembled(chunk.drop("raw_text", "asr_status"), _transcripts(chunk))
     return rows.select("call_id", "idx", "speaker", *times(), "raw_text", "asr_status", "chunk_path")
 
 
-def _quality(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.chunk_rows(_chunks(spark, sf).drop("raw_text", "asr_status"), _transcripts(spark, sf), _final(spark, sf))
+def _quality(c: Call) -> DataFrame:
+    return quality.chunk_rows(c.bare, c.said, c.final)
 
 
 def chunk_quality(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _quality(spark, sf)
+    rows = _quality(_call(spark, sf))
     return rows.select(*[r6(c) if c in ("start", "end", "duration_sec", "chars_per_sec") else F.col(c) for c in rows.columns]).withColumnsRenamed({"start": "start_sec", "end": "end_sec"})
 
 
 def cleaned_out_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.cleaned_out(_chunks(spark, sf), _final(spark, sf)).select("call_id", "idx", "chunk_path")
+    c = _call(spark, sf)
+    return quality.cleaned_out(c.chunk, c.final).select("call_id", "idx", "chunk_path")
 
 
 def quality_summary(spark: SparkSession, sf: str) -> DataFrame:
-    rows = quality.summary(_quality(spark, sf))
+    rows = quality.summary(_quality(_call(spark, sf)))
     return rows.select(*[r6(c) if kind == "double" else F.col(c) for c, kind in rows.dtypes])
 
 
@@ -287,23 +306,24 @@ def enhancement_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def call_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _metrics(spark, sf)
+    rows = _metrics(_call(spark, sf))
     return rows.select(*[r6(c) if kind == "double" else F.col(c) for c, kind in rows.dtypes])
 
 
-def _metrics(spark: SparkSession, sf: str) -> DataFrame:
-    segs = intervals.reindexed(intervals.with_duration(_segments(spark, sf)))
+def _metrics(c: Call) -> DataFrame:
+    segs = intervals.with_duration(c.chunk)
     entries = intervals.resolved_entries(segs)
-    texts = transcript.last_by(_transcripts(spark, sf), ["call_id", "idx"], "ordinal")
-    final = _final(spark, sf)
-    w = windows.built(windows.assigned(final))
-    inside = windows.with_segments(w, final).withColumnRenamed("raw_text", "source")
-    return report.call_metrics(intervals.report(segs, entries), asr.report(_chunks(spark, sf), texts), enrichment.anonymize_report(w, enrichment.called(inside, None, "anonymize")), enrichment.plain_report(final), quality.summary(_quality(spark, sf)), final)
+    texts = transcript.last_by(c.said, ["call_id", "idx"], "ordinal")
+    w = windows.built(windows.assigned(c.final)).persist()
+    inside = windows.with_segments(w, c.final).withColumnRenamed("raw_text", "source")
+    anonymize = enrichment.anonymize_report(w, enrichment.called(inside, None, "anonymize"))
+    return report.call_metrics(intervals.report(segs, entries), asr.report(c.chunk, texts), anonymize, enrichment.plain_report(c.final), quality.summary(_quality(c)), c.final)
 
 
 def call_result(spark: SparkSession, sf: str) -> DataFrame:
     """The final document of each call, as JSON."""
-    docs = report.documents(_metrics(spark, sf), _final(spark, sf))
+    c = _call(spark, sf)
+    docs = report.documents(_metrics(c), c.final)
     return docs.select("call_id", F.size("segments").cast("bigint").alias("n_segments"), F.to_json(F.struct("metrics", "segments")).alias("document"))
 
 
