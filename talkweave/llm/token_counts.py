@@ -27,9 +27,9 @@ from .common import WHITE, staged
 
 LIMIT = 2048
 #: Texts and bytes that are handed to the library at once.
-AT_ONCE, BYTES_AT_ONCE = 256, 4 << 20
+AT_ONCE, BYTES_AT_ONCE = 256, 1 << 20
 #: Chunks of text whose counts a task remembers.
-CHUNKS = 400_000
+CHUNKS = 200_000
 DROPS_SPACE = ("word_bpe_49k.json",)
 
 
@@ -61,6 +61,7 @@ def version_of(path: str) -> str:
 
 
 def _first_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each digest that a task sees."""
     seen: set[bytes] = set()
     for b in batches:
         new = []
@@ -93,7 +94,7 @@ class ByChunk:
 def _counter(path: str, by_chunk: bool):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = ByChunk(encoder(path)) if by_chunk else encoder(path)
-        for b in batches:
+        for b in _first_in_task(batches):
             out, part, size = [], [], 0
             for t in b.column(1).to_pylist():
                 part.append(t)
@@ -126,7 +127,7 @@ def counted(docs: DataFrame, cache_path: str, tokenizer: str = "word_bpe_49k.jso
     if stored is not None:
         texts = texts.join(stored, "digest", "left_anti")
     once = "digest binary, content string"
-    misses = texts.mapInArrow(_first_in_task, once).repartition("digest").mapInArrow(_first_in_task, once)
+    misses = texts.mapInArrow(_first_in_task, once).repartition("digest")
     counts = misses.mapInArrow(_counter(path, tokenizer in DROPS_SPACE), "digest binary, n_tokens bigint")
     counts.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(cache_path)
     known = _stored(spark, cache_path, version)
