@@ -271,7 +271,7 @@ def seg_payload(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def seg_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return _texts(spark, sf).filter("text_id < 1000").select("text_id", F.array_join(T.seg_parse(F.col("text"), F.lit(2)), "|").alias("texts"))
+    return _texts(spark, sf).select("text_id", F.array_join(T.seg_parse(F.col("text"), F.lit(2)), "|").alias("texts"))
 
 
 def anonymize_passthrough(spark: SparkSession, sf: str) -> DataFrame:
