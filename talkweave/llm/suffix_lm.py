@@ -2,8 +2,8 @@
 
 The tree predicts bytes of a text's words (A-Z lower-cased, one space between words, a line feed as the end) from the
 ``DEPTH`` bytes before, five line feeds standing before a text. Strings of ``DEPTH + 1`` bytes are counted over all
-texts to learn from; the counts of shorter ones are their sums. A context becomes a state if it makes up at least
-``P_MIN`` of all places (so each depth has at most ``1 / P_MIN``) and if its next-byte distribution diverges from
+texts to learn from; the counts of shorter ones are their sums. A context becomes a state if it occurs ``FEWEST``
+times (or, on small inputs, makes up ``P_MIN`` of all places) and if its next-byte distribution diverges from
 that of the context one byte shorter: by a log-likelihood of at least ``DIVERGENCE`` nats over all its occurrences.
 A state's distribution is smoothed by that of its longest suffix among the states, down to a uniform one at the root.
 A byte is scored by the longest suffix that is a state, and a token by the product over its bytes. The tree spells
@@ -34,6 +34,8 @@ from .common import staged, utf8
 
 DEPTH = 5
 P_MIN, DIVERGENCE, SMOOTH = 1e-6, 20.0, 4.0
+#: So many occurrences are enough for a context at any size of the input.
+FEWEST = 4
 HEAD = 500_000
 #: Texts are counted and scored in chunks of about so many bytes; partial counts are passed on at so many distinct
 #: words, or when so many byte strings have come together and half as many are distinct.
@@ -157,7 +159,7 @@ def tree(grams: DataFrame) -> Tree:
     known = staged(strings.join(contexts, ["d", "c"]), "contexts", 4)
     total = known.filter("d = 0").agg(F.max("of")).first()[0] or 0
     shorter = known.select((F.col("d") + 1).alias("d"), F.col("s").alias("suffix"), F.col("n").alias("suffix_n"), F.col("of").alias("suffix_of"))
-    frequent = known.filter((F.col("d") > 0) & (F.col("of") >= P_MIN * total)).withColumn("suffix", F.col("s").bitwiseAND(F.expr("shiftleft(1L, 8 * d) - 1")))
+    frequent = known.filter((F.col("d") > 0) & (F.col("of") >= min(P_MIN * total, FEWEST))).withColumn("suffix", F.col("s").bitwiseAND(F.expr("shiftleft(1L, 8 * d) - 1")))
     gain = F.col("n") * (F.log(F.col("n") / F.col("of")) - F.log(F.col("suffix_n") / F.col("suffix_of")))
     states = frequent.join(shorter, ["d", "suffix"]).groupBy("d", "c").agg(F.sum(gain).alias("gain")).filter(F.col("gain") >= DIVERGENCE).select("d", "c")
     kept = known.filter("d > 0").join(states, ["d", "c"], "left_semi").select("d", "s", "n").unionByName(known.filter("d = 0").select("d", "s", "n"))

@@ -1,0 +1,10 @@
+"""Contexts of the suffix tree are judged by what they tell, not by their share of a large input."""
+
+from talkweave.llm import suffix_lm
+
+
+def test_a_rare_context_of_a_large_input_is_a_state(spark):
+    rows = [(b"aaaaaa", 10**9), (b"bcdefz", 30), (b"xcdefy", 3000)]
+    grams = spark.createDataFrame([(int.from_bytes(g, "big"), n) for g, n in rows], "gram bigint, n bigint")
+    t = suffix_lm.tree(grams)
+    assert int.from_bytes(b"bcdef", "big") in t.states[5].tolist()
