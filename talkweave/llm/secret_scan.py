@@ -1,7 +1,7 @@
 """Secret scans: pattern matches with their places, and a randomness test battery for strings without a pattern.
 
 Base spans are the matches of three patterns (``KINDS``), leftmost and non-overlapping per kind. The battery takes
-every other long run of key characters, infers its encoding (hexadecimal, base 32 or base 64) and tests whether it
+every other long run of key characters, infers its encoding (``ENCODINGS``, the first that has all its characters) and tests whether it
 looks like uniform draws from that alphabet: chi-squared uniformity, the number of runs about the middle of the
 alphabet, and lag-one serial correlation. A run that none of the three rejects is a candidate. Against the chance
 that an ordinary identifier passes, each candidate has a p-value from a Chernoff bound: how likely an ordinary
@@ -34,6 +34,11 @@ ASSIGNED_LEAST = 6
 
 RANDOM = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/-_"
+#: Alphabets by size, each with the pattern of its runs; up to 36 letters are of one case and read as lower-case.
+ENCODINGS = (
+    (16, "[0-9a-f]+|[0-9A-F]+", ALPHABET[:16]), (32, "[a-z2-7]+|[A-Z2-7]+", "abcdefghijklmnopqrstuvwxyz234567"), (36, "[0-9a-z]+|[0-9A-Z]+", ALPHABET[:36]),
+    (58, "[1-9A-HJ-NP-Za-km-z]+", "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"), (62, "[0-9A-Za-z]+", ALPHABET[:62]),
+)
 
 ALPHA = 0.01
 #: A statistic farther than this many standard deviations from its mean under uniform draws rejects them.
@@ -103,15 +108,19 @@ def _kl(share: Column, rate: float) -> Column:
 def battery(token: Column) -> Column:
     """Struct of ``encoding``, ``z_chi``, ``z_runs``, ``z_serial`` and ``score`` (-log10 of the p-value's bound)."""
     core = F.rtrim(token, F.lit("="))
-    encoding = F.when(F.rlike(core, F.lit("^([0-9a-f]+|[0-9A-F]+)$")), F.lit(16)).when(F.rlike(core, F.lit("^[A-Z2-7]+$")), F.lit(32)).otherwise(F.lit(64))
+    encoding = F.lit(64)
+    for size, pattern, _ in reversed(ENCODINGS):
+        encoding = F.when(F.rlike(core, F.lit(f"^({pattern})$")), F.lit(size)).otherwise(encoding)
 
     def of(t: Column) -> Column:
         k, core = t["k"], t["core"]
         n = F.length(core)
-        shown = F.when(k == 16, F.lower(core)).otherwise(core)
+        shown = F.when(k <= 36, F.lower(core)).otherwise(core)
         chars = F.split(shown, "(?!$)")
-        # places in the alphabet; base 32 is read as digits after letters, so that its values are 0 to 31
-        value = lambda c: F.when(k == 32, F.when(c >= "A", F.ascii(c) - 65).otherwise(F.ascii(c) - 24)).otherwise(F.instr(F.lit(ALPHABET), c) - 1)
+        alphabet = F.lit(ALPHABET)
+        for size, _, own in ENCODINGS:
+            alphabet = F.when(k == size, F.lit(own)).otherwise(alphabet)
+        value = lambda c: F.instr(alphabet, c) - 1
 
         def of_values(v: Column) -> Column:
             x = F.transform(v, value).cast("array<double>")
