@@ -1,56 +1,95 @@
-"""Language-model scores from a probabilistic suffix tree, beside those of smoothed unigrams.
-
-The tree predicts bytes of a text's words (A-Z lower-cased, one space between words, a line feed as the end) from the
-``DEPTH`` bytes before, five line feeds standing before a text. Strings of ``DEPTH + 1`` bytes are counted over all
-texts to learn from; the counts of shorter ones are their sums. A context becomes a state if it occurs ``FEWEST``
-times (or, on small inputs, makes up ``P_MIN`` of all places) and if its next-byte distribution diverges from
-that of the context one byte shorter: by a log-likelihood of at least ``DIVERGENCE`` nats over all its occurrences.
-A state's distribution is smoothed by that of its longest suffix among the states, down to a uniform one at the root.
-A byte is scored by the longest suffix that is a state, and a token by the product over its bytes. The tree spells
-words that it hasn't seen, but is poor at whole frequent words, so a token's probability is the even mixture of the
-tree's and the smoothed unigram's; a text's score is the sum of the tokens' log10 probabilities.
-
-Unigram counts are exact over all words. Those that make up at least ``1 / HEAD`` of all tokens, at most ``HEAD``
-words, are broadcast; the rest of each document's words, once per document, are joined to their counts.
-
-Null and empty texts are an end alone. Without a text to learn from all counts are 0 and bytes are uniform. Repeated
-rows are scored one by one (rows are told apart by task and place, not by ``doc_id``, which may be null). Other
-columns are ignored; an empty table gives an empty one.
+"""Language-model scores from a probabilistic suffix tree over bytes, beside those of smoothed unigrams.
+
+The tree predicts the bytes of a text's words (A-Z lower-cased, one space between words, a line feed as the end) from up
+to ``DEPTH`` bytes before, line feeds standing before a text. A context is a state if it occurs ``FEWEST`` times and its
+next-byte distribution diverges from that of the context one byte shorter by ``DIVERGENCE`` nats of log-likelihood over
+its occurrences (three nats: odds of 20 to 1). Both are fixed numbers, so the tree grows with the input. A byte is scored
+by the longest suffix of what came before it that is a state. A state's distribution takes discounts off its counts
+(modified Kneser-Ney, one set a depth) and gives them to the next shorter state's distribution over continuations
+(how many different bytes came before a string), and so on to the root, which is smoothed by a uniform one. All 256
+bytes after any context add up to 1, so the probabilities of all texts add up to at most 1. A text's score is the
+sum of its bytes' log10 probabilities. The base is exact unigram counts, for which no probability adds up.
+
+How it is counted: each task counts its distinct strings of ``DEPTH + 1`` bytes and passes them on packed, in buckets
+by the last ``ROOT`` bytes of the context. All longer suffixes of a context lie in its bucket, so tests and
+smoothing are local to it; strings of the ``ROOT`` shortest depths, at most 2**24, are summed on the driver. The tree is broadcast
+in shards of whole buckets of about ``SHARD`` strings; a task looks its distinct strings up in one shard after the other, so
+its memory is bounded by a shard whatever the tree's size. Words that make up at least ``1 / HEAD`` of all tokens, at
+most ``HEAD`` of them, are broadcast for the base; the rest of each document's words are joined to their counts.
+
+Null and empty texts are an end alone. Without a text to learn from all counts are 0 and bytes are uniform. Long texts
+are read in pieces of about ``CHUNK`` bytes. Repeated rows are scored one by one (rows are told apart by task and
+place, not by ``doc_id``, which may be null). Other columns are ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, utf8
+from .common import removed, staged, utf8, written
 
-DEPTH = 5
-P_MIN, DIVERGENCE, SMOOTH = 1e-6, 20.0, 4.0
-#: So many occurrences are enough for a context at any size of the input.
-FEWEST = 4
+DEPTH, ROOT = 7, 3
+FEWEST, DIVERGENCE = 2, 3.0
 HEAD = 500_000
-#: Texts are counted and scored in chunks of about so many bytes; partial counts are passed on at so many distinct
-#: words, or when so many byte strings have come together and half as many are distinct.
-CHUNK, DISTINCT_WORDS, DISTINCT_GRAMS = 1 << 20, 300_000, 1_300_000
+#: Strings of a shard of the tree.
+SHARD = 10_000_000
+#: Texts are counted and scored in chunks of about so many bytes and looked up in groups of so many; partial counts
+#: are passed on at so many distinct words or strings.
+CHUNK, GROUP, DISTINCT_WORDS, DISTINCT_STRINGS = 1 << 20, 8 << 20, 300_000, 3_000_000
+#: Buckets of strings: one for each partition of the input, within these bounds.
+BUCKETS = (256, 1 << 16)
 
 END = b"\n"
 _PAD = END * DEPTH
+_SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
+_8, _16 = np.uint64(8), np.uint64(16)
 
 
-def _chunks(texts: Iterator[bytes]) -> Iterator[list[list[bytes]]]:
-    """The words of the texts, in chunks of texts."""
+@dataclass
+class Piece:
+    row: int
+    before: bytes
+    words: list[bytes]
+    body: bytes
+    last: bool
+
+
+def pieces(texts: Iterable[bytes]) -> Iterator[Piece]:
+    """The texts' words and normalised bytes, long texts in several pieces, each with the ``DEPTH`` bytes before it."""
+    for row, t in enumerate(texts):
+        before, at, begun = _PAD, 0, False
+        while True:
+            gap = _SPACE.search(t, at + CHUNK) if len(t) - at > CHUNK else None
+            stop = gap.start() if gap else len(t)
+            words, last = t[at:stop].lower().split(), not gap
+            body = b" ".join(words)
+            if begun and words:
+                body = b" " + body
+            begun = begun or bool(words)
+            if last:
+                body += END
+            if body:
+                yield Piece(row, before, words, body, last)
+            if last:
+                break
+            before, at = (before + body)[-DEPTH:], stop
+
+
+def _chunks(texts: Iterable[bytes]) -> Iterator[list[Piece]]:
     part, size = [], 0
-    for t in texts:
-        part.append(t.lower().split())
-        size += len(t)
+    for p in pieces(texts):
+        part.append(p)
+        size += len(p.body)
         if size >= CHUNK:
             yield part
             part, size = [], 0
@@ -58,124 +97,291 @@ def _chunks(texts: Iterator[bytes]) -> Iterator[list[list[bytes]]]:
         yield part
 
 
-def _codes(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte to predict, it and the bytes before as one number (it is the lowest); where each text's start."""
-    joined = [b" ".join(d) + END for d in docs]
-    n = np.fromiter(map(len, joined), np.int64, len(joined))
-    buffer = END * (7 - DEPTH) + b"".join(_PAD + x for x in joined)
-    # eight bytes from every place on, read as one big-endian number: the last byte is the one to predict
-    wide = np.ndarray((len(buffer) - 7,), ">u8", buffer, strides=(1,))
-    stops = np.cumsum(n + DEPTH) - DEPTH
+def codes_of(part: list[Piece]) -> np.ndarray:
+    """For each byte to predict: the bytes before, the nearest one highest, and itself as the lowest."""
+    n = np.fromiter((len(p.body) for p in part), np.int64, len(part))
+    buffer = b"".join(x for p in part for x in (p.before, p.body))
+    wide = np.ndarray((len(buffer) - 7,), "<u8", buffer, strides=(1,))  # the byte to predict is the highest
+    ends = np.cumsum(n + DEPTH) - DEPTH
     keep = np.ones(len(wide), bool)
     for k in range(DEPTH):
-        keep[stops[:-1] + k] = False  # these end in the padding between two texts
-    return wide[keep].astype(np.uint64) & np.uint64((1 << 8 * (DEPTH + 1)) - 1), np.cumsum(n) - n
+        keep[ends[:-1] + k] = False  # these end in what stands before the next piece
+    wide = wide[keep].astype(np.uint64)
+    return (wide << _8) | (wide >> np.uint64(56))
 
 
-def _places(distinct: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Where each code stands among the sorted distinct ones: by a hash table, and by search where two share a slot."""
-    factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 22)
-    slots = np.zeros(1 << 22, np.int32)
-    slots[(distinct * factor) >> shift] = np.arange(len(distinct), dtype=np.int32)
-    at = slots[(codes * factor) >> shift]
-    other = np.nonzero(distinct[at] != codes)[0]
-    at[other] = np.searchsorted(distinct, codes[other])
-    return at
+def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
+    """By the ``ROOT`` bytes before the predicted one."""
+    h = (codes >> np.uint64(64 - 8 * ROOT)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Partial counts with each string once."""
-    grams, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(grams)
-    grams, counts = grams[order], counts[order]
-    first = np.nonzero(np.concatenate(([True], grams[1:] != grams[:-1])))[0]
-    return grams[first], np.add.reduceat(counts, first)
-
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts of words (``word``) and of byte strings (``gram``, word null)."""
-    words: Counter[bytes] = Counter()
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def of_words() -> pa.RecordBatch:
-        out = pa.record_batch([pa.array(list(words), pa.binary()), pa.nulls(len(words), pa.int64()), pa.array(list(words.values()), pa.int64())], names=["word", "gram", "n"])
-        words.clear()
-        return out
-
-    def of_grams() -> pa.RecordBatch:
-        grams, n = _summed(parts)
-        parts.clear()
-        return pa.record_batch([pa.nulls(len(grams), pa.binary()), pa.array(grams.view(np.int64)), pa.array(n)], names=["word", "gram", "n"])
-
-    for docs in _chunks(t for b in batches for t in utf8(b.column(0))):
-        for d in docs:
-            words.update(d)
-        words[b""] += len(docs)  # the end; no word is empty
-        parts.append(np.unique(_codes(docs)[0], return_counts=True))
-        if len(words) > DISTINCT_WORDS:
+    """Partial counts with each string once, sorted."""
+    if len(parts) == 1:
+        return parts[0]
+    codes, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(codes, kind="stable")  # the parts are sorted runs
+    codes, counts = codes[order], counts[order]
+    first = np.nonzero(np.concatenate(([True], codes[1:] != codes[:-1])))[0]
+    return codes[first], np.add.reduceat(counts, first)
+
+
+def packed(codes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted strings and their counts: differences, byte by byte of the numbers, compressed."""
+    planes = lambda x: np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(planes(np.diff(codes, prepend=np.uint64(0))) + planes(counts))
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(2, 8, -1)
+    steps, counts = (np.ascontiguousarray(x.T).view(np.uint64).reshape(-1) for x in both)
+    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
+
+
+def _counter(buckets: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Partial counts of words (``word``, ``n``) and of strings (``bucket``, ``blob``)."""
+        words: Counter[bytes] = Counter()
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        names = ["word", "n", "bucket", "blob"]
+
+        def of_words() -> pa.RecordBatch:
+            out = pa.record_batch([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64()), pa.nulls(len(words), pa.int32()), pa.nulls(len(words), pa.binary())], names=names)
+            words.clear()
+            return out
+
+        def of_strings() -> pa.RecordBatch:
+            codes, n = _summed(parts)
+            parts.clear()
+            b = _bucket(codes, buckets)
+            order = np.argsort(b, kind="stable")
+            b, codes, n = b[order], codes[order], n[order]
+            cut = np.nonzero(np.diff(b))[0] + 1
+            blobs = [packed(c, k) for c, k in zip(np.split(codes, cut), np.split(n, cut), strict=True)]
+            return pa.record_batch([pa.nulls(len(blobs), pa.binary()), pa.nulls(len(blobs), pa.int64()), pa.array(b[np.concatenate(([0], cut))].astype(np.int32)), pa.array(blobs, pa.binary())], names=names)
+
+        for part in _chunks(t for b in batches for t in utf8(b.column(0))):
+            for p in part:
+                words.update(p.words)
+            words[b""] += sum(p.last for p in part)  # the end; no word is empty
+            parts.append(np.unique(codes_of(part), return_counts=True))
+            if len(words) > DISTINCT_WORDS:
+                yield of_words()
+            if sum(len(c) for c, _ in parts) > DISTINCT_STRINGS:
+                parts[:] = [_summed(parts)]
+                if len(parts[0][0]) > DISTINCT_STRINGS // 2:
+                    yield of_strings()
+        if words:
             yield of_words()
-        if sum(len(g) for g, _ in parts) > DISTINCT_GRAMS:
-            parts[:] = [_summed(parts)]
-            if len(parts[0][0]) > DISTINCT_GRAMS // 2:
-                yield of_grams()
-    if words:
-        yield of_words()
+        if parts:
+            yield of_strings()
+
+    return count
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per bucket; buckets come whole and in order."""
+    now, parts = None, []
+
+    def whole() -> pa.RecordBatch:
+        return pa.record_batch([pa.array([now], pa.int32()), pa.array([packed(*_summed(parts))], pa.binary())], names=["bucket", "blob"])
+
+    for b in batches:
+        for bucket, blob in zip(b.column("bucket").to_pylist(), b.column("blob"), strict=True):
+            if parts and bucket != now:
+                yield whole()
+                parts = []
+            now = bucket
+            parts.append(unpacked(blob.as_py()))
+            if sum(len(c) for c, _ in parts[1:]) > max(DISTINCT_STRINGS, len(parts[0][0])):
+                parts = [_summed(parts)]
     if parts:
-        yield of_grams()
+        yield whole()
 
 
 @dataclass
-class Tree:
-    """Per depth from 0: the states (sorted) with their totals, and strings of state and next byte with their counts."""
+class Level:
+    """Strings of one depth, sorted: how often they occur, after how many different bytes, and where their suffix stands."""
 
-    states: list[np.ndarray] = field(default_factory=list)
-    totals: list[np.ndarray] = field(default_factory=list)
-    strings: list[np.ndarray] = field(default_factory=list)
-    counts: list[np.ndarray] = field(default_factory=list)
+    strings: np.ndarray
+    n: np.ndarray
+    after: np.ndarray
+    suffix: np.ndarray | None = None
 
-    def log10(self, codes: np.ndarray) -> np.ndarray:
-        """For each code, the log10 probability of its lowest byte after the others."""
-        p = np.full(len(codes), 1 / 256)
-        for d in range(len(self.states)):
-            string = codes & np.uint64((1 << 8 * (d + 1)) - 1)
-            total = _looked_up(self.states[d], self.totals[d], string >> np.uint64(8))
-            count = _looked_up(self.strings[d], self.counts[d], string)
-            p = np.where(total > 0, (count + SMOOTH * p) / (total + SMOOTH), p)
-        return np.log10(p)
+
+def shorter(longer: Level) -> Level:
+    """The level one byte shorter; sets the longer one's ``suffix``."""
+    s = ((longer.strings >> _16) << _8) | (longer.strings & np.uint64(255))
+    strings, longer.suffix = np.unique(s, return_inverse=True)
+    return Level(strings, np.bincount(longer.suffix, longer.n, len(strings)), np.bincount(longer.suffix, minlength=len(strings)).astype(np.float64))
+
+
+def levels(codes: np.ndarray, n: np.ndarray, deepest: int, last: int) -> dict[int, Level]:
+    out = {deepest: Level(codes, n.astype(np.float64), n.astype(np.float64))}
+    for d in range(deepest - 1, last - 1, -1):
+        out[d] = shorter(out[d + 1])
+    return out
+
+
+def discounts(of: np.ndarray) -> np.ndarray:
+    """What is taken off counts of 0, 1, 2 and more, from how many strings have the counts 1 to 4."""
+    a, b, c, d = (max(1.0, float(x)) for x in of)
+    y = a / (a + 2 * b)
+    return np.concatenate(([0.0], np.clip([1 - 2 * y * b / a, 2 - 3 * y * c / b, 3 - 4 * y * d / c], 0.05, [0.95, 1.9, 2.8])))
 
 
-def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def counts_of_counts(x: np.ndarray) -> np.ndarray:
+    return np.array([(x == k).sum() for k in (1, 2, 3, 4)], np.float64)
+
+
+@dataclass
+class States:
+    """The states of one depth with what they leave to shorter ones, and their strings with probabilities: as the
+    longest state (``raw``) and as a shorter one of a longer state (``cont``)."""
+
+    states: np.ndarray
+    leave_raw: np.ndarray
+    leave_cont: np.ndarray
+    strings: np.ndarray
+    raw: np.ndarray
+    cont: np.ndarray
+
+
+def smoothed(level: Level, lower: np.ndarray, lower_ml: np.ndarray | None, off: tuple[np.ndarray, np.ndarray]) -> tuple[States, np.ndarray, np.ndarray]:
+    """The states of a level, each string's continuation probability from here on, and its relative frequency.
+
+    ``lower`` is the continuation probability of each string's suffix; without ``lower_ml`` the level is the root.
+    """
+    context = level.strings >> _8
+    start = np.nonzero(np.concatenate(([True], context[1:] != context[:-1])))[0]
+    owner = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(context))))
+    total = np.add.reduceat(level.n, start)
+    ml = level.n / total[owner]
+    is_state = np.ones(len(start), bool)
+    if lower_ml is not None:
+        is_state = (total >= FEWEST) & (np.add.reduceat(level.n * np.log(ml / lower_ml), start) >= DIVERGENCE)
+    p, leave = [], []
+    for x, of in zip((level.n, level.after), off, strict=True):
+        all_of, taken = np.add.reduceat(x, start), of[np.minimum(x, 3).astype(np.int64)]
+        leave.append(np.add.reduceat(taken, start) / all_of)
+        p.append((x - taken) / all_of[owner] + leave[-1][owner] * lower)
+    kept = is_state[owner]
+    f = np.float32
+    found = States(context[start][is_state], leave[0][is_state].astype(f), leave[1][is_state].astype(f), level.strings[kept], p[0][kept].astype(f), p[1][kept].astype(f))
+    return found, np.where(kept, p[1], lower), ml
+
+
+@dataclass
+class Shallow:
+    """The depths up to ``ROOT - 1``, and the discounts of all."""
+
+    of_depth: list[States]
+    strings: np.ndarray
+    cont: np.ndarray
+    ml: np.ndarray
+    off: dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each bucket: strings of depth ``ROOT - 1`` with their counts, and counts of counts (``depth`` 100 more)."""
+    for b in batches:
+        for blob in b.column("blob"):
+            of = levels(*unpacked(blob.as_py()), DEPTH, ROOT - 1)
+            rows = [(np.full(len(x.strings), d), x.strings, x.n, x.after) for d, x in of.items() if d == ROOT - 1]
+            rows += [(np.full(4, 100 + d), np.arange(4), counts_of_counts(x.n), counts_of_counts(x.after)) for d, x in of.items() if d >= ROOT]
+            depth, code, n, after = (np.concatenate(c) for c in zip(*rows, strict=True))
+            yield pa.record_batch([pa.array(depth.astype(np.int32)), pa.array(code.astype(np.int64)), pa.array(n.astype(np.int64)), pa.array(after.astype(np.int64))], names=["depth", "code", "n", "after"])
+
+
+def shallow(merged: DataFrame) -> Shallow:
+    t = merged.select("blob").mapInArrow(_sums, "depth int, code bigint, n bigint, after bigint").groupBy("depth", "code").agg(F.sum("n").alias("n"), F.sum("after").alias("after")).toArrow()
+    depth, code, n, after = (t[c].to_numpy() for c in ("depth", "code", "n", "after"))
+    low = depth == ROOT - 1
+    order = np.argsort(code[low])
+    level = Level(code[low][order].astype(np.uint64), n[low][order].astype(np.float64), after[low][order].astype(np.float64))
+    of = {ROOT - 1: level}
+    for d in range(ROOT - 2, -1, -1):
+        of[d] = shorter(of[d + 1])
+    off = {d: (discounts(counts_of_counts(x.n)), discounts(counts_of_counts(x.after))) for d, x in of.items()}
+    for d in range(ROOT, DEPTH + 1):
+        at = np.nonzero(depth == 100 + d)[0]
+        at = at[np.argsort(code[at])]
+        off[d] = (discounts(n[at]), discounts(after[at])) if len(at) else (np.zeros(4), np.zeros(4))
+    states, cont, ml = [], None, None
+    for d in range(ROOT):
+        x = of[d]
+        if not len(x.strings):
+            return Shallow([], x.strings, np.zeros(0), np.zeros(0), off)
+        found, cont, ml = smoothed(x, np.full(len(x.strings), 1 / 256) if d == 0 else cont[x.suffix], None if d == 0 else ml[x.suffix], off[d])
+        states.append(found)
+    return Shallow(states, level.strings, cont, ml, off)
+
+
+def deep_states(codes: np.ndarray, n: np.ndarray, low: Shallow) -> dict[int, States]:
+    """The states of a bucket from depth ``ROOT`` on."""
+    of, out = levels(codes, n, DEPTH, ROOT - 1), {}
+    at = np.searchsorted(low.strings, of[ROOT - 1].strings)
+    cont, ml = low.cont[at], low.ml[at]
+    for d in range(ROOT, DEPTH + 1):
+        out[d], cont, ml = smoothed(of[d], cont[of[d].suffix], ml[of[d].suffix], low.off[d])
+    return out
+
+
+STATES = "bucket int, depth int, string boolean, code bigint, a float, b float"
+
+
+def _stater(low):
+    def states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for bucket, blob in zip(b.column("bucket").to_pylist(), b.column("blob"), strict=True):
+                for d, s in deep_states(*unpacked(blob.as_py()), low.value).items():
+                    for is_string, code, x, y in ((False, s.states, s.leave_raw, s.leave_cont), (True, s.strings, s.raw, s.cont)):
+                        k = len(code)
+                        yield pa.record_batch([pa.array(np.full(k, bucket, np.int32)), pa.array(np.full(k, d, np.int32)), pa.array(np.full(k, is_string)), pa.array(code.view(np.int64)), pa.array(x), pa.array(y)], names=["bucket", "depth", "string", "code", "a", "b"])
+
+    return states
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places among the sorted keys, and whether the key is there."""
     if not len(keys):
-        return np.zeros(len(wanted))
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], 0)
-
-
-def tree(grams: DataFrame) -> Tree:
-    """The tree from (``gram``, ``n``). Only strings of retained states reach the driver."""
-    each = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), F.col("gram").bitwiseAND((1 << 8 * (d + 1)) - 1).alias("s")) for d in range(DEPTH + 1)]))
-    strings = staged(grams.select(each.alias("x"), "n").groupBy("x.d", "x.s").agg(F.sum("n").alias("n")), "strings", 4).withColumn("c", F.shiftright("s", 8))
-    contexts = strings.groupBy("d", "c").agg(F.sum("n").alias("of"))
-    known = staged(strings.join(contexts, ["d", "c"]), "contexts", 4)
-    total = known.filter("d = 0").agg(F.max("of")).first()[0] or 0
-    shorter = known.select((F.col("d") + 1).alias("d"), F.col("s").alias("suffix"), F.col("n").alias("suffix_n"), F.col("of").alias("suffix_of"))
-    frequent = known.filter((F.col("d") > 0) & (F.col("of") >= min(P_MIN * total, FEWEST))).withColumn("suffix", F.col("s").bitwiseAND(F.expr("shiftleft(1L, 8 * d) - 1")))
-    gain = F.col("n") * (F.log(F.col("n") / F.col("of")) - F.log(F.col("suffix_n") / F.col("suffix_of")))
-    states = frequent.join(shorter, ["d", "suffix"]).groupBy("d", "c").agg(F.sum(gain).alias("gain")).filter(F.col("gain") >= DIVERGENCE).select("d", "c")
-    kept = known.filter("d > 0").join(states, ["d", "c"], "left_semi").select("d", "s", "n").unionByName(known.filter("d = 0").select("d", "s", "n"))
-    rows = kept.toArrow()
-    depth, string, count = (rows[c].to_numpy() for c in ("d", "s", "n"))
-    out = Tree()
-    for d in range(DEPTH + 1 if total else 0):
-        s, n = string[depth == d].astype(np.uint64), count[depth == d].astype(np.float64)
-        order = np.argsort(s)
-        s, n = s[order], n[order]
-        states, back = np.unique(s >> np.uint64(8), return_inverse=True)
-        out.strings.append(s)
-        out.counts.append(n)
-        out.states.append(states)
-        out.totals.append(np.bincount(back, n, len(states)))
-    return out
+    return at, keys[at] == wanted
+
+
+def log10(of_depth: list[States], codes: np.ndarray) -> np.ndarray:
+    """For each string, the log10 probability of its lowest byte after the others, from its longest suffix that is a state."""
+    p, weight, first = np.full(len(codes), 1 / 256), np.ones(len(codes)), np.ones(len(codes), bool)
+    left = np.arange(len(codes))
+    for d in range(len(of_depth) - 1, -1, -1):
+        s, c = of_depth[d], codes[left]
+        context = c >> np.uint64(64 - 8 * d) if d else np.zeros(len(c), np.uint64)
+        at, known = _found(s.states, context)
+        own, at = left[known], at[known]
+        place, seen = _found(s.strings, (context[known] << _8) | (c[known] & np.uint64(255)))
+        done, place = own[seen], place[seen]
+        p[done] = weight[done] * np.where(first[done], s.raw[place], s.cont[place])
+        rest, at = own[~seen], at[~seen]
+        weight[rest] *= np.where(first[rest], s.leave_raw[at], s.leave_cont[at])
+        first[rest] = False
+        open_ = np.ones(len(left), bool)
+        open_[np.nonzero(known)[0][seen]] = False
+        left = left[open_]
+    p[left] = weight[left] / 256
+    return np.log10(p)
+
+
+def _places(distinct: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Where each code stands among the sorted distinct ones: by a hash table, and by search where two share a slot."""
+    factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 22)
+    slots = np.zeros(1 << 22, np.int32)
+    slots[(distinct * factor) >> shift] = np.arange(len(distinct), dtype=np.int32)
+    at = slots[(codes * factor) >> shift]
+    other = np.nonzero(distinct[at] != codes)[0]
+    at[other] = np.searchsorted(distinct, codes[other])
+    return at
 
 
 class Head(dict):
@@ -185,81 +391,134 @@ class Head(dict):
         return 0.0
 
 
-def token_scores(tree_: Tree, docs: list[list[bytes]]) -> np.ndarray:
-    """The tree's log10 probability of every token of the texts in order, each text's end included.
+@dataclass
+class Model:
+    """The tree in shards, each a broadcast list of ``States`` by depth; which shard a bucket is in."""
 
-    A word's bytes are its own and the space before it, if there is one.
-    """
-    codes, starts = _codes(docs)
-    distinct, _ = np.unique(codes, return_counts=True)  # with counts numpy takes its faster way
-    symbol = codes & np.uint64(255)
-    first = (symbol == 32) | (symbol == END[0])
-    first[starts] = True
-    return np.add.reduceat(tree_.log10(distinct)[_places(distinct, codes)], np.nonzero(first)[0])
+    shards: list
+    shard_of: np.ndarray
 
+    def log10(self, codes: np.ndarray) -> np.ndarray:
+        """Of sorted strings; one shard at a time is in memory."""
+        out = np.empty(len(codes))
+        own = self.shard_of[_bucket(codes, len(self.shard_of))]
+        for i, shard in enumerate(self.shards):
+            at = np.nonzero(own == i)[0]
+            if len(at):
+                out[at] = log10(shard.value, codes[at])
+                if len(self.shards) > 1:
+                    shard.__dict__.pop("_value", None)  # read again from the executor's own copy when it is next needed
+        return out
 
-def _scorer(head, model, total: float):
-    """``total`` is the unigrams' denominator."""
 
+SCORED = "part bigint, place bigint, n_tokens bigint, head_known bigint, head_base double, score double, rest array<binary>, times array<bigint>"
+
+
+def _scorer(head, model: Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, place = int.from_bytes(os.urandom(8), "little", signed=True), 0
+        """Sums by row, in several rows of output: of words chunk by chunk, of the tree's scores group by group."""
+        task, base = int.from_bytes(os.urandom(8), "little", signed=True), 0
         for b in batches:
-            first = 0
-            for docs in _chunks(utf8(b.column(1))):
-                lp = token_scores(model.value, docs)
-                tokens = [w for d in docs for w in (*d, b"")]
-                n = np.fromiter((len(d) + 1 for d in docs), np.int64, len(docs))
-                starts = np.cumsum(n) - n
+            ids = b.column(0)
+            names = [b.schema.names[0], *[c.split()[0] for c in SCORED.split(", ")]]
+            group: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+            size = 0
+
+            def out(rows: np.ndarray, *columns, ids=ids, names=names, base=base) -> pa.RecordBatch:
+                return pa.record_batch([ids.take(pa.array(rows)), pa.array(np.full(len(rows), task, np.int64)), pa.array(base + rows), *columns], names=names)
+
+            def scores() -> pa.RecordBatch:
+                every = np.unique(np.concatenate([g[1] for g in group]))
+                lp = model.log10(every)
+                rows, sums = [], []
+                for row, distinct, places, starts in group:
+                    rows.append(row)
+                    sums.append(np.add.reduceat(lp[np.searchsorted(every, distinct)][places], starts))
+                row = np.concatenate(rows)
+                group.clear()
+                zero, none = np.zeros(len(row), np.int64), pa.array([[]] * len(row), pa.list_(pa.binary()))
+                return out(row, pa.array(zero), pa.array(zero), pa.array(zero.astype(np.float64)), pa.array(np.concatenate(sums)), none, none.cast(pa.list_(pa.int64())))
+
+            for part in _chunks(utf8(b.column(1))):
+                row = np.fromiter((p.row for p in part), np.int64, len(part))
+                codes = codes_of(part)
+                distinct, _ = np.unique(codes, return_counts=True)  # with counts numpy takes its faster way
+                n = np.fromiter((len(p.body) for p in part), np.int64, len(part))
+                group.append((row, distinct, _places(distinct, codes), np.cumsum(n) - n))
+                tokens = [w for p in part for w in (*p.words, *([b""] if p.last else []))]
+                n = np.fromiter((len(p.words) + p.last for p in part), np.int64, len(part))
                 counts = np.fromiter(map(head.value.__getitem__, tokens), np.float64, len(tokens))
-                known = counts > 0
-                plain = np.where(known, np.log10(np.maximum(counts, 1.0)), 0.0)
-                mixed = np.where(known, mixture(counts / total, lp), 0.0)
-                rest, scores = [], []
+                owner, known = np.repeat(np.arange(len(part)), n), counts > 0
+                plain = np.bincount(owner[known], np.log10(counts[known]), len(part))
                 left = np.nonzero(~known)[0]
-                for own in np.split(left, np.searchsorted(left, starts[1:])):
-                    of: dict[bytes, list[float]] = {}
-                    for k, x in zip(own.tolist(), lp[own].tolist(), strict=True):
-                        of.setdefault(tokens[k], []).append(x)
-                    rest.append(list(of))
-                    scores.append(list(of.values()))
-                sums = (np.add.reduceat(x, starts) for x in (known.astype(np.int64), plain, mixed))
-                yield pa.record_batch(
-                    [b.column(0).slice(first, len(docs)), pa.array([part] * len(docs), pa.int64()), pa.array(range(place, place + len(docs)), pa.int64()), pa.array(n), *map(pa.array, sums), pa.array(rest, pa.list_(pa.binary())), pa.array(scores, pa.list_(pa.list_(pa.float32())))],
-                    names=["doc_id", "part", "place", "n_tokens", "head_known", "head_base", "head_score", "rest", "rest_scores"],
-                )
-                first += len(docs)
-                place += len(docs)
+                rest = [Counter(tokens[k] for k in own.tolist()) for own in np.split(left, np.searchsorted(owner[left], np.arange(1, len(part))))]
+                yield out(row, pa.array(n), pa.array(np.bincount(owner[known], minlength=len(part)).astype(np.int64)), pa.array(plain), pa.array(np.zeros(len(part))), pa.array([list(r) for r in rest], pa.list_(pa.binary())), pa.array([list(r.values()) for r in rest], pa.list_(pa.int64())))
+                size += len(codes)
+                if size >= GROUP:
+                    yield scores()
+                    size = 0
+            if group:
+                yield scores()
+            base += b.num_rows
 
     return score
 
 
-def mixture(unigram: np.ndarray, tree_log10: np.ndarray) -> np.ndarray:
-    """log10 of the even mixture of a unigram's and the tree's probability of a token."""
-    return np.log10(0.5 * unigram + 0.5 * 10.0**tree_log10)
+def tree(strings: DataFrame, buckets: int) -> Model:
+    """The model from packed partial counts (``bucket``, ``blob``)."""
+    spark = strings.sparkSession
+    merged, path = written(strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merged, "bucket int, blob binary"), "suffix-strings")
+    low = shallow(merged)
+    if not low.of_depth:
+        return Model([spark.sparkContext.broadcast([])], np.zeros(buckets, np.int64))
+    kept, states_path = written(merged.mapInArrow(_stater(spark.sparkContext.broadcast(low)), STATES), "suffix-states")
+    removed(spark, path)
+    sizes = np.zeros(buckets, np.int64)
+    for r in kept.groupBy("bucket").count().collect():  # at most BUCKETS[1] rows
+        sizes[r["bucket"]] = r["count"]
+    shard_of = (np.cumsum(sizes) - sizes) // SHARD
+    shard_of = np.unique(shard_of, return_inverse=True)[1]
+    shards = []
+    for i in range(int(shard_of[-1]) + 1):
+        own = np.nonzero(shard_of == i)[0]
+        shards.append(spark.sparkContext.broadcast(_shard(kept.filter(F.col("bucket").between(int(own[0]), int(own[-1]))), low)))
+    removed(spark, states_path)
+    return Model(shards, shard_of)
+
+
+def _shard(rows: DataFrame, low: Shallow) -> list[States]:
+    out = list(low.of_depth)
+    for d in range(ROOT, DEPTH + 1):
+        t = rows.filter(F.col("depth") == d).select("string", "code", "a", "b").toArrow()
+        is_string, code = t["string"].to_numpy(), t["code"].to_numpy().view(np.uint64)
+        found = []
+        for of in (~is_string, is_string):
+            own = code[of]
+            order = np.argsort(own)
+            found += [own[order], t["a"].to_numpy()[of][order], t["b"].to_numpy()[of][order]]
+        out.append(States(*found))
+    return out
 
 
 def scored(docs: DataFrame, learn_from: Column) -> DataFrame:
     """Per row: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
-    partial = docs.filter(learn_from).select(F.col("text").cast("string").alias("text")).mapInArrow(_counts, "word binary, gram bigint, n bigint")
-    counts = staged(partial.groupBy("word", "gram").agg(F.sum("n").alias("n")), "counts")
-    words, grams = counts.filter(F.col("word").isNotNull()).select("word", "n"), counts.filter(F.col("gram").isNotNull()).select("gram", "n")
+    texts = docs.filter(learn_from).select(F.col("text").cast("string").alias("text"))
+    buckets = min(BUCKETS[1], max(BUCKETS[0], texts.rdd.getNumPartitions()))
+    partial, path = written(texts.mapInArrow(_counter(buckets), "word binary, n bigint, bucket int, blob binary"), "partial-counts")
+    words = staged(partial.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    model = tree(partial.filter("bucket is not null").select("bucket", "blob"), buckets)
+    removed(spark, path)
     sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = sums["n"] or 0, sums["v"]
-    total = float(n + v + 1)
     least = max(1, -(-n // HEAD))  # rounded up: at most HEAD words reach it
     top = words.filter(F.col("n") >= least).toArrow()
     head = spark.sparkContext.broadcast(Head(zip(top["word"].to_pylist(), (top["n"].to_numpy() + 1.0).tolist(), strict=True)))
-    model = spark.sparkContext.broadcast(tree(grams))
-    schema = f"doc_id {kind}, part bigint, place bigint, n_tokens bigint, head_known bigint, head_base double, head_score double, rest array<binary>, rest_scores array<array<float>>"
-    rows = staged(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_scorer(head, model, total), schema), "scored")
-    tail = rows.select("part", "place", F.explode(F.arrays_zip("rest", "rest_scores")).alias("x")).select("part", "place", F.col("x.rest").alias("word"), F.col("x.rest_scores").alias("lp"))
-    found = tail.join(words.filter(F.col("n") < least), "word", "left")
-    c, times = F.coalesce("n", F.lit(0).cast("bigint")), F.size("lp").cast("bigint")
-    unigram = (c + 1) / F.lit(total)
-    own = F.aggregate("lp", F.lit(0.0), lambda a, x: a + F.log10(0.5 * unigram + 0.5 * F.pow(F.lit(10.0), x.cast("double"))))
-    of = found.groupBy("part", "place").agg(F.sum(F.when(c > 0, times).otherwise(F.lit(0).cast("bigint"))).alias("known"), F.sum(times * F.log10(c + 1.0)).alias("base"), F.sum(own).alias("own"))
-    out = rows.drop("rest", "rest_scores").join(of, ["part", "place"], "left")
-    zero = F.lit(0.0)
-    base = F.col("head_base") + F.coalesce("base", zero) - F.col("n_tokens") * F.log10(F.lit(total))
-    return out.select("doc_id", "n_tokens", (F.col("head_known") + F.coalesce("known", F.lit(0).cast("bigint"))).alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"), base.alias("base_score"), (F.col("head_score") + F.coalesce("own", zero)).alias("score"))
+    rows = staged(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_scorer(head, model), f"doc_id {kind}, {SCORED}"), "scored")
+    tail = rows.select("part", "place", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("part", "place", F.col("x.rest").alias("word"), F.col("x.times").alias("times"))
+    # words that no text to learn from has add nothing to either sum
+    found = tail.join(words.filter(F.col("n") < least), "word").select(F.lit(None).cast(kind).alias("doc_id"), "part", "place", F.lit(0).cast("bigint").alias("n_tokens"), F.col("times").alias("known"), (F.col("times") * F.log10(F.col("n") + 1.0)).alias("base"), F.lit(0.0).alias("score"))
+    every = rows.select("doc_id", "part", "place", "n_tokens", F.col("head_known").alias("known"), F.col("head_base").alias("base"), "score").unionByName(found)
+    of = every.groupBy("part", "place").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", "known", "base", "score")])
+    base = F.col("base") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
+    return of.select("doc_id", "n_tokens", F.col("known").alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"), base.alias("base_score"), "score")

@@ -113,3 +113,61 @@ def mixture(docs, seed=20, temperature=0.5):
             n += k
         out += [(i, r, hashed(seed, "order", i, r)) for r in range(1, n + 1)]
     return sorted(out, key=lambda x: x[2])
+
+
+def discounted(counts):
+    """What modified Kneser-Ney takes off each count, from the counts of counts."""
+    a, b, c, d = (max(1, sum(x == k for x in counts)) for k in (1, 2, 3, 4))
+    y = a / (a + 2 * b)
+    off = [0, *(min(max(x, 0.05), most) for x, most in ((1 - 2 * y * b / a, 0.95), (2 - 3 * y * c / b, 1.9), (3 - 4 * y * d / c, 2.8)))]
+    return lambda x: off[min(x, 3)]
+
+
+def suffix_tree(learn, depth=7, fewest=2, divergence=3.0):
+    """Of texts: a function from (bytes before, byte) to its probability."""
+    count = [{} for _ in range(depth + 1)]
+    for t in learn:
+        s = b"\n" * depth + normal(t)
+        for i in range(depth, len(s)):
+            for d in range(depth + 1):
+                of = count[d].setdefault(s[i - d : i], Counter())
+                of[s[i]] += 1
+    after = [{} for _ in range(depth + 1)]
+    after[depth] = count[depth]
+    for d in range(depth):
+        for h, of in count[d + 1].items():
+            mine = after[d].setdefault(h[1:], Counter())
+            for x in of:
+                mine[x] += 1
+    off = [[discounted([n for of in table[d].values() for n in of.values()]) for d in range(depth + 1)] for table in (count, after)]
+
+    def is_state(h):
+        of = count[len(h)].get(h)
+        if of is None or not h:
+            return of is not None
+        n, low = sum(of.values()), count[len(h) - 1][h[1:]]
+        m = sum(low.values())
+        return n >= fewest and sum(c * math.log(c / n / (low[x] / m)) for x, c in of.items()) >= divergence
+
+    states = {h for d in range(depth + 1) for h in count[d] if is_state(h)}
+
+    def p(h, x, raw):
+        while h not in states and h:
+            h = h[1:]
+        if h not in states:
+            return 1 / 256
+        of, take = ((count if raw else after)[len(h)][h], off[0 if raw else 1][len(h)])
+        lower = p(h[1:], x, False) if h else 1 / 256
+        n = sum(of.values())
+        return (of[x] - take(of[x]) + sum(map(take, of.values())) * lower) / n
+
+    return lambda before, x: p(before[-depth:], x, True)
+
+
+def normal(t):
+    return b" ".join((t or "").encode().lower().split()) + b"\n"
+
+
+def suffix_score(p, t, depth=7):
+    s = b"\n" * depth + normal(t)
+    return sum(math.log10(p(s[i - depth : i], s[i])) for i in range(depth, len(s)))
