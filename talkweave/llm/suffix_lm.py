@@ -3,15 +3,15 @@
 The tree predicts the bytes of a text's words (A-Z lower-cased, one space between words, a line feed as the end) from up
 to ``DEPTH`` bytes before, line feeds standing before a text. A context is a state if it occurs ``FEWEST`` times and its
 next-byte distribution diverges from that of the context one byte shorter by ``DIVERGENCE`` nats of log-likelihood over
-its occurrences (three nats: odds of 20 to 1). Both are fixed numbers, so the tree grows with the input. A byte is scored
+its occurrences. Both are fixed numbers, so the tree grows with the input. A byte is scored
 by the longest suffix of what came before it that is a state. A state's distribution takes discounts off its counts
 (modified Kneser-Ney, one set a depth) and gives them to the next shorter state's distribution over continuations
 (how many different bytes came before a string), and so on to the root, which is smoothed by a uniform one. All 256
 bytes after any context add up to 1, so the probabilities of all texts add up to at most 1. A text's score is the
 sum of its bytes' log10 probabilities. The base is exact unigram counts, for which no probability adds up.
 
-How it is counted: each task counts its distinct strings of ``DEPTH + 1`` bytes and passes them on packed, in buckets
-by the last ``ROOT`` bytes of the context. All longer suffixes of a context lie in its bucket, so tests and
+How it is counted: each task counts its distinct words and strings of ``DEPTH + 1`` bytes and passes them on packed, the strings in
+buckets by the last ``ROOT`` bytes of the context. All longer suffixes of a context lie in its bucket, so tests and
 smoothing are local to it; strings of the ``ROOT`` shortest depths, at most 2**24, are summed on the driver. The tree is broadcast
 in shards of whole buckets of about ``SHARD`` strings; a task looks its distinct strings up in one shard after the other, so
 its memory is bounded by a shard whatever the tree's size. Words that make up at least ``1 / HEAD`` of all tokens, at
@@ -25,10 +25,12 @@ place, not by ``doc_id``, which may be null). Other columns are ignored; an empt
 from __future__ import annotations
 
 import os
+import pickle
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +41,13 @@ from pyspark.sql import functions as F
 from .common import removed, staged, utf8, written
 
 DEPTH, ROOT = 7, 3
-FEWEST, DIVERGENCE = 2, 3.0
+FEWEST, DIVERGENCE = 4, 10.0
 HEAD = 500_000
 #: Strings of a shard of the tree.
 SHARD = 10_000_000
-#: Texts are counted and scored in chunks of about so many bytes and looked up in groups of so many; partial counts
-#: are passed on at so many distinct words or strings.
-CHUNK, GROUP, DISTINCT_WORDS, DISTINCT_STRINGS = 1 << 20, 8 << 20, 300_000, 3_000_000
+#: Texts are split in chunks of about so many bytes, counted and scored in groups of so many; partial counts are passed
+#: on at so many distinct words or strings.
+CHUNK, GROUP, DISTINCT_WORDS, DISTINCT_STRINGS = 1 << 20, 4 << 20, 300_000, 3_000_000
 #: Buckets of strings: one for each partition of the input, within these bounds.
 BUCKETS = (256, 1 << 16)
 
@@ -139,17 +141,38 @@ def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
 
 
+def packed_words(words: Counter[bytes]) -> bytes:
+    counts = np.fromiter(words.values(), np.uint64, len(words)).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(counts + END.join(words))
+
+
+def unpacked_words(blob: bytes, n: int) -> Iterator[tuple[bytes, int]]:
+    both = zstandard.ZstdDecompressor().decompress(blob)
+    return zip(both[8 * n :].split(END), np.frombuffer(both[: 8 * n], np.uint64).tolist(), strict=True)
+
+
+#: Packed counts of a bucket: of ``n_words`` words, or of strings where there are none.
+PACKED = "bucket int, n_words int, blob binary"
+
+
+def _packed_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    bucket, n, blob = zip(*rows, strict=True)
+    return pa.record_batch([pa.array(bucket, pa.int32()), pa.array(n, pa.int32()), pa.array(blob, pa.binary())], names=["bucket", "n_words", "blob"])
+
+
 def _counter(buckets: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Partial counts of words (``word``, ``n``) and of strings (``bucket``, ``blob``)."""
+        """Partial counts of the task's words and strings."""
         words: Counter[bytes] = Counter()
+        codes: list[np.ndarray] = []
         parts: list[tuple[np.ndarray, np.ndarray]] = []
-        names = ["word", "n", "bucket", "blob"]
 
         def of_words() -> pa.RecordBatch:
-            out = pa.record_batch([pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64()), pa.nulls(len(words), pa.int32()), pa.nulls(len(words), pa.binary())], names=names)
+            by: dict[int, Counter[bytes]] = {}
+            for w, n in words.items():
+                by.setdefault(zlib.crc32(w) % buckets, Counter())[w] = n
             words.clear()
-            return out
+            return _packed_rows([(b, len(own), packed_words(own)) for b, own in by.items()])
 
         def of_strings() -> pa.RecordBatch:
             codes, n = _summed(parts)
@@ -159,19 +182,24 @@ def _counter(buckets: int):
             b, codes, n = b[order], codes[order], n[order]
             cut = np.nonzero(np.diff(b))[0] + 1
             blobs = [packed(c, k) for c, k in zip(np.split(codes, cut), np.split(n, cut), strict=True)]
-            return pa.record_batch([pa.nulls(len(blobs), pa.binary()), pa.nulls(len(blobs), pa.int64()), pa.array(b[np.concatenate(([0], cut))].astype(np.int32)), pa.array(blobs, pa.binary())], names=names)
+            return _packed_rows([(x, 0, blob) for x, blob in zip(b[np.concatenate(([0], cut))].tolist(), blobs, strict=True)])
 
         for part in _chunks(t for b in batches for t in utf8(b.column(0))):
             for p in part:
                 words.update(p.words)
             words[b""] += sum(p.last for p in part)  # the end; no word is empty
-            parts.append(np.unique(codes_of(part), return_counts=True))
+            codes.append(codes_of(part))
+            if sum(map(len, codes)) >= GROUP:
+                parts.append(np.unique(np.concatenate(codes), return_counts=True))
+                codes.clear()
             if len(words) > DISTINCT_WORDS:
                 yield of_words()
             if sum(len(c) for c, _ in parts) > DISTINCT_STRINGS:
                 parts[:] = [_summed(parts)]
                 if len(parts[0][0]) > DISTINCT_STRINGS // 2:
                     yield of_strings()
+        if codes:
+            parts.append(np.unique(np.concatenate(codes), return_counts=True))
         if words:
             yield of_words()
         if parts:
@@ -181,23 +209,31 @@ def _counter(buckets: int):
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per bucket; buckets come whole and in order."""
+    """Words with their counts, and one row with the strings of each bucket; buckets come whole and in order."""
     now, parts = None, []
+    words: Counter[bytes] = Counter()
 
-    def whole() -> pa.RecordBatch:
-        return pa.record_batch([pa.array([now], pa.int32()), pa.array([packed(*_summed(parts))], pa.binary())], names=["bucket", "blob"])
+    def whole() -> Iterator[pa.RecordBatch]:
+        blob = [packed(*_summed(parts))] if parts else []
+        n, m = len(words), len(blob)
+        yield pa.record_batch([pa.array([*words, *[None] * m], pa.binary()), pa.array([*words.values(), *[None] * m], pa.int64()), pa.array([None] * n + [now] * m, pa.int32()), pa.array([None] * n + blob, pa.binary())], names=["word", "n", "bucket", "blob"])
+        parts.clear()
+        words.clear()
 
     for b in batches:
-        for bucket, blob in zip(b.column("bucket").to_pylist(), b.column("blob"), strict=True):
-            if parts and bucket != now:
-                yield whole()
-                parts = []
+        for bucket, n, blob in zip(b.column("bucket").to_pylist(), b.column("n_words").to_pylist(), b.column("blob"), strict=True):
+            if now is not None and bucket != now:
+                yield from whole()
             now = bucket
+            if n:
+                for w, k in unpacked_words(blob.as_py(), n):
+                    words[w] += k
+                continue
             parts.append(unpacked(blob.as_py()))
             if sum(len(c) for c, _ in parts[1:]) > max(DISTINCT_STRINGS, len(parts[0][0])):
-                parts = [_summed(parts)]
-    if parts:
-        yield whole()
+                parts[:] = [_summed(parts)]
+    if now is not None:
+        yield from whole()
 
 
 @dataclass
@@ -328,17 +364,16 @@ def deep_states(codes: np.ndarray, n: np.ndarray, low: Shallow) -> dict[int, Sta
     return out
 
 
-STATES = "bucket int, depth int, string boolean, code bigint, a float, b float"
+STATES = "bucket int, n bigint, blob binary"
 
 
 def _stater(low):
     def states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for bucket, blob in zip(b.column("bucket").to_pylist(), b.column("blob"), strict=True):
-                for d, s in deep_states(*unpacked(blob.as_py()), low.value).items():
-                    for is_string, code, x, y in ((False, s.states, s.leave_raw, s.leave_cont), (True, s.strings, s.raw, s.cont)):
-                        k = len(code)
-                        yield pa.record_batch([pa.array(np.full(k, bucket, np.int32)), pa.array(np.full(k, d, np.int32)), pa.array(np.full(k, is_string)), pa.array(code.view(np.int64)), pa.array(x), pa.array(y)], names=["bucket", "depth", "string", "code", "a", "b"])
+                of = deep_states(*unpacked(blob.as_py()), low.value).values()
+                out = zstandard.ZstdCompressor(level=1).compress(pickle.dumps([astuple(s) for s in of], 5))
+                yield pa.record_batch([pa.array([bucket], pa.int32()), pa.array([sum(len(s.strings) for s in of)], pa.int64()), pa.array([out], pa.binary())], names=["bucket", "n", "blob"])
 
     return states
 
@@ -373,17 +408,6 @@ def log10(of_depth: list[States], codes: np.ndarray) -> np.ndarray:
     return np.log10(p)
 
 
-def _places(distinct: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Where each code stands among the sorted distinct ones: by a hash table, and by search where two share a slot."""
-    factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - 22)
-    slots = np.zeros(1 << 22, np.int32)
-    slots[(distinct * factor) >> shift] = np.arange(len(distinct), dtype=np.int32)
-    at = slots[(codes * factor) >> shift]
-    other = np.nonzero(distinct[at] != codes)[0]
-    at[other] = np.searchsorted(distinct, codes[other])
-    return at
-
-
 class Head(dict):
     """Counts plus one of frequent words; 0 for all others."""
 
@@ -421,39 +445,36 @@ def _scorer(head, model: Model):
         for b in batches:
             ids = b.column(0)
             names = [b.schema.names[0], *[c.split()[0] for c in SCORED.split(", ")]]
-            group: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+            group: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             size = 0
 
             def out(rows: np.ndarray, *columns, ids=ids, names=names, base=base) -> pa.RecordBatch:
                 return pa.record_batch([ids.take(pa.array(rows)), pa.array(np.full(len(rows), task, np.int64)), pa.array(base + rows), *columns], names=names)
 
-            def scores() -> pa.RecordBatch:
-                every = np.unique(np.concatenate([g[1] for g in group]))
-                lp = model.log10(every)
-                rows, sums = [], []
-                for row, distinct, places, starts in group:
-                    rows.append(row)
-                    sums.append(np.add.reduceat(lp[np.searchsorted(every, distinct)][places], starts))
-                row = np.concatenate(rows)
+            def scores(group=group) -> pa.RecordBatch:
+                row, n = (np.concatenate([g[i] for g in group]) for i in (0, 1))
+                codes = np.concatenate([g[2] for g in group])
                 group.clear()
+                order = np.argsort(codes)
+                codes = codes[order]
+                new = np.concatenate(([True], codes[1:] != codes[:-1]))
+                lp = np.empty(len(codes))
+                lp[order] = model.log10(codes[new])[np.cumsum(new) - 1]
                 zero, none = np.zeros(len(row), np.int64), pa.array([[]] * len(row), pa.list_(pa.binary()))
-                return out(row, pa.array(zero), pa.array(zero), pa.array(zero.astype(np.float64)), pa.array(np.concatenate(sums)), none, none.cast(pa.list_(pa.int64())))
+                return out(row, pa.array(zero), pa.array(zero), pa.array(zero.astype(np.float64)), pa.array(np.add.reduceat(lp, np.cumsum(n) - n)), none, none.cast(pa.list_(pa.int64())))
 
             for part in _chunks(utf8(b.column(1))):
                 row = np.fromiter((p.row for p in part), np.int64, len(part))
-                codes = codes_of(part)
-                distinct, _ = np.unique(codes, return_counts=True)  # with counts numpy takes its faster way
-                n = np.fromiter((len(p.body) for p in part), np.int64, len(part))
-                group.append((row, distinct, _places(distinct, codes), np.cumsum(n) - n))
+                group.append((row, np.fromiter((len(p.body) for p in part), np.int64, len(part)), codes_of(part)))
                 tokens = [w for p in part for w in (*p.words, *([b""] if p.last else []))]
                 n = np.fromiter((len(p.words) + p.last for p in part), np.int64, len(part))
                 counts = np.fromiter(map(head.value.__getitem__, tokens), np.float64, len(tokens))
                 owner, known = np.repeat(np.arange(len(part)), n), counts > 0
-                plain = np.bincount(owner[known], np.log10(counts[known]), len(part))
+                plain = np.bincount(owner[known], np.log10(counts[known]), len(part)).astype(np.float64)
                 left = np.nonzero(~known)[0]
                 rest = [Counter(tokens[k] for k in own.tolist()) for own in np.split(left, np.searchsorted(owner[left], np.arange(1, len(part))))]
                 yield out(row, pa.array(n), pa.array(np.bincount(owner[known], minlength=len(part)).astype(np.int64)), pa.array(plain), pa.array(np.zeros(len(part))), pa.array([list(r) for r in rest], pa.list_(pa.binary())), pa.array([list(r.values()) for r in rest], pa.list_(pa.int64())))
-                size += len(codes)
+                size += len(group[-1][2])
                 if size >= GROUP:
                     yield scores()
                     size = 0
@@ -464,51 +485,52 @@ def _scorer(head, model: Model):
     return score
 
 
-def tree(strings: DataFrame, buckets: int) -> Model:
-    """The model from packed partial counts (``bucket``, ``blob``)."""
-    spark = strings.sparkSession
-    merged, path = written(strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merged, "bucket int, blob binary"), "suffix-strings")
+def tree(merged: DataFrame, buckets: int) -> Model:
+    """The model from the strings of each bucket (``bucket``, ``blob``)."""
+    spark = merged.sparkSession
     low = shallow(merged)
     if not low.of_depth:
         return Model([spark.sparkContext.broadcast([])], np.zeros(buckets, np.int64))
-    kept, states_path = written(merged.mapInArrow(_stater(spark.sparkContext.broadcast(low)), STATES), "suffix-states")
-    removed(spark, path)
+    kept, path = written(merged.mapInArrow(_stater(spark.sparkContext.broadcast(low)), STATES), "suffix-states")
     sizes = np.zeros(buckets, np.int64)
-    for r in kept.groupBy("bucket").count().collect():  # at most BUCKETS[1] rows
-        sizes[r["bucket"]] = r["count"]
-    shard_of = (np.cumsum(sizes) - sizes) // SHARD
-    shard_of = np.unique(shard_of, return_inverse=True)[1]
+    for r in kept.select("bucket", "n").collect():  # at most BUCKETS[1] rows
+        sizes[r["bucket"]] = r["n"]
+    shard_of = np.unique((np.cumsum(sizes) - sizes) // SHARD, return_inverse=True)[1]
     shards = []
     for i in range(int(shard_of[-1]) + 1):
         own = np.nonzero(shard_of == i)[0]
         shards.append(spark.sparkContext.broadcast(_shard(kept.filter(F.col("bucket").between(int(own[0]), int(own[-1]))), low)))
-    removed(spark, states_path)
+    removed(spark, path)
     return Model(shards, shard_of)
 
 
 def _shard(rows: DataFrame, low: Shallow) -> list[States]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    of = [pickle.loads(unpack(x.as_py())) for x in rows.select("blob").toArrow()["blob"]]
     out = list(low.of_depth)
-    for d in range(ROOT, DEPTH + 1):
-        t = rows.filter(F.col("depth") == d).select("string", "code", "a", "b").toArrow()
-        is_string, code = t["string"].to_numpy(), t["code"].to_numpy().view(np.uint64)
-        found = []
-        for of in (~is_string, is_string):
-            own = code[of]
-            order = np.argsort(own)
-            found += [own[order], t["a"].to_numpy()[of][order], t["b"].to_numpy()[of][order]]
+    for d in range(DEPTH + 1 - ROOT):
+        found: list[np.ndarray] = []
+        for keys in (0, 3):  # states, strings
+            code = np.concatenate([x[d][keys] for x in of])
+            order = np.argsort(code)
+            found += [code[order], *(np.concatenate([x[d][keys + k] for x in of])[order] for k in (1, 2))]
         out.append(States(*found))
     return out
 
 
+def counted(texts: DataFrame) -> tuple[DataFrame, int]:
+    """The staged counts of all texts (``word``, ``n``, and per bucket the packed strings), and the number of buckets."""
+    buckets = min(BUCKETS[1], max(BUCKETS[0], texts.rdd.getNumPartitions()))
+    partial = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(_counter(buckets), PACKED)
+    return staged(partial.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_merged, "word binary, n bigint, bucket int, blob binary"), "suffix-counts"), buckets
+
+
 def scored(docs: DataFrame, learn_from: Column) -> DataFrame:
     """Per row: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.filter(learn_from).select(F.col("text").cast("string").alias("text"))
-    buckets = min(BUCKETS[1], max(BUCKETS[0], texts.rdd.getNumPartitions()))
-    partial, path = written(texts.mapInArrow(_counter(buckets), "word binary, n bigint, bucket int, blob binary"), "partial-counts")
-    words = staged(partial.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    model = tree(partial.filter("bucket is not null").select("bucket", "blob"), buckets)
-    removed(spark, path)
+    counts, buckets = counted(docs.filter(learn_from))
+    words = counts.filter("word is not null").select("word", "n")
+    model = tree(counts.filter("bucket is not null").select("bucket", "blob"), buckets)
     sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = sums["n"] or 0, sums["v"]
     least = max(1, -(-n // HEAD))  # rounded up: at most HEAD words reach it

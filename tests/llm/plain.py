@@ -123,7 +123,7 @@ def discounted(counts):
     return lambda x: off[min(x, 3)]
 
 
-def suffix_tree(learn, depth=7, fewest=2, divergence=3.0):
+def suffix_tree(learn, depth=7, fewest=4, divergence=10.0):
     """Of texts: a function from (bytes before, byte) to its probability."""
     count = [{} for _ in range(depth + 1)]
     for t in learn:
