@@ -44,7 +44,7 @@ DEPTH, ROOT = 7, 3
 FEWEST, DIVERGENCE = 4, 10.0
 HEAD = 500_000
 #: Strings of a shard of the tree.
-SHARD = 10_000_000
+SHARD = 4_000_000
 #: Texts are split in chunks of about so many bytes, counted and scored in groups of so many; partial counts are passed
 #: on at so many distinct words or strings.
 CHUNK, GROUP, DISTINCT_WORDS, DISTINCT_STRINGS = 1 << 20, 4 << 20, 300_000, 3_000_000
