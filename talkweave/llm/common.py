@@ -23,9 +23,12 @@ def _own_folder() -> str:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in tests in local mode, a folder of this machine is made.
+    Only in local mode, where one machine is all there is, a session may name none; elsewhere that is an error.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_folder()).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (named or _own_folder()).rstrip("/")
 
 
 def written(df: DataFrame, name: str, one_in: int = 1) -> tuple[DataFrame, str]:
@@ -51,6 +54,20 @@ def removed(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it (names differ in more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_hash(*values: Column) -> Column:
+    """A digest of a row by some of its columns; nulls differ from empty values."""
+    parts = [x for v in values for x in (F.coalesce(F.concat(F.lit("="), F.sha2(v.cast("string"), 256)), F.lit("-")), F.lit("/"))]
+    return F.md5(F.concat(*parts))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, however often the body names it."""
     return F.transform(F.array(value), body)[0]

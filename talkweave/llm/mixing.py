@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, staged
+from .common import fresh, let, staged
 
 SEED, TEMPERATURE = 20, 0.5
 PART = 64.0
@@ -49,7 +49,7 @@ def _table(mean: Column) -> Column:
 
 def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE) -> DataFrame:
     """(``__source``, ``rate``) per source. Without weights, a share is in proportion to the size to the power of the temperature."""
-    sizes = docs.groupBy(_key(F.col("source")).alias(KEY)).agg(F.sum(F.length(F.coalesce("text", F.lit("")))).cast("double").alias("size"))
+    sizes = staged(docs.groupBy(_key(F.col("source")).alias(KEY)).agg(F.sum(F.length(F.coalesce("text", F.lit("")))).cast("double").alias("size")), "source-sizes", 8)
     if weights is None:
         wanted = sizes.withColumn("weight", F.pow("size", F.lit(temperature)))
     else:
@@ -64,15 +64,15 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, tempe
 
 def replicated(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: int = SEED, temperature: float = TEMPERATURE) -> DataFrame:
     """``docs``, each row repeated by its count, with ``replica`` (from 1) and ``shuffle_key``, in the order of that key."""
-    of = staged(rates(docs, weights, temperature), "source-rates")
-    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int")
-    of = of.withColumn("__parts", parts).withColumn("__table", _table(F.col("rate") / F.col("__parts"))).select(KEY, "__parts", "__table")
+    key, parts, table, n = (fresh(c, docs.columns) for c in (KEY, "__parts", "__table", "__n"))
+    of = rates(docs, weights, temperature).withColumnRenamed(KEY, key)
+    of = of.withColumn(parts, F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int")).withColumn(table, _table(F.col("rate") / F.col(parts))).select(key, parts, table)
     own = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
     uniform = lambda j: (_hashed(F.lit(str(seed)), j.cast("string"), own) + 0.5) / 2.0**BITS
-    draw = lambda j: let(uniform(j), lambda u: F.size(F.filter("__table", lambda c: c <= u)))
-    count = F.aggregate(F.transform(F.sequence(F.lit(1), F.col("__parts")), draw), F.lit(0), lambda a, x: a + x)
-    columns = [c for c in docs.columns if c not in ("replica", "shuffle_key")]
+    draw = lambda j: let(uniform(j), lambda u: F.size(F.filter(table, lambda c: c <= u)))
+    count = F.aggregate(F.transform(F.sequence(F.lit(1), F.col(parts)), draw), F.lit(0), lambda a, x: a + x)
+    columns = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("replica", "shuffle_key")]
     few = of.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    counted = docs.select(*columns, _key(F.col("source")).alias(KEY)).join(F.broadcast(of) if few else of, KEY).withColumn("__n", count)
-    each = counted.filter("__n > 0").select(*columns, F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("replica"))
+    counted = docs.select(*columns, _key(F.col("source")).alias(key)).join(F.broadcast(of) if few else of, key).withColumn(n, count)
+    each = counted.filter(F.col(n) > 0).select(*columns, F.explode(F.sequence(F.lit(1), F.col(n))).alias("replica"))
     return each.withColumn("shuffle_key", _hashed(F.lit(str(seed)), F.lit("order"), own, F.col("replica").cast("string"))).orderBy("shuffle_key", "doc_id", "replica")

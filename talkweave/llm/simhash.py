@@ -4,12 +4,13 @@ Fingerprints that differ in at most ``radius`` of 64 bits agree entirely in some
 into ``radius + spare`` bands, they agree in at least ``spare`` of them. Each distinct fingerprint therefore meets
 its partners in a bucket for each choice of ``spare`` bands. Within a bucket, numpy compares tiles of fingerprints
 sorted by population count, by exclusive-or and bit counts, skipping tile pairs whose counts differ beyond the
-radius. A bucket over ``BUCKET`` members is dealt over hashed parts, and every pair of parts is a group of its own,
-so no task holds more than a bounded number. A group emits a spanning forest of its links, never all pairs: that
+radius. A bucket over ``BUCKET`` members is cut into tiles by population count and hash beforehand, and every pair of
+tiles whose counts are within the radius is a group of its own, so no task holds more than a bounded number. A group emits a spanning forest of its links, never all pairs: that
 keeps every connection. Exact copies have one fingerprint and are collapsed before any of this.
 
-Null and blank texts have fingerprint zero, linked like any other. Rows with a null id get their fingerprint's
-component, but are never named as one. Repeated rows and ties are copies. Extra columns are ignored.
+Null and blank texts have fingerprint zero, linked like any other. Rows with a null id link others as any row does and
+get their component, but never name one; a component of such rows alone is null. Repeated rows and ties are copies. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -164,11 +165,18 @@ def links(distinct: DataFrame, n_distinct: int, radius: int = RADIUS) -> DataFra
     masks = _masks(_spare(n_distinct, radius), radius)
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("mask_no"), F.col("fp").bitwiseAND(_signed(m)).alias("bucket")) for i, m in enumerate(masks)]))
     entries = distinct.select("fp", "rep", each.alias("b")).select("fp", "rep", "b.mask_no", "b.bucket")
-    # buckets over the limit: at most (masks x fingerprints / BUCKET) rows, joined as the optimizer sees fit
-    large = entries.groupBy("mask_no", "bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BUCKET)
-    parts = F.ceil(F.col("n") * 2 / BUCKET).cast("int")
-    dealt = entries.join(large, ["mask_no", "bucket"], "left").withColumn("of", F.coalesce(parts, F.lit(1))).withColumn("part", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("of")).cast("int"))
-    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+    # a bucket over the limit is cut into tiles: by population count, and by hash where a count has too many members.
+    # Tiles whose counts differ by more than the radius never meet; every other pair of tiles is a group
+    pop = F.bit_count("fp")
+    sizes = entries.groupBy("mask_no", "bucket", pop.alias("pop")).agg(F.count(F.lit(1)).alias("n"))
+    tiles = F.map_from_entries(F.collect_list(F.struct("pop", F.ceil(F.col("n") * 2 / BUCKET).cast("int"))))
+    large = sizes.groupBy("mask_no", "bucket").agg(F.sum("n").alias("n"), tiles.alias("tiles")).filter(F.col("n") > BUCKET).drop("n")
+    dealt = entries.join(large, ["mask_no", "bucket"], "left").withColumn("pop", pop)
+    tile = lambda p, i: (p * F.lit(1 << 24) + i).cast("int")
+    own = F.coalesce(tile(F.col("pop"), F.pmod(F.xxhash64("fp", F.lit(7)), F.try_element_at("tiles", F.col("pop")))), F.lit(0))
+    met = F.flatten(F.transform(F.sequence(F.col("pop") - radius, F.col("pop") + radius), lambda p: F.transform(F.sequence(F.lit(0), F.coalesce(F.try_element_at("tiles", p), F.lit(0))), lambda i: F.when(i < F.try_element_at("tiles", p), tile(p, i)))))
+    others = F.when(F.col("tiles").isNull(), F.array(F.lit(0))).otherwise(F.filter(met, lambda t: t.isNotNull()))
+    pairs = dealt.withColumn("part", own).withColumn("other", F.explode(others))
     keyed = pairs.select("mask_no", "bucket", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "fp", "rep")
     kind = distinct.schema["rep"].dataType.simpleString()
     key = ["mask_no", "bucket", "lo", "hi"]
@@ -178,10 +186,11 @@ def links(distinct: DataFrame, n_distinct: int, radius: int = RADIUS) -> DataFra
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(``doc_id``, ``fp``, ``component``) for every row: the least id reachable over links, itself included."""
     fps = staged(fingerprints(docs, doc_id, text), "fingerprints")
-    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct-fingerprints", 8)
-    named = distinct.filter(F.col("rep").isNotNull())
-    comps = connected(links(named, named.count(), radius))
-    classes = distinct.join(comps, distinct["rep"] == comps["node"], "left").select("fp", F.coalesce("component", "rep").alias("component"))
+    distinct = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints", 8)
+    comps = connected(links(distinct.select("fp", F.col("fp").alias("rep")), distinct.count(), radius))
+    linked = distinct.join(comps, distinct["fp"] == comps["node"]).select("fp", "least", F.col("component").alias("class"))
+    named = staged(linked.join(linked.groupBy("class").agg(F.min("least").alias("name")), "class").select("fp", "name"), "named-fingerprints", 8)
+    classes = distinct.join(named, "fp", "left").select("fp", F.coalesce("name", "least").alias("component"))
     return fps.join(classes, "fp").select("doc_id", "fp", "component")
 
 

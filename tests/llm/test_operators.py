@@ -23,7 +23,7 @@ def odd(spark):
     """Ids may be null or come twice; columns bear the names that operators use inside."""
     rows = [(i, t, [None, "en", "de"][i % 3], [None, "", "s1", "s2"][i % 4], None) for i, t in enumerate(TEXTS)] + [(None, PROSE, None, None, 1), (4, PROSE, "en", "s1", 2)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    return df.withColumns({c: F.lit("x") for c in ("ledger", "fp", "component", "segment", "place", "candidates", "base", "found", "replica", "shuffle_key", "digest", "n_tokens", "score", "part", "items", "key")}).cache()
+    return df.withColumns({c: F.lit("x") for c in ("ledger", "__source", "__parts", "__table", "__n", "fp", "component", "segment", "place", "candidates", "base", "found", "replica", "shuffle_key", "digest", "n_tokens", "score", "part", "items", "key")}).cache()
 
 
 @pytest.fixture(scope="module")
@@ -114,6 +114,14 @@ def test_simhash_of_chains_and_many_neighbours(spark):
         assert {i: c.get(i, i) for i in nodes} == expect
 
 
+def test_simhash_links_through_rows_without_id(spark, monkeypatch):
+    """Fingerprints set by hand: 1 and 2 are apart but for a row without an id; two such rows alone are null."""
+    rows = [(1, 0b1111), (None, 0b11111111), (2, 0b111111111111), (3, 7 << 40), (None, 1 << 50 | 1 << 51 | 1 << 52 | 1 << 53 | 1 << 54), (None, 15 << 40)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_: docs.select("doc_id", "fp"))
+    got = sorted((r.doc_id or 0, r.fp, r.component) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, fp bigint")).collect())
+    assert got == sorted([(1, 15, 1), (0, 255, 1), (2, 4095, 1), (3, 7 << 40, 3), (0, rows[4][1], None), (0, rows[5][1], 3)])
+
+
 def test_simhash_odd(odd, none):
     rows = simhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count() and simhash.near_duplicates(none).count() == 0

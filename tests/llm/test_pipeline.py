@@ -4,6 +4,7 @@ import corpus_pipeline
 import plain
 from pyspark.sql import functions as F
 from test_entry import compare
+from test_near_copies import plain as plain_copies
 
 from talkweave.llm import oracles, queries
 
@@ -12,8 +13,8 @@ def test_run_equals_the_plain_stages(spark, sf):
     docs = [r.asDict() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     docs = [d for d in docs if plain.rules(d["text"])[2]]
-    near = plain.near_duplicates([(d["doc_id"], d["text"]) for d in docs])
-    docs = [d for d in docs if near[d["doc_id"]][1] == d["doc_id"]]
+    near = plain_copies([(d["doc_id"], d["text"]) for d in docs])
+    docs = [d for d in docs if near[d["doc_id"]] == d["doc_id"]]
     hit = {i for i, _, _, found in plain.contamination([(d["doc_id"], d["text"]) for d in docs], items) if found}
     docs = [d for d in docs if d["doc_id"] not in hit]
     for d in docs:
@@ -32,7 +33,23 @@ def test_stages_keep_columns_and_take_odd_rows(spark, sf):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, df, sf).columns == docs.columns, name
         assert corpus_pipeline.STAGES[-1][1](spark, df, sf).count() >= 0
-    assert sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.near_duplicates(spark, docs.filter("text is not null"), sf).collect()) == [(0, "x y"), (2, ""), (3, "x y")]
+    assert sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.near_duplicates(spark, docs.filter("text is not null"), sf).collect()) == [(2, ""), (3, "x y")]
+
+
+LONG = " ".join(f"w{i}" for i in range(60))
+OTHER = " ".join(f"v{i}" for i in range(60))
+
+
+def test_rows_are_judged_apart(spark, sf):
+    """One id with different texts, null ids, repeated rows with other columns, columns with clashing names."""
+    rows = [(1, LONG, "b"), (7, LONG, "a"), (7, OTHER, "a"), (None, LONG + " x", "a"), (None, "alone as can be here", "a"), (None, "alone as can be here", "b"), (9, OTHER + " y", "a"), (1, LONG, "a"), (5, None, "a"), (6, " ", "a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string").withColumn("a.b", F.lit(1))
+    got = corpus_pipeline.near_duplicates(spark, docs, sf)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text, r.row) for r in got.collect()), key=str) == sorted([(1, LONG, "a"), (7, OTHER, "a"), (None, "alone as can be here", "a"), (5, None, "a")], key=str)
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").first().text
+    docs = spark.createDataFrame([(1, item, "a"), (1, "clean words only", "a"), (None, item, "a"), (None, "clean too", "b")], "doc_id bigint, text string, row string")
+    assert sorted(r.text for r in corpus_pipeline.decontaminated(spark, docs, sf).collect()) == ["clean too", "clean words only"]
 
 
 def test_queries_match_sql(spark, sf):
