@@ -1,13 +1,15 @@
 """Secret scans: pattern matches with their places, and a randomness test battery for strings without a pattern.
 
-Base spans are the matches of three patterns (``KINDS``), leftmost and non-overlapping per kind. The battery takes
-every other long run of key characters, infers its encoding (``ENCODINGS``, the first that has all its characters) and tests whether it
-looks like uniform draws from that alphabet: chi-squared uniformity, the number of runs about the middle of the
-alphabet, and lag-one serial correlation. A run that none of the three rejects is a candidate. Against the chance
-that an ordinary identifier passes, each candidate has a p-value from a Chernoff bound: how likely an ordinary
-string of that length would have so many characters of the inferred alphabet (hexadecimal) or so many changes of
-character class (the others). The bound falls with the length. The Benjamini-Hochberg procedure, run per class of
-lengths over the candidates of all documents, then holds the share of false discoveries under ``ALPHA``.
+Base spans are the matches of three patterns (``KINDS``), leftmost and non-overlapping per kind. The battery takes every
+run of ``LEAST`` key characters that touches no base span and infers its encoding (``ENCODINGS``, the first that
+has all its characters). Three p-values test it against uniform draws from that alphabet: chi-squared uniformity, by the
+number of equal pairs, whose first three moments are exact at every length (a Pearson curve, as cells are sparse); runs
+about the middle of the alphabet; lag-one serial correlation. A run whose smallest of three is under ``REJECT / 3``
+(Bonferroni) isn't uniform. Against the chance that an ordinary identifier looks so, every run has a p-value from what the
+same statistics bound under ordinary writing, the smallest of three times three: that all of it is hexadecimal, that
+the character class changes so often, that so few pairs are equal. It falls with the length. A run that isn't uniform has
+p-value 1. The Benjamini-Hochberg procedure, run per class of lengths over all runs tested in all documents, then holds
+the share of false discoveries under ``ALPHA``.
 
 All of it is built-in SQL. Only numbers leave the text: a table of spans per document is staged in the shared
 folder, the p-values are counted in a fixed number of bins, and the thresholds (one per length class) are literals.
@@ -32,7 +34,8 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex")
 ASSIGNED_LEAST = 6
 
-RANDOM = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+LEAST = 20
+RANDOM = rf"[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}"
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/-_"
 #: Alphabets by size, each with the pattern of its runs; up to 36 letters are of one case and read as lower-case.
 ENCODINGS = (
@@ -41,10 +44,11 @@ ENCODINGS = (
 )
 
 ALPHA = 0.01
-#: A statistic farther than this many standard deviations from its mean under uniform draws rejects them.
-REJECT = 3.3
-#: Of an ordinary string's characters: the share in 0-9a-f, and the share at which the class changes.
+REJECT = 0.003
+#: Of ordinary writing: the share of characters in 0-9a-f, the share at which the class changes, and the chances that
+#: two and three characters are equal, in writing of one case and of both.
 HEX_SHARE, CHANGE_SHARE = 0.35, 0.12
+EQUAL = {False: (0.065, 0.0055), True: (0.045, 0.003)}
 #: Lower ends of the length classes, and the bins of -log10(p).
 LENGTHS = (20, 32, 64)
 BIN, BINS = 0.25, 160
@@ -105,8 +109,37 @@ def _kl(share: Column, rate: float) -> Column:
     return F.when(share > rate, up(share, rate) + up(1 - share, 1 - rate)).otherwise(F.lit(0.0))
 
 
+#: Coefficients of a Chebyshev fit of the complementary error function, from the highest power down.
+ERFC = (0.17087277, -0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223)
+
+
+def upper_tail(z: Column) -> Column:
+    """The chance that a normal variable is over ``z``, to seven digits."""
+
+    def of(x: Column) -> Column:
+        t = 1 / (1 + 0.5 * F.abs(x))
+
+        def of_t(t: Column) -> Column:
+            poly = F.lit(ERFC[0])
+            for c in ERFC[1:]:
+                poly = poly * t + c
+            tail = 0.5 * t * F.exp(poly - x * x)
+            return F.when(x >= 0, tail).otherwise(1 - tail)
+
+        return let(t, of_t)
+
+    return let(z / F.lit(2.0**0.5), of)
+
+
+def _pair_moments(n: Column, two: Column, three: Column) -> tuple[Column, Column]:
+    """Mean and variance of the number of equal pairs among ``n`` draws, by the chances of two and of three being equal."""
+    pairs, triples = n * (n - 1) / 2, n * (n - 1) * (n - 2) / 6
+    return pairs * two, pairs * two * (1 - two) + 6 * triples * (three - two * two)
+
+
 def battery(token: Column) -> Column:
-    """Struct of ``encoding``, ``z_chi``, ``z_runs``, ``z_serial`` and ``score`` (-log10 of the p-value's bound)."""
+    """Struct of ``encoding``, ``p_chi``, ``p_runs``, ``p_serial`` (against uniform draws) and ``score``: -log10 of the
+    bound of the p-value against ordinary writing."""
     core = F.rtrim(token, F.lit("="))
     encoding = F.lit(64)
     for size, pattern, _ in reversed(ENCODINGS):
@@ -114,45 +147,45 @@ def battery(token: Column) -> Column:
 
     def of(t: Column) -> Column:
         k, core = t["k"], t["core"]
-        n = F.length(core)
+        n = F.length(core).cast("double")
         shown = F.when(k <= 36, F.lower(core)).otherwise(core)
         chars = F.split(shown, "(?!$)")
         alphabet = F.lit(ALPHABET)
         for size, _, own in ENCODINGS:
             alphabet = F.when(k == size, F.lit(own)).otherwise(alphabet)
         value = lambda c: F.instr(alphabet, c) - 1
+        total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+        changed = lambda a: F.size(F.filter(a, lambda c, i: (i > 0) & (c != F.coalesce(F.get(a, i - 1), c)))).cast("double")
 
         def of_values(v: Column) -> Column:
             x = F.transform(v, value).cast("array<double>")
+            classes = F.transform(v, lambda c: F.when(F.rlike(c, F.lit("[0-9]")), F.lit(0)).when(F.rlike(c, F.lit("[a-z]")), F.lit(1)).when(F.rlike(c, F.lit("[A-Z]")), F.lit(2)).otherwise(F.lit(3)))
 
-            def of_numbers(x: Column) -> Column:
+            def of_numbers(y: Column) -> Column:
+                x, m = y["x"], (k - 1) / 2.0
                 counts = F.transform(F.array_distinct(x), lambda a: F.size(F.filter(x, lambda b: b == a)).cast("double"))
-                squares = F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c)
-                mean = F.aggregate(x, F.lit(0.0), lambda a, b: a + b) / n
-                high = F.size(F.filter(x, lambda b: b >= k / 2)).cast("double")
-                runs = F.size(F.filter(x, lambda b, i: (i == 0) | ((b >= k / 2) != (F.get(x, i - 1) >= k / 2)))).cast("double")
-                classes = F.transform(v, lambda c: F.when(F.rlike(c, F.lit("[0-9]")), F.lit(0)).when(F.rlike(c, F.lit("[a-z]")), F.lit(1)).when(F.rlike(c, F.lit("[A-Z]")), F.lit(2)).otherwise(F.lit(3)))
-                first = F.struct(squares.alias("squares"), mean.alias("mean"), high.alias("high"), runs.alias("runs"), classes.alias("classes"))
-
-                def of_sums(s: Column) -> Column:
-                    chi = k / n * s["squares"] - n
-                    expect = 2 * s["high"] * (n - s["high"]) / n + 1
-                    spread = F.greatest((expect - 1) * (expect - 2) / (n - 1), F.lit(0.25))
-                    square = F.aggregate(x, F.lit(0.0), lambda a, b: a + (b - s["mean"]) * (b - s["mean"]))
-                    product = F.aggregate(F.transform(x, lambda b, i: (b - s["mean"]) * (F.coalesce(F.get(x, i - 1), s["mean"]) - s["mean"])), F.lit(0.0), lambda a, b: a + b)
-                    changes = F.size(F.filter(s["classes"], lambda c, i: (i > 0) & (c != F.coalesce(F.get(s["classes"], i - 1), c)))).cast("double")
-                    nats = F.when(k == 16, n * _kl(F.lit(1.0), HEX_SHARE)).otherwise((n - 1) * _kl(changes / (n - 1), CHANGE_SHARE))
-                    return F.struct(
-                        k.alias("encoding"),
-                        ((chi - (k - 1)) / F.sqrt(2.0 * (k - 1))).alias("z_chi"),
-                        ((s["runs"] - expect) / F.sqrt(spread)).alias("z_runs"),
-                        (F.when(square > 0, product / square).otherwise(F.lit(1.0)) * F.sqrt(n.cast("double"))).alias("z_serial"),
-                        (nats / F.log(F.lit(10.0))).alias("score"),
-                    )
-
-                return let(first, of_sums)
-
-            return let(x, of_numbers)
+                return F.struct(
+                    total(F.transform(counts, lambda c: c * (c - 1) / 2)).alias("pairs"), changed(F.transform(x, lambda b: b > m)).alias("turns"), changed(y["classes"]).alias("changes"),
+                    total(F.transform(x, lambda b, i: (b - m) * (F.coalesce(F.get(x, i - 1), m) - m))).alias("product"),
+                )
+
+            def of_sums(s: Column) -> Column:
+                p = 1.0 / k
+                mean, variance = _pair_moments(n, p, p * p)
+                third = n * (n - 1) / 2 * p * (1 - p) * (1 - 2 * p) + n * (n - 1) * (n - 2) * p * p * (1 - p)
+                skew = third / F.pow(variance, F.lit(1.5))
+                z = (s["pairs"] - 0.5 - mean) / F.sqrt(variance)
+                z_chi = let(1 + skew * z / 2, lambda b: (F.signum(b) * F.cbrt(F.abs(b)) - 1) * 6 / skew + skew / 6)
+                two_sided = lambda z: F.least(F.lit(1.0), 2 * upper_tail(z))
+                z_runs = (F.abs(s["turns"] - (n - 1) / 2) - 0.5) / (F.sqrt(n - 1) / 2)
+                z_serial = F.abs(s["product"]) / ((k * k - 1) / 12.0 * F.sqrt(n - 1))
+                ordinary = {both: _pair_moments(n, F.lit(q), F.lit(t)) for both, (q, t) in EQUAL.items()}
+                few = {both: (s["pairs"] + 0.5 - m) / F.sqrt(v) for both, (m, v) in ordinary.items()}
+                z_few = F.least(F.lit(0.0), F.when(k > 36, few[True]).otherwise(few[False]))
+                nats = F.greatest(F.when(k == 16, n * _kl(F.lit(1.0), HEX_SHARE)).otherwise(F.lit(0.0)), (n - 1) * _kl(s["changes"] / (n - 1), CHANGE_SHARE), z_few * z_few / 2)
+                return F.struct(k.alias("encoding"), upper_tail(z_chi).alias("p_chi"), two_sided(z_runs).alias("p_runs"), two_sided(z_serial).alias("p_serial"), F.greatest(F.lit(0.0), (nats - F.log(F.lit(3.0))) / F.log(F.lit(10.0))).alias("score"))
+
+            return let(let(F.struct(x.alias("x"), classes.alias("classes")), of_numbers), of_sums)
 
         return let(chars, of_values)
 
@@ -160,16 +193,16 @@ def battery(token: Column) -> Column:
 
 
 def looks_random(b: Column) -> Column:
-    return (b["z_chi"] < REJECT) & (F.abs(b["z_runs"]) < REJECT) & (F.abs(b["z_serial"]) < REJECT)
+    return 3 * F.least(b["p_chi"], b["p_runs"], b["p_serial"]) >= REJECT
 
 
 def _candidates(text: Column, base: Column) -> Column:
-    """Runs that touch no base span and look random, each with its score."""
+    """All runs that touch no base span, each with its score: 0 if it isn't uniform."""
     runs = _matches(text, RANDOM, "random")
-    free = F.filter(runs, lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])) & F.rlike(r["m"], F.lit("[0-9A-Z]")))
-    tested = F.transform(free, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), battery(r["m"]).alias("b")))
-    scored = F.transform(F.filter(tested, lambda r: looks_random(r["b"])), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), r["b"]["score"].alias("score")))
-    return F.coalesce(scored, F.array().cast("array<struct<start:int,end:int,score:double>>"))
+    free = F.filter(runs, lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    score = lambda m: let(battery(m), lambda b: F.when(looks_random(b), b["score"]).otherwise(F.lit(0.0)))
+    tested = F.transform(free, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), score(r["m"]).alias("score")))
+    return F.coalesce(tested, F.array().cast("array<struct<start:int,end:int,score:double>>"))
 
 
 def _length_class(start: Column, end: Column) -> Column:
@@ -181,7 +214,7 @@ def _length_class(start: Column, end: Column) -> Column:
 
 
 def thresholds(scanned: DataFrame) -> list[float]:
-    """Per length class, the least score that Benjamini-Hochberg accepts (infinite if none).
+    """Per length class, the least score that Benjamini-Hochberg accepts of all runs tested (infinite if none).
 
     Works on counts per class and bin: at most ``len(LENGTHS) * (BINS + 1)`` rows reach the driver.
     """
