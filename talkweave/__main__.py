@@ -22,14 +22,16 @@ def main(arguments: list[str] | None = None) -> None:
     p.add_argument("input", help="JSON lines of segments, a file or a folder")
     p.add_argument("--artifacts-root", default="artifacts", help="where stages and results go")
     p.add_argument("--recognizer", default="given", help="a registered recogniser")
+    p.add_argument("--text-provider", default="none", help="a registered text provider; with one, texts are enhanced by it")
+    p.add_argument("--fallback", default="none", help="a registered recogniser for batches on which the first one fails")
     p.add_argument("--force", action="store_true", help="make every stage anew")
     a = p.parse_args(arguments)
-    settings = Settings(input_path=a.input, artifacts_root=a.artifacts_root, asr_provider=a.recognizer, force=a.force)
+    settings = Settings(input_path=a.input, artifacts_root=a.artifacts_root, asr_provider=a.recognizer, asr_fallback_provider=a.fallback, text_provider=a.text_provider, text_enhancement_mode="deterministic" if a.text_provider == "none" else "llm", force=a.force)
     spark = SparkSession.builder.appName("talkweave").getOrCreate()
     rows = schemas.normalised(json_io.read_json(spark, a.input, schemas.DIARIZATION))
     durations = rows.groupBy("call_id").agg(F.max("end").alias("audio_sec"))
-    model = providers.recognizer_with_fallback(a.recognizer, settings.asr_fallback_provider)
-    result = run(rows, durations, model, settings, Artifacts(spark, settings))
+    model, fallback = providers.chosen(a.recognizer, settings.asr_fallback_provider)
+    result = run(rows, durations, model, settings, Artifacts(spark, settings), providers.other("text", a.text_provider), fallback)
     json_io.write_json(result.documents, f"{settings.run_dir()}/result")
     print(f"{settings.run_dir()}/result")
 

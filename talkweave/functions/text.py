@@ -134,14 +134,25 @@ def seg_payload(texts: Column) -> Column:
     return F.array_join(F.transform(texts, lambda t, i: F.concat(F.lit('<SEG id="'), i.cast("string"), F.lit('">'), clean(t), F.lit("</SEG>"))), "\n")
 
 
+#: Fixed value: how an element of a payload is written.
 SEG = r"(?is)<SEG\s+id=['\"]?(\d+)['\"]?>(.*?)</SEG>"
 
 
 def seg_parse(payload: Column, expected: Column) -> Column:
-    """The texts 0 to expected - 1; of repeated ids the last counts; empty if any is missing."""
-    ids = F.regexp_extract_all(payload, F.lit(SEG), F.lit(1))
-    found = F.arrays_zip(F.transform(ids, lambda i: i.cast("int")).alias("i"), F.regexp_extract_all(payload, F.lit(SEG), F.lit(2)).alias("t"))
-    unescaped = lambda t: F.replace(F.replace(strip(t), F.lit("&lt;"), F.lit("<")), F.lit("&amp;"), F.lit("&"))
-    last = lambda k: F.element_at(F.filter(found, lambda x: x["i"] == k), -1)
-    texts = F.when(expected > 0, F.transform(F.sequence(F.lit(0), F.greatest(expected, F.lit(1)) - 1), lambda k: F.when(F.exists(found, lambda x: x["i"] == k), unescaped(last(k)["t"])))).otherwise(F.array().cast("array<string>"))
-    return F.when(F.exists(texts, lambda t: t.isNull()), F.array().cast("array<string>")).otherwise(texts)
+    """The texts 0 to expected - 1; of repeated ids the last counts; empty if any is missing. Ids beyond a long are nobody's."""
+    part = lambda i: F.regexp_extract_all(payload, F.lit(SEG), F.lit(i))
+    entry = F.arrays_zip(part(1).alias("i"), part(2).alias("t"))
+    found = F.filter(F.transform(entry, lambda x, k: F.struct(x["i"].try_cast("bigint").alias("i"), k.alias("k"), x["t"].alias("t"))), lambda x: x["i"].isNotNull())
+    none = F.array().cast("array<string>")
+
+    def last_of(s: Column) -> Column:
+        last = F.filter(s, lambda x, k: F.coalesce(F.get(s, k + 1)["i"] != x["i"], F.lit(True)))
+        return F.map_from_entries(F.transform(last, lambda x: F.struct(x["i"], x["t"])))
+
+    def texts_of(m: Column) -> Column:
+        unescaped = lambda t: F.replace(F.replace(strip(t), F.lit("&lt;"), F.lit("<")), F.lit("&amp;"), F.lit("&"))
+        places = F.sequence(F.lit(0).cast("bigint"), F.greatest(expected, F.lit(1)).cast("bigint") - 1)
+        return F.when(expected > 0, F.transform(places, lambda k: unescaped(F.try_element_at(m, k)))).otherwise(none)
+
+    texts = let(let(F.sort_array(found), last_of), texts_of)
+    return let(texts, lambda t: F.when(F.exists(t, lambda x: x.isNull()), none).otherwise(t))

@@ -31,27 +31,54 @@ def with_batches(chunks: DataFrame, batch_size: int = 8, orchestration_batch_siz
     return with_eligibility(chunks, min_chunk_duration_sec).filter("eligible").withColumn("batch_id", F.floor(place).cast("bigint"))
 
 
-RECOGNIZED = "call_id bigint, batch_id bigint, ordinal bigint, idx bigint, raw_text string, status string, batch_latency_ms double, provider string, model string, fallback_used boolean, fallback_reason string"
-
-
-def recognized(batches: DataFrame, model: Recognizer, batch_size: int = 8, pretokenize: bool = False) -> DataFrame:
-    """One model call per batch. A failing call makes its own batch errors; missing outputs make theirs."""
-
-    def call(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("ordinal", kind="stable")
-        began, failed, texts = perf_counter(), False, []
-        try:
-            texts = list(model.transcribe_batch(rows["chunk_path"].tolist(), max(1, int(batch_size)), pretokenize))
-        except Exception:  # whatever a model raises stays with its batch
-            failed = True
-        ms, n = (perf_counter() - began) * 1000, len(rows)
+RECOGNIZED = "call_id bigint, batch_id bigint, ordinal bigint, idx bigint, raw_text string, status string, batch_latency_ms double, provider string, model string, fallback_used boolean, fallback_reason string, error string"
+
+
+def recognized(batches: DataFrame, model: Recognizer, batch_size: int = 8, pretokenize: bool = False, fallback: Recognizer | None = None) -> DataFrame:
+    """One model call per batch, in the order of batches. A batch on which the model fails goes to ``fallback``; what fails
+    there too, or without one, makes its own batch errors, with the reason; missing outputs make theirs."""
+
+    def called(paths: list[str]) -> tuple[list[str], Recognizer, list[str]]:
+        reasons: list[str] = []
+        for m in (model, fallback):
+            if m is not None:
+                try:
+                    return list(m.transcribe_batch(paths, max(1, int(batch_size)), pretokenize)), m, reasons
+                except Exception as e:  # whatever a model raises stays with its batch
+                    reasons.append(f"{type(e).__name__}: {e}")
+        return [], fallback or model, reasons
+
+    def batch(rows: pd.DataFrame) -> pd.DataFrame:
+        began, n = perf_counter(), len(rows)
+        texts, by, reasons = called(rows["chunk_path"].tolist())
+        failed = len(reasons) == 1 + (fallback is not None)
         return pd.DataFrame({
             "call_id": rows["call_id"], "batch_id": rows["batch_id"], "ordinal": rows["ordinal"], "idx": rows["idx"], "raw_text": (texts + [""] * n)[:n],
-            "status": ["error" if failed or i >= len(texts) else "ok" for i in range(n)], "batch_latency_ms": ms, "provider": model.provider_name, "model": model.model_name,
-            "fallback_used": bool(getattr(model, "fallback_used", False)), "fallback_reason": str(getattr(model, "reason", "")),
+            "status": ["error" if failed or i >= len(texts) else "ok" for i in range(n)], "batch_latency_ms": (perf_counter() - began) * 1000, "provider": by.provider_name, "model": by.model_name,
+            "fallback_used": bool(reasons) and fallback is not None, "fallback_reason": reasons[0] if reasons and fallback is not None else "", "error": reasons[-1] if failed else "",
         })
 
-    return batches.groupBy("call_id", "batch_id").applyInPandas(call, RECOGNIZED)
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come by call and batch; the last batch of a part may go on in the next one."""
+        rest: pd.DataFrame | None = None
+        for p in parts:
+            p = p if rest is None else pd.concat([rest, p])
+            last = (p["call_id"] == p["call_id"].iloc[-1]) & (p["batch_id"] == p["batch_id"].iloc[-1])
+            rest = p[last]
+            for _, rows in p[~last].groupby(["call_id", "batch_id"], sort=False):
+                yield batch(rows)
+        if rest is not None:
+            yield batch(rest)
+
+    rows = batches.select("call_id", "batch_id", "ordinal", "idx", "chunk_path").repartition("call_id").sortWithinPartitions("call_id", "batch_id", "ordinal")
+    return rows.mapInPandas(run, RECOGNIZED)
+
+
+def provider_report(found: DataFrame, requested: str) -> DataFrame:
+    """Per call: which recogniser was asked for, which answered last, its model, and whether and why it was a fallback."""
+    last = F.max_by(F.struct("provider", "model"), "ordinal")
+    g = found.groupBy("call_id").agg(last.alias("p"), F.max("fallback_used").alias("asr_fallback_used"), F.coalesce(F.min_by(F.nullif("fallback_reason", F.lit("")), F.when(F.col("fallback_reason") != "", F.col("ordinal"))), F.lit("")).alias("asr_fallback_reason"))
+    return g.select("call_id", F.lit(requested).alias("asr_provider_requested"), F.col("p.provider").alias("asr_provider_effective"), F.col("p.model").alias("asr_model"), "asr_fallback_used", "asr_fallback_reason")
 
 
 def transcripts(chunks: DataFrame, found: DataFrame, min_chunk_duration_sec: float = 0.25) -> DataFrame:
@@ -101,9 +128,3 @@ def latency_report(found: DataFrame, chunks: DataFrame, min_chunk_duration_sec:
         nearest_rank(F.col("__ms"), 0.5).alias("orchestration_batch_latency_ms_p50"), nearest_rank(F.col("__ms"), 0.9).alias("orchestration_batch_latency_ms_p90"),
         F.when(total > 0, F.col("__long") / F.greatest(F.lit(1e-6), total / 1000)).otherwise(0.0).alias("asr_throughput_audio_sec_per_wall_sec"),
     )
-
-
-def rows_of(path_batches: Iterator[list[str]], model: Recognizer) -> Iterator[list[str]]:
-    """For use outside Spark: the model's texts for each list of paths."""
-    for paths in path_batches:
-        yield model.transcribe_batch(paths, len(paths), False)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from talkweave.functions import text as T
+
 
 def safe_label(speaker: Column) -> Column:
-    label = F.regexp_replace(F.trim(speaker), "[^A-Za-z0-9_-]+", "_")
+    label = F.regexp_replace(T.strip(speaker), "[^A-Za-z0-9_-]+", "_")
     return F.coalesce(F.nullif(label, F.lit("")), F.lit("speaker"))
 
 

@@ -104,7 +104,7 @@ def guarded(source: Column, candidate: Column, low: Column) -> Column:
     return F.when(low, T.light_enhance(source)).when(T.drifted(source, candidate), source).otherwise(candidate)
 
 
-def enhanced_by(segments: DataFrame, windows: DataFrame, provider: TextProvider, skip_low_confidence: bool = True) -> DataFrame:
+def enhanced_by(segments: DataFrame, windows: DataFrame, provider: TextProvider, skip_low_confidence: bool = True, strict: bool = False) -> DataFrame:
     """Enhancement by a provider, window by window, on segments with ``position`` and ``low_confidence``.
 
     Adds ``drifted``, ``skipped`` and ``windowed``. Segments in no window keep their source.
@@ -113,7 +113,7 @@ def enhanced_by(segments: DataFrame, windows: DataFrame, provider: TextProvider,
     rows = segments.withColumn("__source", source_of()).join(place, ["call_id", "position"], "left").withColumn("windowed", F.col("window_index").isNotNull())
     low = F.col("low_confidence") & F.lit(bool(skip_low_confidence))
     asked = rows.filter(F.col("windowed") & ~low).select("call_id", "window_index", F.col("local_index").cast("bigint").alias("local_index"), "position", F.col("__source").alias("source"))
-    got = called(asked, provider, "enhance").select("call_id", "position", "output", "failed", "fell_back", "called", "latency_ms")
+    got = called(asked, provider, "enhance", strict).select("call_id", "position", "output", "failed", "fell_back", "called", "latency_ms")
     out = rows.join(got, ["call_id", "position"], "left").withColumn("__out", F.coalesce("output", "__source"))
     skipped = F.col("windowed") & low
     return out.withColumns({"drifted": ~skipped & T.drifted(F.col("__source"), F.col("__out")), "skipped": skipped, "enhanced_text": F.when(~F.col("windowed"), F.col("__source")).otherwise(guarded(F.col("__source"), F.col("__out"), low))}).drop("__out")

@@ -27,15 +27,19 @@ def call_metrics(postprocess: DataFrame, asr: DataFrame, anonymize: DataFrame, e
     return rows.withColumn("llm_calls_total", F.col("__a") + F.col("__e")).drop("__a", "__e")
 
 
-def documents(metrics: DataFrame, final: DataFrame) -> DataFrame:
-    """``call_id``, ``metrics`` and the segments in order: what a sink writes as one JSON document per call."""
+def with_latencies(metrics: DataFrame, asr: DataFrame, anonymize: DataFrame, enhance: DataFrame) -> DataFrame:
+    """``metrics`` with the time that models took, in milliseconds."""
+    of = lambda df, name: df.select("call_id", F.col("llm_latency_total_ms").alias(name))
+    rows = metrics.join(asr.select("call_id", "asr_latency_total_ms"), "call_id", "left").join(of(anonymize, "__a"), "call_id", "left").join(of(enhance, "__e"), "call_id", "left").fillna(0.0, ["asr_latency_total_ms", "__a", "__e"])
+    return rows.withColumn("llm_latency_total_ms", F.col("__a") + F.col("__e")).drop("__a", "__e")
+
+
+def documents(metrics: DataFrame, final: DataFrame, input_file: str = "", artifacts_dir: str = "") -> DataFrame:
+    """``call_id``, where the run's input and stages are, ``metrics`` and the segments in order: what a sink writes as one
+    JSON document per call."""
     fields = ["speaker", "start", "end", "raw_text", "anonymized_text", "enhanced_text", "chunk_path", "asr_status"]
     segments = final.groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("position", *fields))).alias("s"))
     listed = segments.select("call_id", F.transform("s", lambda x: F.struct(*[x[c].alias(c) for c in fields])).alias("segments"))
     m = metrics.select("call_id", F.struct(*[c for c in metrics.columns if c != "call_id"]).alias("metrics"))
     none = F.array().cast(listed.schema["segments"].dataType)
-    return m.join(listed, "call_id", "left").withColumn("segments", F.coalesce("segments", none))
-
-
-def audio_minutes(durations: DataFrame) -> DataFrame:
-    return durations.withColumn("audio_minutes", F.greatest(F.lit(0.0), F.col("audio_sec")) / 60.0)
+    return m.join(listed, "call_id", "left").select("call_id", F.lit(input_file).alias("input_file"), F.lit(artifacts_dir).alias("artifacts_dir"), "metrics", F.coalesce("segments", none).alias("segments"))

@@ -238,8 +238,9 @@ SELECT text_id, CASE greatest(ru, kk, lat, mx) WHEN 0 THEN 'unknown' WHEN ru THE
     "pii_candidates": r"SELECT doc_id AS text_id, regexp_matches(coalesce(text, ''), '\b\+?\d[\d\s\-()]{6,}\b') OR regexp_matches(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') OR regexp_matches(coalesce(text, ''), '\b\d{8,}\b') AS candidate FROM documents",
     "seg_payload": f"""WITH {TEXTS}, x AS (SELECT text_id // 10 AS group_id, row_number() OVER (PARTITION BY text_id // 10 ORDER BY text_id) - 1 AS i, replace(replace(trim(replace(text, chr(10), ' ')), '&', '&amp;'), '<', '&lt;') AS c FROM texts)
 SELECT group_id, string_agg('<SEG id="' || i || '">' || c || '</SEG>', chr(10) ORDER BY i) AS payload FROM x GROUP BY group_id""",
-    "seg_parse": f"""WITH {TEXTS}, x AS (SELECT text_id, list_zip(regexp_extract_all(text, {SEG_RE}, 1), regexp_extract_all(text, {SEG_RE}, 2)) AS z FROM given),
+    "seg_parse": f"""WITH {TEXTS}, x AS (SELECT text_id, list_zip(regexp_extract_all(text, {SEG_RE}, 1), regexp_extract_all(text, {SEG_RE}, 2)) AS z FROM texts),
 y AS (SELECT text_id::BIGINT AS text_id, list_filter(z, lambda p: p[1] = '0') AS a, list_filter(z, lambda p: p[1] = '1') AS b FROM x) SELECT text_id, CASE WHEN len(a) > 0 AND len(b) > 0 THEN trim(a[-1][2]) || '|' || trim(b[-1][2]) ELSE '' END AS texts FROM y""",
+    "seg_round_trip": f"WITH {TEXTS} SELECT text_id // 10 AS group_id, string_agg(trim(replace(text, chr(10), ' ')), '|' ORDER BY text_id) AS texts FROM texts GROUP BY ALL",
     "anonymize_passthrough": f"WITH {SEG} SELECT call_id, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) - 1 AS position, raw_text AS anonymized_text, '' AS enhanced_text FROM seg",
     "anonymize_report": f"WITH RECURSIVE {WINDOWS} SELECT call_id, count(*) AS windows_total, 0::BIGINT AS llm_calls_total, 0::BIGINT AS windows_failed, 0::BIGINT AS fallback_segments, 0::BIGINT AS pii_candidate_segments, 0::DOUBLE AS anonymization_recall_proxy FROM wd GROUP BY call_id",
     "drift_guard": f"WITH {TEXTS} SELECT text_id, CASE WHEN text_id % 7 = 0 THEN {LIGHT.replace('X', 'text')} WHEN text_id % 5 = 0 THEN text ELSE text || ' !' END AS enhanced FROM texts",

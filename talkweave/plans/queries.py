@@ -274,6 +274,12 @@ def seg_parse(spark: SparkSession, sf: str) -> DataFrame:
     return _texts(spark, sf).select("text_id", F.array_join(T.seg_parse(F.col("text"), F.lit(2)), "|").alias("texts"))
 
 
+def seg_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """What a model that changes nothing would answer to the payloads of all texts, parsed."""
+    rows = _by_call(spark, sf)
+    return rows.select("group_id", F.array_join(T.seg_parse(T.seg_payload(F.col("texts")), F.size("texts")), "|").alias("texts"))
+
+
 def anonymize_passthrough(spark: SparkSession, sf: str) -> DataFrame:
     rows = transcript.positioned(_segments(spark, sf))
     inside = windows.with_segments(windows.built(_windowed(spark, sf)), rows).withColumnRenamed("raw_text", "source")
@@ -392,7 +398,7 @@ QUERIES = {
         valid_segments, reindex_segments, clip_segments, merge_same_speaker, absorb_short, pad_segments, resolve_overlaps, merge_groups, postprocess_report, chunk_manifest, asr_eligibility, asr_batches, asr_report,
         nearest_rank_percentile, merge_transcript, chunk_quality, cleaned_out_chunks, quality_summary, chunk_overlap, cleanup_filter, dedup_segments, clip_overlaps, cleanup_report, semantic_windows, semantic_window_report,
         window_segments, low_confidence_segments, language_switching_ratio, punctuation_density, normalize_words, token_language, code_switch, dominant_language, word_drift, placeholder_counts, pii_candidates, seg_payload,
-        seg_parse, anonymize_passthrough, anonymize_report, drift_guard, enhance_deterministic, enhancement_report, call_metrics, call_result, vector_levels,
+        seg_parse, seg_round_trip, anonymize_passthrough, anonymize_report, drift_guard, enhance_deterministic, enhancement_report, call_metrics, call_result, vector_levels,
         asr_transcripts, enhance_guarded, audio_normalize, audio_enhance,
     )
 }

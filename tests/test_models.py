@@ -45,15 +45,22 @@ class Shout:
 CHUNKS = "call_id bigint, ordinal bigint, idx bigint, start double, end double, chunk_path string"
 
 
-def test_fallback():
-    a = providers.WithFallback(Fails(), Echo(), "fails")
-    assert a.transcribe_batch(["x"], 2, False) == ["text of x"] and a.fallback_used and a.provider_name == "echo" and "no model" in a.reason
-    with pytest.raises(RuntimeError):
-        providers.WithFallback(Fails(), None, "fails").transcribe_batch(["x"], 2, False)
+def test_fallback(spark):
+    b = asr.with_batches(spark.createDataFrame([(1, i, i, float(i), i + 1.0, p) for i, p in enumerate(["a", "bad", "c"])], CHUNKS), 1, 1)
+    rows = {r.idx: r for r in asr.recognized(b, Echo(), 1, fallback=providers.GivenTexts({"bad": "given"})).collect()}
+    assert [(rows[i].raw_text, rows[i].status, rows[i].provider, rows[i].fallback_used) for i in range(3)] == [("text of a", "ok", "echo", False), ("given", "ok", "given", True), ("text of c", "ok", "echo", False)]
+    assert "bad file" in rows[1].fallback_reason and rows[1].error == ""
+    alone = asr.recognized(b, Fails(), 1)
+    assert {(r.status, r.error, r.fallback_used) for r in alone.collect()} == {("error", "RuntimeError: no model", False)}
+    r = asr.provider_report(asr.recognized(b, Fails(), 1, fallback=Echo()), "fails").first()
+    assert (r.asr_provider_requested, r.asr_provider_effective, r.asr_model, r.asr_fallback_used, r.asr_fallback_reason) == ("fails", "echo", "one", True, "RuntimeError: no model")
     with pytest.raises(ValueError):
         providers.recognizer("unknown")
+    with pytest.raises(ValueError):
+        providers.other("text", "unknown")
     providers.register("echo", Echo)
-    assert providers.recognizer_with_fallback("echo", "given").second.provider_name == "given"
+    model, other = providers.chosen("echo", "given")
+    assert (model.provider_name, other.provider_name) == ("echo", "given") and providers.chosen("echo")[1] is None and providers.other("diarizer", "none") is None
 
 
 def test_batches_fail_alone(spark):
@@ -95,16 +102,24 @@ def test_whole_pipeline_and_artifacts(spark, tmp_path):
     segs = spark.createDataFrame([(1, 0, 0, "A", 0.0, 2.0), (1, 1, 1, "B", 2.5, 4.0), (1, 2, 2, "A", 4.0, 4.1)], "call_id bigint, ordinal bigint, idx bigint, speaker string, start double, end double")
     durations = spark.createDataFrame([(1, 10.0)], "call_id bigint, audio_sec double")
     settings = Settings(input_path="/x/a b.wav", artifacts_root=str(tmp_path))
-    assert settings.run_dir().startswith(f"{tmp_path}/a_b_") and len(settings.run_dir().rsplit("_", 1)[1]) == 10
+    assert settings.run_dir().startswith(f"{tmp_path}/run-") and Settings(input_path="s3://b/x").run_dir() == Settings(input_path="s3://b/x").run_dir() != settings.run_dir()
     kept = Artifacts(spark, settings)
     r = run(segs, durations, Echo(), settings, kept)
     m = r.metrics.first()
     assert (m.total_segments_before_postprocess, m.total_segments_after_postprocess, m.asr_chunks_total, m.llm_calls_total) == (3, 2, 2, 0)
     doc = json.loads(json_io.as_documents(r.documents).first().document)
+    assert (doc["input_file"], doc["artifacts_dir"]) == ("/x/a b.wav", settings.run_dir())
     assert [s["enhanced_text"][:7] for s in doc["segments"]] == ["Text of"] * 2 and not any(kept.hits.values())
     again = Artifacts(spark, settings)
     run(segs, durations, Echo(), settings, again)
     assert all(again.hits.values())
+    grown = Artifacts(spark, settings)
+    more = segs.unionByName(spark.createDataFrame([(1, 3, 3, "B", 6.0, 9.0)], segs.schema))
+    m = run(more, durations, Echo(), settings, grown).metrics.first()
+    assert not any(grown.hits.values()) and (m.total_segments_before_postprocess, m.total_segments_after_postprocess, m.asr_chunks_total) == (4, 3, 3)
+    assert m.asr_latency_total_ms >= 0 and m.llm_latency_total_ms == 0 and m.asr_provider_effective == "echo"
+    with pytest.raises(ValueError):
+        run(segs, durations, Echo(), Settings(text_enhancement_mode="llm"))
     other = Artifacts(spark, Settings(input_path="/x/a b.wav", artifacts_root=str(tmp_path), segment_padding_ms=10))
     run(segs, durations, Echo(), other.settings, other)
     assert not any(other.hits.values())

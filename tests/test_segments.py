@@ -196,3 +196,20 @@ def test_quality_and_chunks(spark):
     s = quality.summary(quality.chunk_rows(c, t, f)).first()
     assert (s.chunks_total, s.low_confidence_chunk_ratio, s.cleaned_out_chunks) == (2, 1.0, 1)
     assert [r[0] for r in c.select(chunks.chunk_path(c.idx, c.speaker)).orderBy("idx").collect()] == ["chunk_0000_S_0_.wav", "chunk_0001_speaker.wav"]
+
+
+def test_labels_lose_white_space_of_all_kinds(spark):
+    from pyspark.sql import functions as F
+
+    from talkweave.operators import chunks
+
+    df = spark.createDataFrame([("\tSPK",), ("\u00a0a b\n",), ("  ",), ("",)], "s string")
+    assert [r.x for r in df.select(chunks.safe_label(F.col("s")).alias("x")).collect()] == ["SPK", "a_b", "speaker", "speaker"]
+
+
+def test_calls_without_a_duration_end_with_their_last_segment(spark):
+    from talkweave.operators import intervals
+
+    rows = spark.createDataFrame([(1, 0.0, 2.0), (2, 0.0, 3.0)], "call_id bigint, start double, end double")
+    found = intervals.with_duration(rows, spark.createDataFrame([(1, 9.0)], "call_id bigint, audio_sec double"))
+    assert {r.call_id: r.audio_sec for r in found.collect()} == {1: 9.0, 2: 3.0}
