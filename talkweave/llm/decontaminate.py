@@ -10,7 +10,8 @@ intersected with the postings of its other terms, rarest first; what is left are
 
 Words are runs of digits, a-z and characters beyond ASCII, after A-Z is lower-cased. Null and empty texts have no
 words, items without words no windows. Repeated rows are documents of their own, as rows are told apart by their
-place in the index, not by ``doc_id``, which may be null. Repeated items count once per id. Other columns of the
+place in the index, not by ``doc_id``, which may be null. Repeated items count once per id; words of items without an id
+are hit, but such items are neither counted nor listed. Other columns of the
 documents are ignored. An empty table of documents or items gives no hits.
 """
 
@@ -211,9 +212,9 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
         frames.append(index.select("segment", "starts", "terms", "counts", "postings").mapInArrow(_searcher(list(block), window, slop), columns))
         block.clear()
 
-    for r in items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")), F.col(text).cast("string")).toLocalIterator():
+    for r in items.select(F.col(item_id).cast("string"), F.col(text).cast("string")).toLocalIterator():
         block.append((r[0], (r[1] or "").encode()))
-        size += (r[1] or "").count(" ") + 1
+        size += len(words_of((r[1] or "").encode())) + 1
         if size >= block_words:
             close()
             size = 0

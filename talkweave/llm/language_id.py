@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF of hashed character n-grams.
 
 The weights are trained by follow-the-regularised-leader with elastic-net penalties, per coordinate, on a sample of
-labelled documents bounded by ``SAMPLE`` rows (shared evenly by the languages); a fifth of it is held back to fit the
+labelled documents of about ``SAMPLE`` rows (shared evenly by the languages; twice as many at most); a fifth of it is held back to fit the
 temperature that calibrates the probabilities. Document frequencies are counted over all documents to learn from.
 A prediction depends on the text alone.
 
@@ -49,7 +49,7 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         got = [_grams(t) for t in b.column(1).to_pylist()]
-        yield pa.record_batch([b.column(0), pa.array([a.astype(np.int32).tobytes() for a, _ in got], pa.binary()), pa.array([c.astype(np.int32).tobytes() for _, c in got], pa.binary())], names=["lang", "at", "count"])
+        yield pa.record_batch([b.column(0), pa.array([a.astype(np.int32).tobytes() for a, _ in got], pa.binary()), pa.array([c.astype(np.int32).tobytes() for _, c in got], pa.binary()), b.column(2)], names=["lang", "at", "count", "h"])
 
 
 @dataclass
@@ -131,8 +131,11 @@ def fit(docs: DataFrame, learn_from: Column, sample: int = SAMPLE) -> Model:
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
     share = sample / max(1, len(sizes))
     rates = F.map_from_arrays(F.array(*map(F.lit, sizes)), F.array(*[F.lit(min(1.0, share / n)) for n in sizes.values()])) if sizes else F.lit(None)
-    drawn = rows.filter((F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)) < F.element_at(rates, F.col("lang"))) if sizes else rows
-    got = drawn.select("lang", "text").mapInArrow(_vectors, "lang string, at binary, count binary").limit(2 * sample).toArrow()
+    drawn = rows.withColumn("h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 52)))
+    if sizes:
+        drawn = drawn.filter(F.col("h") / float(1 << 52) < F.element_at(rates, F.col("lang")))
+    # equal rows are drawn together: of more than twice the sample, those of least hash count, whatever their order
+    got = drawn.select("lang", "text", "h").mapInArrow(_vectors, "lang string, at binary, count binary, h bigint").orderBy("h", "lang", "at", "count").limit(2 * sample).toArrow()
     found = sorted(zip(*(got[c].to_pylist() for c in ("lang", "at", "count")), strict=True))  # the order of arrival doesn't matter
     return train([(a, np.frombuffer(b, np.int32), np.frombuffer(c, np.int32)) for a, b, c in found], idf)
 

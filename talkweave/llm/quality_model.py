@@ -2,7 +2,7 @@
 
 Each word, pair of words and character n-gram of a text is hashed to a learned vector; their mean is the document's
 vector, and a softmax layer over it gives the probability of each class. Vectors and layer are trained by stochastic
-gradient descent in numpy, on a sample of labelled documents bounded by ``SAMPLE`` rows, the classes in equal parts, so that
+gradient descent in numpy, on a sample of about ``SAMPLE`` labelled documents (twice as many at most), the classes in equal parts, so that
 a score of a half weighs errors of both kinds alike. For scoring, the difference of the two classes is a number per
 bucket, so a document's score is the logistic function of a mean of numbers.
 
@@ -50,7 +50,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i = np.nonzero(counts)[0]
             at.append(i.astype(np.int32).tobytes())
             share.append((counts[i] / max(1, counts.sum())).astype(np.float32).tobytes())
-        yield pa.record_batch([b.column(0), pa.array(at, pa.binary()), pa.array(share, pa.binary())], names=["quality", "at", "share"])
+        yield pa.record_batch([b.column(0), pa.array(at, pa.binary()), pa.array(share, pa.binary()), b.column(2)], names=["quality", "at", "share", "h"])
 
 
 @dataclass
@@ -96,10 +96,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         z = np.log((sizes.get(1, 0) + 0.5) / (sizes.get(0, 0) + 0.5))
         return Model(np.zeros(1 << BITS, np.float32), float(z))
     rate = F.when(F.col("quality") == 1, F.lit(min(1.0, sample / 2 / sizes[1]))).otherwise(F.lit(min(1.0, sample / 2 / sizes[0])))
-    drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20) < rate).limit(2 * sample)
+    # equal ids are drawn together: of more than twice the sample, those of least hash count, whatever their order
+    drawn = known.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52))).filter(F.col("h") / float(1 << 52) < rate).orderBy("h", "quality", "doc_id").limit(2 * sample)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull())
-    rows = texts.join(F.broadcast(drawn), "doc_id").select("quality", "text")  # at most 2 * sample rows
-    got = rows.mapInArrow(_vectors, "quality int, at binary, share binary").limit(4 * sample).toArrow()
+    rows = texts.join(F.broadcast(drawn), "doc_id").select("quality", "text", "h")  # at most 2 * sample labels
+    got = rows.mapInArrow(_vectors, "quality int, at binary, share binary, h bigint").orderBy("h", "quality", "at", "share").limit(2 * sample).toArrow()
     found = sorted(zip(*(got[c].to_pylist() for c in ("quality", "at", "share")), strict=True))  # the order of arrival doesn't matter
     if len({r[0] for r in found}) < 2:
         return Model(np.zeros(1 << BITS, np.float32), 0.0)

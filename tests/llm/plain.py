@@ -63,7 +63,7 @@ def contamination(docs, items):
     for i, t in items:
         w = BENCH.findall((t or "").translate(LOWER))
         for k in range(max(1, len(w) - 7) if w else 0):
-            windows.setdefault(tuple(w[k : k + 8]), set()).add(str(i))
+            windows.setdefault(tuple(w[k : k + 8]), set()).add(i if i is None else str(i))
     out = []
     for i, t in docs:
         w = BENCH.findall((t or "").translate(LOWER))
@@ -73,7 +73,7 @@ def contamination(docs, items):
                 if (x := windows.get(tuple(w[k : k + n]))) is not None:
                     hit.update(range(k, k + n))
                     found |= x
-        out.append((i, len(w), len(hit), sorted(found)))
+        out.append((i, len(w), len(hit), sorted(found - {None})))
     return out
 
 

@@ -142,7 +142,7 @@ def test_components(spark):
 
 def test_decontaminate(spark, odd, none, documents, sf):
     items = spark.read.parquet(f"{sf}/benchmark.parquet").unionByName(spark.createDataFrame([(900, None), (901, "--"), (902, "brown FOX jumps"), (902, "river under bright stars"), (None, "mix potions beside")], "item_id bigint, text string"))
-    pairs = [(r.item_id if r.item_id is not None else "null", r.text) for r in items.collect()]
+    pairs = [(r.item_id, r.text) for r in items.collect()]
     for df in (documents, odd):
         docs = [(r.doc_id, r.text) for r in df.collect()]
         got = [(r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in decontaminate.contamination(df, items).collect()]
@@ -159,6 +159,16 @@ def test_decontaminate_in_small_segments_and_blocks(spark, documents, sf):
     assert one == many > 0
 
 
+def test_blocks_are_cut_by_words_between_any_white_space(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(i, "\n".join(f"w{k}" for k in range(100))) for i in range(20)], "item_id bigint, text string")
+    made = []
+    searcher = decontaminate._searcher
+    monkeypatch.setattr(decontaminate, "_searcher", lambda block, *a: made.append(len(block)) or searcher(block, *a))
+    decontaminate.search(decontaminate.build_index(docs), items, block_words=500)
+    assert made == [5, 5, 5, 5]
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "alpha x beta gamma y delta"), (3, "alpha x x x beta gamma delta"), (4, "delta gamma beta alpha"), (5, "beta alpha alpha beta beta gamma delta")], "doc_id bigint, text string")
     items = spark.createDataFrame([(9, "Alpha, beta gamma; delta")], "item_id bigint, text string")
