@@ -7,12 +7,15 @@ import uuid
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The characters between words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
+#: Words of a bit set of hashes.
+WORDS = 1 << 20
 
 
 @cache
@@ -68,6 +71,36 @@ def row_hash(*values: Column) -> Column:
     return F.md5(F.concat(*parts))
 
 
+def bit_set(hashes: DataFrame) -> np.ndarray:
+    """The words of a bit set of 64-bit hashes (``h``); at most ``WORDS`` rows reach the driver."""
+    words = hashes.groupBy(F.col("h").bitwiseAND(WORDS - 1).cast("int").alias("word"))
+    found = words.agg(F.bit_or(F.expr("shiftleft(1L, int(shiftrightunsigned(h, 58)))")).alias("bits")).toArrow()
+    out = np.zeros(WORDS, np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def in_bit_set(words: np.ndarray, hashes: pa.Array) -> pa.Array:
+    """Whether each hash has its bit set: true for all those put in, and for a few others."""
+    h = hashes.to_numpy().view(np.uint64)
+    return pa.array((words[h & np.uint64(len(words) - 1)] >> (h >> np.uint64(58))) & np.uint64(1) == 1)
+
+
+def parted(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``key`` (no null) is among ``keys`` (that column alone), and the others.
+
+    Only rows that a bit set of the keys' hashes does not rule out are shuffled to meet them; the others stay where they
+    are, however many keys there are.
+    """
+    words = bit_set(keys.select(F.xxhash64(key).alias("h")))
+    if not words.any():
+        return rows.limit(0), rows
+    words, flag = rows.sparkSession.sparkContext.broadcast(words), fresh("flag", rows.columns)
+    flagged = rows.withColumn(flag, F.arrow_udf(lambda h: in_bit_set(words.value, h), "boolean")(F.xxhash64(key)))
+    near, far = flagged.filter(flag).drop(flag), flagged.filter(~F.col(flag)).drop(flag)
+    return near.join(keys, key, "left_semi"), far.unionByName(near.join(keys, key, "left_anti"))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, however often the body names it."""
     return F.transform(F.array(value), body)[0]

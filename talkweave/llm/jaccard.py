@@ -1,6 +1,10 @@
-"""Near-duplicates by the exact Jaccard similarity of sets of word shingles: every pair at or over ``LEAST`` is linked.
+"""Near-duplicates by SimHash and the exact Jaccard similarity of sets of word shingles: every pair at or over ``LEAST`` is linked.
 
-A set's shingles are put in one order that holds for all sets. Of two sets with a similarity of at least ``LEAST``,
+Fingerprints of the sets come first: ``simhash`` compares them, tile by tile within pigeonhole buckets, and the pairs it
+links are verified on the whole sets. Sets at ``LEAST`` may differ in more bits than pigeonhole buckets can cover, so an
+exact way for the rest follows, which takes up only pairs of sets that the verified links leave apart.
+
+There, a set's shingles are put in one order that holds for all sets. Of two sets with a similarity of at least ``LEAST``,
 each has one of their common shingles among its first ``n - ceil(LEAST * n) + 1`` (prefix filter), so each set meets
 all its partners in the buckets of those. Shingles frequent in a sample of the documents come last in the order,
 which keeps the buckets small; the sample moves work only, as any order finds the same pairs. A bucket's pairs that
@@ -31,7 +35,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import removed, staged, utf8, written
+from . import simhash
+from .common import bit_set, in_bit_set, removed, staged, utf8, written
 from .components import connected
 
 SHINGLE, SEED = 5, 42
@@ -45,8 +50,6 @@ SMALL, CHAIN = 16, 2
 SAMPLE, FREQUENT = 8000, 4
 #: Shingles that a task packs at once, and about so many are verified in one group.
 ENTRIES, TOGETHER = 1_000_000, 2_000_000
-#: Words of the bit set of rows whose sets are asked for.
-WORDS = 1 << 20
 #: Least bits of a set's sketch.
 BITS = 1024
 
@@ -129,8 +132,8 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(np.concatenate([shingles(t) for t in utf8(b.column(0))]).view(np.int64))], names=["h"])
 
 
-_NAMES = ["doc_id", "part", "place", "key", "n", "sketch", "common", "first", "bucket", "blob"]
-FOUND = "part bigint, place bigint, key bigint, n int, sketch binary, common array<bigint>, first int, bucket int, blob binary"
+_NAMES = ["doc_id", "part", "place", "key", "n", "fp", "sketch", "common", "first", "bucket", "blob"]
+FOUND = "part bigint, place bigint, key bigint, n int, fp bigint, sketch binary, common array<bigint>, first int, bucket int, blob binary"
 
 
 def packed(*columns: np.ndarray) -> bytes:
@@ -166,7 +169,7 @@ def _finder(frequent, buckets: int):
             of = bucket[np.concatenate(([0], cut))]
             entries.clear()
             seen.clear()
-            none = [pa.nulls(len(of), t) for t in (doc_id, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32())]
+            none = [pa.nulls(len(of), t) for t in (doc_id, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32())]
             return pa.record_batch([*none, pa.array(of.astype(np.int32)), pa.array(blobs, pa.binary())], names=_NAMES)
 
         kind = None
@@ -181,7 +184,7 @@ def _finder(frequent, buckets: int):
                     size += rare
             m = b.num_rows
             yield pa.record_batch(
-                [b.column(0), pa.array([part] * m, pa.int64()), pa.array(range(place, place + m), pa.int64()), _signed(keys), pa.array([len(s) for s in sets], pa.int32()), pa.array([sketch(s) for s in sets], pa.binary()),
+                [b.column(0), pa.array([part] * m, pa.int64()), pa.array(range(place, place + m), pa.int64()), _signed(keys), pa.array([len(s) for s in sets], pa.int32()), _signed([simhash.fingerprint_of(s) for s in sets]), pa.array([sketch(s) for s in sets], pa.binary()),
                  _lists([h[rare:] for h, rare in found]), pa.array([rare for _, rare in found], pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
                 names=_NAMES,
             )
@@ -228,11 +231,10 @@ def _rare_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(wanted):
-    """``wanted``: the words of a bit set by row hash; a few rows more than those asked for may have their bits set."""
+    """``wanted``: a bit set by row hash; a few rows more than those asked for may have their bits set."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _in_steps(batches):
-            h = b.column(0).to_numpy().view(np.uint64)
-            own = b.column(1).filter(pa.array((wanted.value[h & np.uint64(WORDS - 1)] >> (h >> np.uint64(58))) & np.uint64(1) == 1))
+            own = b.column(1).filter(in_bit_set(wanted.value, b.column(0)))
             if len(own):
                 found = [shingles(t) for t in utf8(own)]
                 yield pa.record_batch([_signed([key(s) for s in found]), _lists(found)], names=["key", "shingles"])
@@ -380,20 +382,24 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def _groups(pairs: DataFrame, weights: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+def _groups(pairs: DataFrame, weights: DataFrame, before: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
     """Pairs with the group that compares them, which sets each group needs (``component``, ``lo``, ``hi``, ``key``), and
     the folders of these.
 
     Pairs that hang together are compared together, so that a set or sketch moves once however many pairs it is in; a
     component of over ``TOGETHER`` of ``weights`` (``key``, ``n``: its 64-bit numbers) is dealt over hashed parts, and each
-    pair of parts is a group.
+    pair of parts is a group. Pairs within a component of ``before`` (``node``, ``component``) are left out.
     """
     of = connected(pairs).join(weights, F.col("node") == F.col("key")).select("key", "component", "n")
     total = of.groupBy("component").agg(F.ceil(F.sum("n") / TOGETHER).cast("int").alias("of"))
     part = F.pmod(F.xxhash64("key", F.lit(11)), F.greatest(F.lit(1), F.col("of"))).cast("int")
-    placed, of_placed = written(of.join(total, "component").select("key", "component", part.alias("part")), "pair-groups", 8)
-    at = lambda end: placed.select(F.col("key").alias(end), *([F.col("component")] if end == "u" else []), F.col("part").alias(f"part_{end}"))
-    grouped = pairs.join(at("u"), "u").join(at("v"), "v").select("component", F.least("part_u", "part_v").alias("lo"), F.greatest("part_u", "part_v").alias("hi"), "u", "v")
+    placed = of.join(total, "component").select("key", "component", part.alias("part"))
+    if before is not None:
+        placed = placed.join(before.select(F.col("node").alias("key"), F.col("component").alias("found")), "key", "left")
+    found = F.col("key") if before is None else F.coalesce("found", "key")
+    placed, of_placed = written(placed.withColumn("found", found), "pair-groups", 8)
+    at = lambda end: placed.select(F.col("key").alias(end), *([F.col("component")] if end == "u" else []), F.col("part").alias(f"part_{end}"), F.col("found").alias(f"found_{end}"))
+    grouped = pairs.join(at("u"), "u").join(at("v"), "v").filter("found_u <> found_v").select("component", F.least("part_u", "part_v").alias("lo"), F.greatest("part_u", "part_v").alias("hi"), "u", "v")
     grouped, of_grouped = written(grouped, "grouped-pairs", 8)
     return grouped, grouped.select("component", "lo", "hi", F.explode(F.array("u", "v")).alias("key")).distinct(), [of_placed, of_grouped]
 
@@ -428,23 +434,30 @@ def _apart(often: DataFrame, comps: DataFrame, marks: DataFrame) -> DataFrame:
     return keyed.repartition(*group).sortWithinPartitions(*group).mapInArrow(_other_pairs, "u bigint, v bigint")
 
 
-def _links(meetings: DataFrame, rows: DataFrame, distinct: DataFrame, marks: DataFrame) -> DataFrame:
-    """Enough of the true links among the pairs to hold together what all of them do."""
+def _by_fingerprint(marks: DataFrame) -> DataFrame:
+    """Pairs of sets whose fingerprints link: those of one fingerprint meet the least of them, and these along a forest."""
+    named = staged(marks.groupBy("fp").agg(F.min("key").alias("rep")), "set-fingerprints", 8)
+    same = marks.join(named, "fp").filter("key <> rep").select(F.col("rep").alias("u"), F.col("key").alias("v"))
+    return _ordered(same.unionByName(simhash.links(named, named.count())))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
+def _links(meetings: DataFrame, rows: DataFrame, distinct: DataFrame, marks: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Enough of the true links among the pairs to hold together, with the components found ``before``, what all of them do."""
     spark = rows.sparkSession
     meeting, path = written(meetings.distinct(), "meeting-pairs", 8)
     # bits in which two sketches differ are at most the shingles in which the sets do
-    grouped, needed, done = _groups(meeting, marks.select("key", F.ceil(F.octet_length("sketch") / 8).alias("n")))
-    pairs, pairs_folder = written(_together(grouped, needed, marks).mapInArrow(_near, "u bigint, v bigint"), "candidate-pairs", 8)
+    grouped, needed, done = _groups(meeting, marks.select("key", F.ceil(F.octet_length("sketch") / 8).alias("n")), before)
+    pairs, pairs_folder = written(_together(grouped, needed, marks.select("key", "n", "sketch")).mapInArrow(_near, "u bigint, v bigint"), "candidate-pairs", 8)
     for folder in (path, *done):
         removed(spark, folder)
     if pairs.isEmpty():
         return pairs
     ids = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct().join(distinct, "key").select(F.xxhash64("rep").alias("h"))
-    bits = ids.groupBy(F.col("h").bitwiseAND(WORDS - 1).cast("int").alias("word"))
-    set_bits = bits.agg(F.bit_or(F.expr("shiftleft(1L, int(shiftrightunsigned(h, 58)))")).alias("bits")).toArrow()  # at most WORDS rows
-    words = np.zeros(WORDS, np.uint64)
-    words[set_bits["word"].to_numpy()] = set_bits["bits"].to_numpy().view(np.uint64)
-    sets, path = written(rows.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(spark.sparkContext.broadcast(words)), "key bigint, shingles array<bigint>"), "candidate-sets", 8)
+    sets, path = written(rows.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(spark.sparkContext.broadcast(bit_set(ids))), "key bigint, shingles array<bigint>"), "candidate-sets", 8)
     once = sets
     if not sets.groupBy("key").count().filter("count > 1").isEmpty():  # of null or repeated ids
         once = sets.dropDuplicates(["key"])
@@ -467,7 +480,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found, rare = every.filter("key is not null").drop("bucket", "blob"), every.filter("bucket is not null").select("bucket", "blob")
     distinct = staged(found.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min(F.struct("part", "place")).alias("row")), "distinct-sets", 8)
     firsts = found.join(distinct.select("key", "row.part", "row.place"), ["key", "part", "place"], "left_semi")
-    marks, marks_folder = written(firsts.select("key", "n", "sketch"), "sketches", 8)
+    marks, marks_folder = written(firsts.select("key", "n", "fp", "sketch"), "sketches", 8)
     common = firsts.filter(F.size("common") > 0).select("key", "n", "first", F.posexplode("common").alias("at", "h")).withColumn("at", F.col("first") + F.col("at"))
     entries, entries_folder = written(common.join(common.groupBy("h").agg(F.count(F.lit(1)).alias("of")).filter("of > 1"), "h").select("h", "key", "n", "at", "of"), "common-shingles", 8)
     mixed = F.xxhash64("key", "h")
@@ -476,7 +489,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     of_rare, rare_folder = written(rare.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_rare_pairs, "u bigint, v bigint, h bigint, n int, at int"), "rare-shingles", 8)
     keys = staged(found.select("doc_id", "key"), "row-keys", 8)
     removed(spark, every_folder)
-    links = _links(of_common.unionByName(of_rare.filter("v is not null").select("u", "v")), rows, distinct, marks)
+    links = _links(_by_fingerprint(marks), rows, distinct, marks)
+    meetings = of_common.unionByName(of_rare.filter("v is not null").select("u", "v"))
+    links = links.unionByName(_links(meetings, rows, distinct, marks, connected(links)))
     large = entries.filter(F.col("of") > SMALL).select("h", "key", "n", "at").unionByName(of_rare.filter("v is null").select("h", F.col("u").alias("key"), "n", "at"))
     links = links.unionByName(_links(_apart(large, connected(links), marks), rows, distinct, marks))
     for folder in (marks_folder, entries_folder, rare_folder):

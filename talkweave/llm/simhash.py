@@ -46,11 +46,23 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     stops = ends[min(shingle, len(ws)) - 1 :].tolist()
     votes = np.zeros(64, np.int64)
     for at in range(0, n, CHUNK):
-        h = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[at : at + CHUNK], stops[at : at + CHUNK], strict=True)), np.uint64, min(CHUNK, n - at))
-        votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        votes += _votes(np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[at : at + CHUNK], stops[at : at + CHUNK], strict=True)), np.uint64, min(CHUNK, n - at)))
+    return _majority(votes, n)
+
+
+def _votes(h: np.ndarray) -> np.ndarray:
+    return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+
+
+def _majority(votes: np.ndarray, n: int) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash of shingles given by their hashes; zero for none."""
+    return _majority(sum((_votes(hashes[at : at + CHUNK]) for at in range(0, len(hashes), CHUNK)), np.zeros(64, np.int64)), len(hashes))
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fps = np.fromiter(map(fingerprint, utf8(b.column(1))), np.uint64, b.num_rows)

@@ -5,7 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 
-from talkweave.llm import jaccard
+from talkweave.llm import jaccard, simhash
 
 
 def plain(rows):
@@ -71,3 +71,42 @@ def test_large_groups_of_near_copies(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert {r.doc_id: r.component for r in jaccard.near_duplicates(docs).collect()} == expect
     assert max(Counter(expect.values()).values()) > 2 * jaccard.SMALL  # the fixture has a group of the size meant
+
+
+def test_fingerprints_link_first(spark, monkeypatch):
+    """The stage's first pairs are those that SimHash links; what they hold together isn't compared again."""
+    rng, rows = random.Random(7), []
+    for _ in range(6):
+        ws = [f"w{rng.randrange(5000)}" for _ in range(400)]
+        for edits in range(5):
+            copy = list(ws)
+            for _ in range(edits):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(5000)}"
+            rows.append((len(rows), " ".join(copy)))
+    docs, met, links = spark.createDataFrame(rows, "doc_id bigint, text string"), [], jaccard._links
+
+    def spied(meetings, *others):
+        meetings = meetings.localCheckpoint()
+        met.append({(r.u, r.v) for r in meetings.collect()})
+        return links(meetings, *others)
+
+    monkeypatch.setattr(jaccard, "_links", spied)
+    assert {r.doc_id: r.component for r in jaccard.near_duplicates(docs).collect()} == plain(rows)
+    sets = [jaccard.shingles(t.encode()) for _, t in rows]
+    fps = {jaccard._signed([jaccard.key(s)])[0].as_py(): simhash.fingerprint_of(s) for s in sets}
+    assert len(met) == 3 and met[0]
+    near = {frozenset((a, b)) for a in fps for b in fps if a != b and (fps[a] ^ fps[b]).bit_count() <= simhash.RADIUS}
+    root = {k: k for k in fps}  # the pairs met hold together what all near fingerprints do
+    for pairs in (met[0], near):
+        own = dict(root)
+        for _ in fps:
+            for u, v in map(tuple, pairs):
+                own[u] = own[v] = min(own[u], own[v])
+        assert pairs is not near or own == first
+        first = own
+
+
+def test_fingerprint_of_hashes():
+    text = b"one two three four five six one two three four five"
+    hashes = [jaccard.xxhash.xxh64_intdigest(b" ".join(text.split()[i : i + 5]), simhash.SEED) for i in range(7)]
+    assert simhash.fingerprint_of(jaccard.np.array(hashes, jaccard.np.uint64)) == simhash.fingerprint(text, 5) and simhash.fingerprint_of(jaccard.shingles(b"")) == 0
