@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkweave.llm import decontaminate, jaccard, mixing, quality_rules, secret_scan
-from talkweave.llm.common import fresh, removed, row_hash, staged, table, written
+from talkweave.llm.common import fresh, parted, removed, row_hash, staged, table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,13 +31,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = staged(jaccard.near_duplicates(keyed, doc_id=row), "components", 8)
     dropped = staged(found.filter("doc_id <> component").select("doc_id.digest").distinct().withColumnRenamed("digest", row), "duplicates", 8)
     repeated = staged(found.filter("doc_id = component").groupBy("doc_id.digest").count().filter("count > 1").select(F.col("digest").alias(row)), "repeated-rows", 8)
-    rest = docs.withColumn(row, digest).join(dropped, row, "left_anti")
+    rest = parted(docs.withColumn(row, digest), row, dropped)[1]
     columns = [F.col(f"`{c}`") for c in docs.columns]
     if repeated.isEmpty():
         return rest.select(*columns)
     whole = F.struct(*columns)
-    once = rest.join(repeated, row, "left_semi").groupBy(row).agg(F.min_by(whole, F.to_json(whole)).alias(row + "s")).select(f"{row}s.*")
-    return rest.join(repeated, row, "left_anti").select(*columns).unionByName(once)
+    copies, others = parted(rest, row, repeated)
+    once = copies.groupBy(row).agg(F.min_by(whole, F.to_json(whole)).alias(row + "s")).select(f"{row}s.*")
+    return others.select(*columns).unionByName(once)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +47,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     keyed = docs.withColumn(row, row_hash(F.col("doc_id"), F.col("text")))
     found = decontaminate.contamination(keyed.select(row, "text"), table(spark, sf_dir, "benchmark"), doc_id=row)
     hit = staged(found.filter("n_hit > 0").select(F.col("doc_id").alias(row)).distinct(), "contaminated", 8)
-    return keyed.join(hit, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return parted(keyed, row, hit)[1].select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_entry import compare
 from test_near_copies import plain as plain_copies
 
-from talkweave.llm import oracles, queries
+from talkweave.llm import common, oracles, queries
 
 
 def test_run_equals_the_plain_stages(spark, sf):
@@ -52,6 +52,22 @@ def test_rows_are_judged_apart(spark, sf):
     assert sorted(r.text for r in corpus_pipeline.decontaminated(spark, docs, sf).collect()) == ["clean too", "clean words only"]
 
 
+def test_texts_stay_where_they_are(spark, sf, monkeypatch):
+    """Rows to drop are found without a shuffle of those that stay, and exactly, even if the bit set is full."""
+    texts = [(i, " ".join(f"w{(i if i < 60 else i - 60) * 100 + k}" for k in range(20))) for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf)
+    plan = kept._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union" and "Join" not in plan.children().head().toString()
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
+    monkeypatch.setattr(common, "WORDS", 1)
+    keys = docs.filter("doc_id % 3 = 0").select("doc_id")
+    for part, rest in zip(common.parted(docs, "doc_id", keys), (True, False), strict=True):
+        assert sorted(r.doc_id for r in part.collect()) == [i for i in range(120) if (i % 3 == 0) == rest]
+    none, every = common.parted(docs, "doc_id", keys.filter("false"))
+    assert (none.count(), every.count()) == (0, 120)
+
+
 def test_queries_match_sql(spark, sf):
     compare(spark, sf, queries.QUERIES, oracles.ORACLES)
 
