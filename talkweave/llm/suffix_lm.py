@@ -48,6 +48,8 @@ SHARD = 4_000_000
 #: Texts are split in chunks of about so many bytes, counted and scored in groups of so many; partial counts are passed
 #: on at so many distinct words or strings.
 CHUNK, GROUP, DISTINCT_WORDS, DISTINCT_STRINGS = 1 << 20, 4 << 20, 300_000, 3_000_000
+#: Distinct strings that are looked up in a shard at once.
+STEP = 1 << 18
 #: Buckets of strings: one for each partition of the input, within these bounds.
 BUCKETS = (256, 1 << 16)
 
@@ -119,16 +121,28 @@ def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Partial counts with each string once, sorted."""
+    """Partial counts with each string once, sorted; several parts are taken out of the list, so that they can go."""
     if len(parts) == 1:
         return parts[0]
     codes, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    parts.clear()
     order = np.argsort(codes, kind="stable")  # the parts are sorted runs
-    codes, counts = codes[order], counts[order]
+    codes = codes[order]
+    counts = counts[order]
+    del order
     first = np.nonzero(np.concatenate(([True], codes[1:] != codes[:-1])))[0]
     return codes[first], np.add.reduceat(counts, first)
 
 
+def _counted(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct strings and their counts; the strings are taken out of the list."""
+    own = np.concatenate(codes)
+    codes.clear()
+    own.sort()
+    first = np.nonzero(np.concatenate(([True], own[1:] != own[:-1])))[0]
+    return own[first], np.diff(first, append=len(own))
+
+
 def packed(codes: np.ndarray, counts: np.ndarray) -> bytes:
     """Sorted strings and their counts: differences, byte by byte of the numbers, compressed."""
     planes = lambda x: np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
@@ -177,9 +191,12 @@ def _counter(buckets: int):
         def of_strings() -> pa.RecordBatch:
             codes, n = _summed(parts)
             parts.clear()
-            b = _bucket(codes, buckets)
+            b = _bucket(codes, buckets).astype(np.int32)
             order = np.argsort(b, kind="stable")
-            b, codes, n = b[order], codes[order], n[order]
+            b = b[order]
+            codes = codes[order]
+            n = n[order]
+            del order
             cut = np.nonzero(np.diff(b))[0] + 1
             blobs = [packed(c, k) for c, k in zip(np.split(codes, cut), np.split(n, cut), strict=True)]
             return _packed_rows([(x, 0, blob) for x, blob in zip(b[np.concatenate(([0], cut))].tolist(), blobs, strict=True)])
@@ -190,8 +207,7 @@ def _counter(buckets: int):
             words[b""] += sum(p.last for p in part)  # the end; no word is empty
             codes.append(codes_of(part))
             if sum(map(len, codes)) >= GROUP:
-                parts.append(np.unique(np.concatenate(codes), return_counts=True))
-                codes.clear()
+                parts.append(_counted(codes))
             if len(words) > DISTINCT_WORDS:
                 yield of_words()
             if sum(len(c) for c, _ in parts) > DISTINCT_STRINGS:
@@ -199,7 +215,7 @@ def _counter(buckets: int):
                 if len(parts[0][0]) > DISTINCT_STRINGS // 2:
                     yield of_strings()
         if codes:
-            parts.append(np.unique(np.concatenate(codes), return_counts=True))
+            parts.append(_counted(codes))
         if words:
             yield of_words()
         if parts:
@@ -423,13 +439,14 @@ class Model:
     shard_of: np.ndarray
 
     def log10(self, codes: np.ndarray) -> np.ndarray:
-        """Of sorted strings; one shard at a time is in memory."""
+        """Of sorted strings; one shard at a time is in memory, and ``STEP`` strings are looked up in it at once."""
         out = np.empty(len(codes))
         own = self.shard_of[_bucket(codes, len(self.shard_of))]
         for i, shard in enumerate(self.shards):
             at = np.nonzero(own == i)[0]
             if len(at):
-                out[at] = log10(shard.value, codes[at])
+                for k in range(0, len(at), STEP):
+                    out[at[k : k + STEP]] = log10(shard.value, codes[at[k : k + STEP]])
                 if len(self.shards) > 1:
                     shard.__dict__.pop("_value", None)  # read again from the executor's own copy when it is next needed
         return out
@@ -455,13 +472,20 @@ def _scorer(head, model: Model):
                 row, n = (np.concatenate([g[i] for g in group]) for i in (0, 1))
                 codes = np.concatenate([g[2] for g in group])
                 group.clear()
-                order = np.argsort(codes)
+                order = np.argsort(codes).astype(np.int32)
                 codes = codes[order]
                 new = np.concatenate(([True], codes[1:] != codes[:-1]))
-                lp = np.empty(len(codes))
-                lp[order] = model.log10(codes[new])[np.cumsum(new) - 1]
+                codes = codes[new]
+                place = np.empty(len(order), np.int32)
+                place[order] = np.cumsum(new, dtype=np.int32) - 1
+                del order, new
+                lp, ends = model.log10(codes), np.cumsum(n)
+                del codes
+                sums = np.empty(len(n))
+                for k, (a, z) in enumerate(zip((ends - n).tolist(), ends.tolist(), strict=True)):
+                    sums[k] = lp[place[a:z]].sum()
                 zero, none = np.zeros(len(row), np.int64), pa.array([[]] * len(row), pa.list_(pa.binary()))
-                return out(row, pa.array(zero), pa.array(zero), pa.array(zero.astype(np.float64)), pa.array(np.add.reduceat(lp, np.cumsum(n) - n)), none, none.cast(pa.list_(pa.int64())))
+                return out(row, pa.array(zero), pa.array(zero), pa.array(zero.astype(np.float64)), pa.array(sums), none, none.cast(pa.list_(pa.int64())))
 
             for part in _chunks(utf8(b.column(1))):
                 row = np.fromiter((p.row for p in part), np.int64, len(part))

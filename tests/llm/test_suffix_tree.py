@@ -1,10 +1,13 @@
 """The suffix tree against one in plain Python, as a distribution, and in shards, pieces and small chunks."""
 
 import random
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +97,23 @@ def test_long_texts_in_pieces(monkeypatch):
     part = list(suffix_lm.pieces([text]))
     assert len(part) > 3 and b"".join(p.body for p in part) == plain.normal(text.decode()) and all(len(p.before) == 7 for p in part)
     assert [w for p in part for w in p.words] == text.split()
+
+
+def test_a_worker_holds_little_beside_its_groups():
+    """Peak bytes while strings are counted, and while a group of four megabytes of text is scored."""
+    rng = np.random.default_rng(3)
+    batch = pa.record_batch([pa.array(range(40)), pa.array([" ".join(map("".join, rng.choice(list("abcdefghij"), (12_000, 8)))) for _ in range(40)])], names=["doc_id", "text"])
+
+    def peak(rows):
+        tracemalloc.start()
+        for _ in rows:
+            pass
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    group = 8 * sum(len(t) + 1 for t in batch["text"].to_pylist())  # bytes of the strings' codes
+    none = np.zeros(0)
+    model = suffix_lm.Model([SimpleNamespace(value=[suffix_lm.States(none.astype(np.uint64), none, none, none.astype(np.uint64), none, none)] * 8)], np.zeros(256, np.int64))
+    assert peak(suffix_lm._counter(256)(iter([batch.select(["text"])]))) < 7 * group
+    assert peak(suffix_lm._scorer(SimpleNamespace(value=suffix_lm.Head()), model)(iter([batch]))) < 7 * group
