@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, utf8
+from .common import lean, staged, utf8
 
 WINDOW = 8
 #: Words between two documents of a segment: more than any match can span.
@@ -76,6 +76,7 @@ def _segment(ids: list[pa.Array], texts: list[bytes], kind: pa.DataType) -> pa.R
 
 
 def _indexer(segment_bytes: int):
+    @lean
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[pa.Array] = []
         texts: list[bytes] = []
@@ -159,6 +160,7 @@ def _merged(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _searcher(items: list[tuple[str, bytes]], window: int, slop: int | None):
+    @lean
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries: dict[str, list[list[bytes]]] = {}
         for name, text in items:

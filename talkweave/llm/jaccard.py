@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import bit_set, in_bit_set, removed, staged, utf8, written
+from .common import bit_set, in_bit_set, lean, removed, staged, utf8, written
 from .components import connected
 
 SHINGLE, SEED = 5, 42
@@ -100,6 +100,7 @@ def apart(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
 
 
+@lean
 def _briefs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sketches folded to ``BITS`` bits."""
     for b in _in_steps(batches):
@@ -127,6 +128,7 @@ def _in_steps(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[pa
             yield b.slice(at, step)
 
 
+@lean
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in _in_steps(batches):
         yield pa.record_batch([pa.array(np.concatenate([shingles(t) for t in utf8(b.column(0))]).view(np.int64))], names=["h"])
@@ -150,6 +152,7 @@ def unpacked(blob: bytes, columns: int) -> list[np.ndarray]:
 
 
 def _finder(frequent, buckets: int):
+    @lean
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row per document, and packed ones of the shingles by which the task's distinct sets are found."""
         part, place = int.from_bytes(os.urandom(8), "little", signed=True), 0
@@ -160,17 +163,21 @@ def _finder(frequent, buckets: int):
         def pack(doc_id: pa.DataType) -> pa.RecordBatch:
             n = np.fromiter((len(h) for h, _, _ in entries), np.int64, len(entries))
             h = np.concatenate([h for h, _, _ in entries])
-            keys, sizes = (np.repeat(np.array([e[i] for e in entries], np.uint64), n) for i in (1, 2))
-            at = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
-            order = np.lexsort((h, h % np.uint64(buckets)))
-            bucket = (h % np.uint64(buckets))[order].astype(np.int64)
-            cut = np.nonzero(np.diff(bucket))[0] + 1
-            blobs = [packed(*x) for x in zip(*(np.split(c[order], cut) for c in (h, keys, sizes, at.astype(np.uint64))), strict=True)]
-            of = bucket[np.concatenate(([0], cut))]
+            keys, sizes = (np.array([e[i] for e in entries], np.uint64) for i in (1, 2))
             entries.clear()
             seen.clear()
+            first, owner = np.cumsum(n) - n, np.repeat(np.arange(len(n), dtype=np.int32), n)
+            bucket = (h % np.uint64(buckets)).astype(np.int32)
+            order = np.lexsort((h, bucket))
+            edges = _edges(bucket[order])
+            blobs = []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):  # one bucket's columns at a time
+                x = order[a:b]
+                set_ = owner[x]
+                blobs.append(packed(h[x], keys[set_], sizes[set_], (x - first[set_]).astype(np.uint64)))
+            of = bucket[order[edges[:-1]]]
             none = [pa.nulls(len(of), t) for t in (doc_id, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32())]
-            return pa.record_batch([*none, pa.array(of.astype(np.int32)), pa.array(blobs, pa.binary())], names=_NAMES)
+            return pa.record_batch([*none, pa.array(of), pa.array(blobs, pa.binary())], names=_NAMES)
 
         kind = None
         for b in _in_steps(batches):
@@ -180,7 +187,7 @@ def _finder(frequent, buckets: int):
             for k, s, (h, rare) in zip(keys, sets, found, strict=True):
                 if rare and k not in seen:
                     seen.add(k)
-                    entries.append((h[:rare], k, len(s)))
+                    entries.append((h[:rare].copy(), k, len(s)))  # a view would hold the whole set
                     size += rare
             m = b.num_rows
             yield pa.record_batch(
@@ -198,6 +205,7 @@ def _finder(frequent, buckets: int):
     return find
 
 
+@lean
 def _rare_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """First pairs of sets that meet at a shingle that is not frequent, and the members of its large buckets, with ``h``;
     buckets come whole and in order."""
@@ -232,6 +240,7 @@ def _rare_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(wanted):
     """``wanted``: a bit set by row hash; a few rows more than those asked for may have their bits set."""
+    @lean
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _in_steps(batches):
             own = b.column(1).filter(in_bit_set(wanted.value, b.column(0)))
@@ -320,6 +329,7 @@ def _whole(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[t
         yield rest, np.array([0, len(rest)])
 
 
+@lean
 def _common_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """First pairs of frequent shingles' buckets or parts of them."""
     for t, edges in _whole(batches, ("h", "part")):
@@ -327,6 +337,7 @@ def _common_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
+@lean
 def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Possible pairs of different components of each group."""
     for t, edges in _whole(batches, ("h", "lo", "hi")):
@@ -337,6 +348,7 @@ def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
+@lean
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that sketches leave possible; a group's sketches come before its pairs, groups whole and in order."""
     now, known = None, {}
@@ -356,6 +368,7 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
 
+@lean
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the true links of each group, whose sets come before its pairs; groups come whole and in order."""
     now, sets, root = None, {}, {}
