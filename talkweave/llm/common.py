@@ -77,6 +77,7 @@ def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
             yield b
             del b
             released()
+        released()  # whoever gave the last batch held it until asked for the next
 
     @wraps(task)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

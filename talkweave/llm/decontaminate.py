@@ -18,6 +18,7 @@ documents are ignored. An empty table of documents or items gives no hits.
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -46,21 +47,38 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_TO_WORDS).split()
 
 
-def _segment(ids: list[pa.Array], texts: list[bytes], kind: pa.DataType) -> pa.RecordBatch:
-    terms: defaultdict[bytes, int] = defaultdict()
-    terms.default_factory = terms.__len__
-    lengths, codes = [], []
-    for t in texts:
-        ws = words_of(t)
-        lengths.append(len(ws))
-        codes.append(np.fromiter(map(terms.__getitem__, ws), np.int32, len(ws)))
-    n = np.array(lengths, np.int64)
+class _Coded:
+    """The texts of a segment to be, as numbers of their terms; the texts themselves are not held."""
+
+    def __init__(self):
+        self.terms: defaultdict[bytes, int] = defaultdict()
+        self.terms.default_factory = self.terms.__len__
+        self.lengths: list[int] = []
+        self.codes = array("i")
+
+    def add(self, text: bytes) -> None:
+        ws = words_of(text)
+        self.lengths.append(len(ws))
+        self.codes.extend(map(self.terms.__getitem__, ws))
+
+
+def _segment(ids: list[pa.Array], coded: _Coded, kind: pa.DataType) -> pa.RecordBatch:
+    """The row of a segment; ``coded`` is used up."""
+    terms, n = coded.terms, np.array(coded.lengths, np.int64)
+    terms.default_factory = None  # which refers to the terms
     starts = np.concatenate(([0], np.cumsum(n + GAP)[:-1]))
-    code = np.concatenate(codes)
-    place = (np.arange(len(code)) + np.repeat(GAP * np.arange(len(n)), n)).astype(np.int32)
-    order = np.argsort(code, kind="stable")
-    counts = np.bincount(code, minlength=len(terms)).astype(np.int32)
-    packed = zstandard.ZstdCompressor(level=1).compress(np.diff(place[order], prepend=np.int32(0)).tobytes())
+    counts = np.bincount(np.frombuffer(coded.codes, np.int32), minlength=len(terms)).astype(np.int32)
+    keys = np.frombuffer(coded.codes, np.int32).astype(np.int64)  # by term, then by place: sorted where they are, as there are many
+    coded.codes = array("i")
+    keys <<= 32
+    for at, to, first in zip((ends := np.cumsum(n)) - n, ends, starts.tolist(), strict=True):
+        keys[at:to] |= np.arange(first, first + to - at)
+    keys.sort()
+    place = keys.astype(np.int32)  # the lower half
+    del keys
+    place[1:] = np.diff(place)
+    packed = zstandard.ZstdCompressor(level=1).compress(place)
+    del place
     return pa.record_batch(
         [
             pa.array([uuid.uuid4().hex]),
@@ -79,20 +97,21 @@ def _indexer(segment_bytes: int):
     @lean
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[pa.Array] = []
-        texts: list[bytes] = []
+        coded = _Coded()
         size, kind = 0, None
         for b in batches:
             kind = b.column(0).type
             first = 0
             for i, t in enumerate(utf8(b.column(1))):
-                if texts and size + len(t) > segment_bytes:
-                    yield _segment([*ids, b.column(0).slice(first, i - first)], texts, kind)
-                    ids, texts, size, first = [], [], 0, i
-                texts.append(t)
+                if coded.lengths and size + len(t) > segment_bytes:
+                    yield _segment([*ids, b.column(0).take(pa.array(np.arange(first, i)))], coded, kind)
+                    ids, coded, size, first = [], _Coded(), 0, i
+                coded.add(t)
                 size += len(t)
-            ids.append(b.column(0).slice(first))
-        if texts:
-            yield _segment(ids, texts, kind)
+            ids.append(b.column(0).take(pa.array(np.arange(first, b.num_rows))))  # a slice would hold the texts as well
+            del b
+        if coded.lengths:
+            yield _segment(ids, coded, kind)
 
     return index
 
@@ -113,7 +132,7 @@ class Segment:
         names = unpack(terms).split(b" ") if counts else []
         self.terms = dict(zip(names, range(len(names)), strict=True))
         self.ends = np.cumsum(np.frombuffer(counts, np.int32), dtype=np.int64)
-        self.places = np.cumsum(np.frombuffer(unpack(postings), np.int32), dtype=np.int64)
+        self.places = np.cumsum(np.frombuffer(unpack(postings), np.int32), dtype=np.int32)
 
     def postings(self, term: int) -> np.ndarray:
         return self.places[self.ends[term - 1] if term else 0 : self.ends[term]]

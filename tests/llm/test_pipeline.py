@@ -1,12 +1,16 @@
 """The pipeline against the plain operators, and the queries against their SQL."""
 
+import random
+import tracemalloc
+
 import corpus_pipeline
 import plain
+import pyarrow as pa
 from pyspark.sql import functions as F
 from test_entry import compare
 from test_near_copies import plain as plain_copies
 
-from talkweave.llm import common, oracles, queries
+from talkweave.llm import common, decontaminate, oracles, queries
 
 
 def test_run_equals_the_plain_stages(spark, sf):
@@ -77,3 +81,17 @@ def test_every_query_is_registered():
 
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_index_needs_little_memory_for_a_word():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(2000)}" for _ in range(2000)) for _ in range(150)]
+    batch = pa.record_batch([pa.array(range(150)), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        found = list(decontaminate._indexer(1 << 24)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found) == 1 and sum(found[0].column("n_words")[0].as_py()) == 300_000
+    assert peak < 28 * 300_000
