@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache, wraps
 
 import numpy as np
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 WHITE = " \t\n\x0b\x0c\r"
 #: Words of a bit set of hashes.
 WORDS = 1 << 20
+#: Bytes of batches after which a task gives freed memory back, and rows of texts in a batch.
+GIVEN, TEXTS = 16 << 20, 1000
 
 
 @cache
@@ -58,6 +61,18 @@ def removed(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def text_batches(spark: SparkSession) -> Iterator[None]:
+    """Within it, tables are written by way of batches of ``TEXTS`` rows at most: a batch is held by the JVM and by Python at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, TEXTS if int(before) <= 0 else min(TEXTS, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def released() -> None:
     """Gives memory that Arrow's and C's allocators keep for later back to the system."""
     pa.default_memory_pool().release_unused()
@@ -67,16 +82,20 @@ def released() -> None:
 
 
 def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``task``, a function for ``mapInArrow``, with freed memory given back after each batch it has taken and at its end.
+    """``task``, a function for ``mapInArrow``, with freed memory given back after each ``GIVEN`` bytes it has taken and at its end.
 
     Python workers outlive their tasks, so what a task's allocators keep counts against the executor during later ones.
     """
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = 0
         for b in batches:
+            size += b.nbytes
             yield b
             del b
-            released()
+            if size >= GIVEN:
+                released()
+                size = 0
         released()  # whoever gave the last batch held it until asked for the next
 
     @wraps(task)

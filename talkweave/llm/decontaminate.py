@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, staged, utf8
+from .common import lean, staged, text_batches, utf8
 
 WINDOW = 8
 #: Words between two documents of a segment: more than any match can span.
@@ -120,7 +120,8 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seg
     """The staged index: one row per segment, with its documents, terms and packed postings."""
     kind = docs.schema[doc_id].dataType.simpleString()
     schema = f"segment string, doc_ids array<{kind}>, n_words array<bigint>, starts binary, terms binary, counts binary, postings binary"
-    return staged(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_indexer(segment_bytes), schema), "posting-index")
+    with text_batches(docs.sparkSession):
+        return staged(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_indexer(segment_bytes), schema), "posting-index")
 
 
 class Segment:

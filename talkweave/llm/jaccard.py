@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import bit_set, in_bit_set, lean, removed, staged, utf8, written
+from .common import bit_set, in_bit_set, lean, removed, staged, text_batches, utf8, written
 from .components import connected
 
 SHINGLE, SEED = 5, 42
@@ -470,7 +470,9 @@ def _links(meetings: DataFrame, rows: DataFrame, distinct: DataFrame, marks: Dat
     if pairs.isEmpty():
         return pairs
     ids = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct().join(distinct, "key").select(F.xxhash64("rep").alias("h"))
-    sets, path = written(rows.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(spark.sparkContext.broadcast(bit_set(ids))), "key bigint, shingles array<bigint>"), "candidate-sets", 8)
+    taken = rows.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_sets(spark.sparkContext.broadcast(bit_set(ids))), "key bigint, shingles array<bigint>")
+    with text_batches(spark):
+        sets, path = written(taken, "candidate-sets", 8)
     once = sets
     if not sets.groupBy("key").count().filter("count > 1").isEmpty():  # of null or repeated ids
         once = sets.dropDuplicates(["key"])
@@ -489,7 +491,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     often = rows.filter(F.pmod(F.xxhash64("text"), F.lit(one_in)) == 0).select("text").distinct().mapInArrow(_sampled, "h bigint").groupBy("h").count().filter(F.col("count") >= FREQUENT).select("h").toArrow()
     frequent = spark.sparkContext.broadcast(np.sort(often["h"].to_numpy().view(np.uint64)))
     buckets = max(256, min(1 << 16, rows.rdd.getNumPartitions()))
-    every, every_folder = written(rows.mapInArrow(_finder(frequent, buckets), f"doc_id {kind}, {FOUND}"), "shingle-sets")
+    with text_batches(spark):
+        every, every_folder = written(rows.mapInArrow(_finder(frequent, buckets), f"doc_id {kind}, {FOUND}"), "shingle-sets")
     found, rare = every.filter("key is not null").drop("bucket", "blob"), every.filter("bucket is not null").select("bucket", "blob")
     distinct = staged(found.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min(F.struct("part", "place")).alias("row")), "distinct-sets", 8)
     firsts = found.join(distinct.select("key", "row.part", "row.place"), ["key", "part", "place"], "left_semi")

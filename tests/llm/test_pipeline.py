@@ -95,3 +95,14 @@ def test_index_needs_little_memory_for_a_word():
         tracemalloc.stop()
     assert len(found) == 1 and sum(found[0].column("n_words")[0].as_py()) == 300_000
     assert peak < 28 * 300_000
+
+
+def test_texts_come_in_small_batches(spark):
+    seen = spark.createDataFrame([(i, "a b c") for i in range(5000)], "doc_id bigint, text string").coalesce(1)
+    sizes = lambda batches: (pa.record_batch([pa.array([b.num_rows])], names=["n"]) for b in batches)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with common.text_batches(spark):
+        rows = common.staged(seen.mapInArrow(sizes, "n bigint"), "sizes").collect()
+    assert spark.conf.get(name) == before
+    assert sum(r["n"] for r in rows) == 5000 and max(r["n"] for r in rows) <= common.TEXTS
