@@ -62,11 +62,11 @@ def removed(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def text_batches(spark: SparkSession) -> Iterator[None]:
-    """Within it, tables are written by way of batches of ``TEXTS`` rows at most: a batch is held by the JVM and by Python at once."""
+def text_batches(spark: SparkSession, rows: int = TEXTS) -> Iterator[None]:
+    """Within it, tables are written by way of batches of so many rows at most: a batch is held by the JVM and by Python at once."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    spark.conf.set(name, TEXTS if int(before) <= 0 else min(TEXTS, int(before)))
+    spark.conf.set(name, rows if int(before) <= 0 else min(rows, int(before)))
     try:
         yield
     finally:

@@ -20,7 +20,7 @@ from __future__ import annotations
 import uuid
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, staged, text_batches, utf8
+from .common import lean, released, staged, text_batches, utf8
 
 WINDOW = 8
 #: Words between two documents of a segment: more than any match can span.
@@ -125,13 +125,14 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seg
 
 
 class Segment:
-    """One segment's postings, unpacked."""
+    """One segment's postings, unpacked, and the numbers of the ``wanted`` terms among its own."""
 
-    def __init__(self, starts: bytes, terms: bytes, counts: bytes, postings: bytes):
+    def __init__(self, starts: bytes, terms: bytes, counts: bytes, postings: bytes, wanted: Container[bytes] | None = None):
         unpack = zstandard.ZstdDecompressor().decompress
         self.starts = np.frombuffer(starts, np.int64)
         names = unpack(terms).split(b" ") if counts else []
-        self.terms = dict(zip(names, range(len(names)), strict=True))
+        self.terms = {t: i for i, t in enumerate(names) if wanted is None or t in wanted}
+        del names
         self.ends = np.cumsum(np.frombuffer(counts, np.int32), dtype=np.int64)
         self.places = np.cumsum(np.frombuffer(unpack(postings), np.int32), dtype=np.int32)
 
@@ -166,9 +167,12 @@ class Segment:
         return left[ok], right[ok]
 
 
+def _windows(words: list, window: int) -> list[list]:
+    return [words[i : i + window] for i in range(max(1, len(words) - window + 1))] if words else []
+
+
 def windows_of(text: bytes, window: int = WINDOW) -> list[list[bytes]]:
-    ws = words_of(text)
-    return [ws[i : i + window] for i in range(max(1, len(ws) - window + 1))] if ws else []
+    return _windows(words_of(text), window)
 
 
 def _merged(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,11 +187,13 @@ def _searcher(items: list[tuple[str, bytes]], window: int, slop: int | None):
     @lean
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries: dict[str, list[list[bytes]]] = {}
+        wanted: dict[bytes, bytes] = {}
         for name, text in items:
-            queries.setdefault(name, []).extend(windows_of(text, window))
+            queries.setdefault(name, []).append([wanted.setdefault(t, t) for t in words_of(text)])
         for b in batches:
             for k in range(b.num_rows):
-                rows = found(Segment(*(b.column(c)[k].as_py() for c in ("starts", "terms", "counts", "postings"))), queries)
+                rows = found(Segment(*(b.column(c)[k].as_py() for c in ("starts", "terms", "counts", "postings")), wanted), queries)
+                released()
                 if rows:
                     yield pa.record_batch([pa.array([b.column("segment")[k].as_py()] * len(rows)), *(pa.array(c) for c in zip(*rows, strict=True))], schema=SCHEMA)
 
@@ -195,12 +201,11 @@ def _searcher(items: list[tuple[str, bytes]], window: int, slop: int | None):
         rows = []
         for name, ws in queries.items():
             spans: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {True: [], False: []}
-            for w in ws:
-                terms = [s.terms.get(t, -1) for t in w]
+            for terms in (w for words in ws for w in _windows([s.terms.get(t, -1) for t in words], window)):
                 if min(terms) < 0:
                     continue
                 if len(p := s.phrase(terms)):
-                    spans[True].append((p, p + len(w)))
+                    spans[True].append((p, p + len(terms)))
                 if slop is not None:
                     p, q = s.near(terms, slop)
                     if len(p):
@@ -257,7 +262,8 @@ def _n_covered(spans) -> F.Column:
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", slop: int | None = None) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_words``, ``n_hit``, ``items`` (ids with an exact match, sorted) and ``near_items``."""
     index = build_index(docs, doc_id)
-    hits = staged(search(index, items, slop=slop), "benchmark-hits")
+    with text_batches(docs.sparkSession, 1):  # a segment at a time
+        hits = staged(search(index, items, slop=slop), "benchmark-hits")
     spans = F.transform(F.arrays_zip("first", "stop"), lambda s: F.struct(s["first"].alias("first"), s["stop"].alias("stop")))
     of = lambda exact: F.when(F.col("exact") if exact else ~F.col("exact"), F.col("item"))
     per_doc = hits.groupBy("segment", "place").agg(
