@@ -171,10 +171,6 @@ def _windows(words: list, window: int) -> list[list]:
     return [words[i : i + window] for i in range(max(1, len(words) - window + 1))] if words else []
 
 
-def windows_of(text: bytes, window: int = WINDOW) -> list[list[bytes]]:
-    return _windows(words_of(text), window)
-
-
 def _merged(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The union of intervals, as disjoint ones in order."""
     order = np.argsort(first, kind="stable")
