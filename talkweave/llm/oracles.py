@@ -70,4 +70,21 @@ near AS (SELECT doc_id, count(DISTINCT item_id) AS n FROM (SELECT doc_id, w, p,
 SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items, sha256(coalesce(it.s, '')) AS items_sha256, coalesce(it.n, 0) >= 2 AS contaminated, coalesce(near.n, 0) AS n_near_items
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id) LEFT JOIN near USING (doc_id)"""
 
-ORACLES = {"op2_url_filters": URL_FILTERS, "op3_mixing": MIXING, "op4_secret_scan": SECRETS, "op6_quality_rules": QUALITY, "op9_decontaminate": DECONTAMINATE}
+#: Every group and language gives every kept term a share; shares are exact in 128-bit integers.
+DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), {UP}, {LOW}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+grp AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT row, lang, source, term, count(*) AS n FROM (SELECT row, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term HAVING count(*) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT lang, source, term, sum(n) AS n FROM c SEMI JOIN k USING (lang, term) GROUP BY ALL),
+s AS (SELECT lang, source, sum(n) AS total FROM g GROUP BY ALL),
+p AS (SELECT grp.lang, grp.source, k.term, coalesce(g.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(g.n, 0) + 5)) // (coalesce(s.total, 0) + 5 * v.v) AS p, 1 + (1000000000::HUGEINT * (k.n + 5)) // (v.total + 5 * v.v) AS q
+      FROM grp JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN s ON s.lang = grp.lang AND s.source = grp.source LEFT JOIN g ON g.lang = grp.lang AND g.source = grp.source AND g.term = k.term),
+two AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(two.value, 0)::BIGINT AS value FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN two ON two.lang = a.lang AND two.source = a.source AND two.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM x)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50"""
+
+ORACLES = {"op12_divergence": DIVERGENCE, "op2_url_filters": URL_FILTERS, "op3_mixing": MIXING, "op4_secret_scan": SECRETS, "op6_quality_rules": QUALITY, "op9_decontaminate": DECONTAMINATE}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, suffix_lm, token_counts, url_filters
+from . import alignment, byte_bpe, decontaminate, divergence, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, suffix_lm, token_counts, url_filters
 from .common import remainder, shared_folder, table
 from .oracles import ORACLES
 
@@ -75,6 +75,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_url_filters": op2_url_filters, "op3_mixing": op3_mixing, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op5_quality_model": op5_quality_model, "op7_suffix_lm": op7_suffix_lm, "op8_token_counts": op8_token_counts, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.measured(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = byte_bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), with_offsets=False)
+    return byte_bpe.decoded(tokens).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
+QUERIES = {"op11_alignment": op11_alignment, "op12_divergence": op12_divergence, "op13_byte_bpe": op13_byte_bpe, "op1_language_id": op1_language_id, "op2_url_filters": op2_url_filters, "op3_mixing": op3_mixing, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op5_quality_model": op5_quality_model, "op7_suffix_lm": op7_suffix_lm, "op8_token_counts": op8_token_counts, "op9_decontaminate": op9_decontaminate, "op10_simhash": op10_simhash, "pipeline": corpus_pipeline.run}
 
 __all__ = ["ORACLES", "QUERIES"]
