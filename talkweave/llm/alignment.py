@@ -222,11 +222,12 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             of = lambda name: column[name][row].values  # noqa: B023, E731
             sequence, parts, places, links = (_unpack(column[c][row].as_py()) for c in PACKED)
             keys, sums = of("keys").to_numpy(), []
-            found = of("found") if column["found"][row].is_valid else None
-            for name in ("best", "n"):
+            pair, *found = of("found").flatten() if column["found"][row].is_valid else [None]
+            at = np.searchsorted(keys, pair.to_numpy()) if found else []
+            for counts in reversed(found or [None, None]):
                 value = np.zeros(len(keys), np.int64)
-                if found is not None:
-                    value[np.searchsorted(keys, found.field("pair").to_numpy())] = found.field(name).cast(pa.int64()).to_numpy()
+                if found:
+                    value[at] = counts.cast(pa.int64()).to_numpy()
                 sums.append(_ragged_sum(_ragged_sum(value[places], links)[sequence], parts))
             yield pa.record_batch([of("doc_ids"), *map(of, PER_TEXT), *map(pa.array, sums), of("digest")], names=["doc_id", *PER_TEXT, "n_best", "count_sum", "groups_sha256"])
 

@@ -31,9 +31,10 @@ def _byte_chars() -> list[str]:
 BYTE_CHARS = _byte_chars()
 CHAR_BYTES = {c: b for b, c in enumerate(BYTE_CHARS)}
 
-#: A space between two characters that are not white space. No match of the byte-level pattern goes on across it, and no
-#: piece of a vocabulary that splits by white space has a space after another character, so texts may be cut before it.
-_CUT = re.compile(r" (?<=\S )(?=\S)")
+#: A space between two characters that are not white space, nor the mark that pieces have for a space. No match of the
+#: byte-level pattern goes on across it, and no piece of a vocabulary that splits by white space has a space after another
+#: character, so texts may be cut before it.
+_CUT = re.compile(r" (?<=[^\s▁] )(?=[^\s▁])")
 
 
 def cut(text: str) -> list[str]:
