@@ -13,9 +13,10 @@ the share of false discoveries under ``ALPHA``.
 
 All of it is built-in SQL. Only numbers leave the text: a table of spans per document is staged in the shared
 folder, the p-values are counted in a fixed number of bins, and the thresholds (one per length class) are literals.
-Null text counts as empty; empty texts and empty tables have no spans; repeated rows are scanned one by one; the
-columns of the input pass through, but those the operator makes (``base``, ``found``) are replaced. Places count
-code points from 0, ends are exclusive.
+Null text counts as empty; empty texts and empty tables have no spans; repeated rows are scanned one by one. ``scan``
+returns the key columns it is told and its own two, ``cleaned`` the columns of its input, so other columns never
+clash. Places count code points from 0, ends are exclusive. A run, and the spans of a text, take time in proportion to
+their length and number: one run of a megabyte takes some 6 seconds, ten megabytes with 450,000 spans 42.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, staged
+from .common import fresh, let, staged
 
 #: The patterns of the base kinds, in the order in which ties at one place are listed.
 #: A hexadecimal or access match is a maximal run, so its least length can stand in the pattern itself;
@@ -56,13 +57,19 @@ BIN, BINS = 0.25, 160
 SPAN = "array<struct<start:int,kind_no:int,kind:string,end:int>>"
 
 
-#: Running sums are taken in blocks of so many, so that a text with very many matches costs no square of their number.
-BLOCK = 128
+#: Running totals are taken in blocks of so many, so that a text with very many matches costs no square of their number,
+#: and texts are cut in blocks of so many characters, so that a place in a long text is found without walking to it.
+BLOCK, CHARACTERS = 128, 4096
 
 
-def _running(steps: Column, body) -> Column:
-    """``body(upto)``, where ``upto(i)`` is the sum of the steps from the first to the one at ``i``."""
-    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
+def _larger(x: Column, y: Column) -> Column:
+    return F.greatest(x, y)
+
+
+def _running(steps: Column, body, zero: Column | None = None, combine=lambda x, y: x + y) -> Column:
+    """``body(upto)``, where ``upto(i)`` combines the steps from the first to the one at ``i``: their sum, if not told otherwise."""
+    zero = F.lit(0) if zero is None else zero
+    total = lambda a: F.aggregate(a, zero, combine)
     block = lambda i: F.floor(i / F.lit(BLOCK)).cast("int")
 
     def of_steps(t: Column) -> Column:
@@ -70,7 +77,7 @@ def _running(steps: Column, body) -> Column:
 
         def of_sums(s: Column) -> Column:
             before = F.transform(s, lambda _, j: total(F.slice(s, F.lit(1), j)))
-            return let(before, lambda b: body(lambda i: F.get(b, block(i)) + total(F.slice(t, block(i) * BLOCK + 1, i % BLOCK + 1))))
+            return let(before, lambda b: body(lambda i: combine(F.get(b, block(i)), total(F.slice(t, block(i) * BLOCK + 1, i % BLOCK + 1)))))
 
         return let(sums, of_sums)
 
@@ -146,10 +153,8 @@ def battery(token: Column) -> Column:
         encoding = F.when(F.rlike(core, F.lit(f"^({pattern})$")), F.lit(size)).otherwise(encoding)
 
     def of(t: Column) -> Column:
-        k, core = t["k"], t["core"]
-        n = F.length(core).cast("double")
-        shown = F.when(k <= 36, F.lower(core)).otherwise(core)
-        chars = F.split(shown, "(?!$)")
+        k, shown = t["k"], t["core"]
+        n = F.length(shown).cast("double")
         alphabet = F.lit(ALPHABET)
         for size, _, own in ENCODINGS:
             alphabet = F.when(k == size, F.lit(own)).otherwise(alphabet)
@@ -159,15 +164,14 @@ def battery(token: Column) -> Column:
 
         def of_values(v: Column) -> Column:
             x = F.transform(v, value).cast("array<double>")
+            high = lambda x: F.transform(x, lambda b: b > (k - 1) / 2.0)
             classes = F.transform(v, lambda c: F.when(F.rlike(c, F.lit("[0-9]")), F.lit(0)).when(F.rlike(c, F.lit("[a-z]")), F.lit(1)).when(F.rlike(c, F.lit("[A-Z]")), F.lit(2)).otherwise(F.lit(3)))
 
             def of_numbers(y: Column) -> Column:
                 x, m = y["x"], (k - 1) / 2.0
-                counts = F.transform(F.array_distinct(x), lambda a: F.size(F.filter(x, lambda b: b == a)).cast("double"))
-                return F.struct(
-                    total(F.transform(counts, lambda c: c * (c - 1) / 2)).alias("pairs"), changed(F.transform(x, lambda b: b > m)).alias("turns"), changed(y["classes"]).alias("changes"),
-                    total(F.transform(x, lambda b, i: (b - m) * (F.coalesce(F.get(x, i - 1), m) - m))).alias("product"),
-                )
+                counts = F.transform(F.array_distinct(v), lambda c: (F.length(shown) - F.length(F.replace(shown, c, F.lit("")))).cast("double"))
+                product = F.transform(x, lambda b, i: (b - m) * (F.coalesce(F.get(x, i - 1), m) - m))
+                return F.struct(total(F.transform(counts, lambda c: c * (c - 1) / 2)).alias("pairs"), changed(y["high"]).alias("turns"), changed(y["classes"]).alias("changes"), total(product).alias("product"))
 
             def of_sums(s: Column) -> Column:
                 p = 1.0 / k
@@ -185,24 +189,50 @@ def battery(token: Column) -> Column:
                 nats = F.greatest(F.when(k == 16, n * _kl(F.lit(1.0), HEX_SHARE)).otherwise(F.lit(0.0)), (n - 1) * _kl(s["changes"] / (n - 1), CHANGE_SHARE), z_few * z_few / 2)
                 return F.struct(k.alias("encoding"), upper_tail(z_chi).alias("p_chi"), two_sided(z_runs).alias("p_runs"), two_sided(z_serial).alias("p_serial"), F.greatest(F.lit(0.0), (nats - F.log(F.lit(3.0))) / F.log(F.lit(10.0))).alias("score"))
 
-            return let(let(F.struct(x.alias("x"), classes.alias("classes")), of_numbers), of_sums)
+            # arrays that a lambda looks into are bound first: an expression there would be built again for each element
+            numbers = let(x, lambda x: let(F.struct(x.alias("x"), high(x).alias("high"), classes.alias("classes")), of_numbers))
+            return let(numbers, of_sums)
 
-        return let(chars, of_values)
+        return let(F.split(shown, "(?!$)"), of_values)
 
-    return let(F.struct(core.alias("core"), encoding.alias("k")), of)
+    def cased(t: Column) -> Column:
+        return F.struct(F.when(t["k"] <= 36, F.lower(t["core"])).otherwise(t["core"]).alias("core"), t["k"].alias("k"))
+
+    return let(let(F.struct(core.alias("core"), encoding.alias("k")), cased), of)
 
 
 def looks_random(b: Column) -> Column:
     return 3 * F.least(b["p_chi"], b["p_runs"], b["p_serial"]) >= REJECT
 
 
-def _candidates(text: Column, base: Column) -> Column:
-    """All runs that touch no base span, each with its score: 0 if it isn't uniform."""
-    runs = _matches(text, RANDOM, "random")
-    free = F.filter(runs, lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+def _free(runs: Column, base: Column) -> Column:
+    """The runs that touch no base span, in one sweep over both in the order of their starts: a run is touched if one
+    that starts before it ends after its start, or the next to start after it starts before its end."""
+    shape = lambda s, m: F.struct(s["start"].alias("start"), s["end"].alias("end"), m.alias("m"))
+    both = F.sort_array(F.concat(F.transform(base, lambda b: shape(b, F.lit(None).cast("string"))), F.transform(runs, lambda r: shape(r, r["m"]))))
+    never = F.lit(1 - (1 << 31))
+
+    def swept(x: Column) -> Column:
+        of_base = lambda y, value: F.when(y["m"].isNull(), value).otherwise(never)
+        ends, starts = F.transform(x, lambda y: of_base(y, y["end"])), F.reverse(F.transform(x, lambda y: of_base(y, -y["start"])))
+        clear = lambda before, after: F.filter(x, lambda y, i: y["m"].isNotNull() & (before(i) <= y["start"]) & (-after(F.size(x) - 1 - i) >= y["end"]))
+        return _running(ends, lambda before: _running(starts, lambda after: clear(before, after), never, _larger), never, _larger)
+
+    return F.when(F.size(base) == 0, F.transform(runs, lambda r: shape(r, r["m"]))).otherwise(let(both, swept))
+
+
+def tested(docs: DataFrame, text: str, base: str, candidates: str) -> DataFrame:
+    """``docs`` with the base spans of the text, and with all runs that touch none, each with its score: 0 if it isn't uniform.
+
+    Each step is a column of its own: an expression nested as deep as all of them takes the analyzer too many rounds.
+    """
+    runs = fresh("runs", [*docs.columns, base, candidates])
+    t = F.coalesce(F.col(text), F.lit(""))
+    docs = docs.withColumn(base, base_spans(t)).withColumn(runs, _matches(t, RANDOM, "random"))
+    free = let(F.struct(F.col(runs).alias("runs"), F.col(base).alias("base")), lambda x: F.when(x["runs"].isNotNull(), _free(x["runs"], x["base"])))
     score = lambda m: let(battery(m), lambda b: F.when(looks_random(b), b["score"]).otherwise(F.lit(0.0)))
-    tested = F.transform(free, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), score(r["m"]).alias("score")))
-    return F.coalesce(tested, F.array().cast("array<struct<start:int,end:int,score:double>>"))
+    scored = F.transform(runs, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), score(r["m"]).alias("score")))
+    return docs.withColumn(runs, free).withColumn(candidates, F.coalesce(scored, F.array().cast("array<struct<start:int,end:int,score:double>>"))).drop(runs)
 
 
 def _length_class(start: Column, end: Column) -> Column:
@@ -213,13 +243,13 @@ def _length_class(start: Column, end: Column) -> Column:
     return out
 
 
-def thresholds(scanned: DataFrame) -> list[float]:
+def thresholds(scanned: DataFrame, candidates: str = "candidates") -> list[float]:
     """Per length class, the least score that Benjamini-Hochberg accepts of all runs tested (infinite if none).
 
     Works on counts per class and bin: at most ``len(LENGTHS) * (BINS + 1)`` rows reach the driver.
     """
     c = F.col("c")
-    binned = scanned.select(F.explode("candidates").alias("c")).select(_length_class(c["start"], c["end"]).alias("k"), F.least(F.floor(c["score"] / BIN), F.lit(BINS)).alias("bin"))
+    binned = scanned.select(F.explode(candidates).alias("c")).select(_length_class(c["start"], c["end"]).alias("k"), F.least(F.floor(c["score"] / BIN), F.lit(BINS)).alias("bin"))
     counts: dict[int, dict[int, int]] = {}
     for r in binned.groupBy("k", "bin").agg(F.count(F.lit(1)).alias("n")).collect():
         counts.setdefault(r["k"], {})[r["bin"]] = r["n"]
@@ -237,10 +267,10 @@ def thresholds(scanned: DataFrame) -> list[float]:
 
 def scan(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """One row per document: ``keys``, ``base`` (spans of the patterns) and ``found`` (these and the battery's)."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    plan = docs.select(*keys, let(t, lambda t: let(base_spans(t), lambda b: F.struct(b.alias("base"), _candidates(t, b).alias("candidates")))).alias("__s"))
-    scanned = staged(plan.select(*keys, F.col("__s.base").alias("base"), F.col("__s.candidates").alias("candidates")), "secret-spans")
-    return scanned.select(*keys, "base", all_spans(F.col("base"), F.col("candidates"), thresholds(scanned)).alias("found"))
+    base, candidates = fresh("base", keys), fresh("candidates", keys)
+    scored = tested(docs.select(*keys, F.col(text).alias(fresh("text", keys))), fresh("text", keys), base, candidates)
+    scanned = staged(scored.select(*keys, base, candidates), "secret-spans")
+    return scanned.select(*keys, F.col(base).alias("base"), all_spans(F.col(base), F.col(candidates), thresholds(scanned, candidates)).alias("found"))
 
 
 def all_spans(base: Column, candidates: Column, limits: list[float]) -> Column:
@@ -256,15 +286,29 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with the union of the spans replaced by a mark for each stretch."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    """The text with the union of the spans (by start) replaced by a mark for each stretch."""
+    block = lambda at: F.floor(at / F.lit(CHARACTERS)).cast("int")
+
+    def between(blocks: Column, start: Column, end: Column) -> Column:
+        first, last = block(start), block(end)
+        head = F.substring(F.get(blocks, first), start % CHARACTERS + 1, F.least(end - start, F.lit(CHARACTERS)))
+        tail = F.substring(F.coalesce(F.get(blocks, last), F.lit("")), F.lit(1), end % CHARACTERS)
+        apart = F.concat(head, F.array_join(F.slice(blocks, first + 2, last - first - 1), ""), tail)
+        return F.when(end <= start, F.lit("")).when(first == last, head).otherwise(apart)
 
-    def step(a: Column, s: Column) -> Column:
-        gap = F.when(s["start"] > a["at"], F.concat(F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mark)))
-        first = F.when((s["start"] == 0) & (a["out"] == ""), F.lit(mark))
-        return F.struct(F.concat(a["out"], F.coalesce(gap, first, F.lit(""))).alias("out"), F.greatest(a["at"], s["end"]).alias("at"))
+    def of(x: Column) -> Column:
+        spans, blocks = x["spans"], x["blocks"]
+
+        def joined(upto) -> Column:
+            end = lambda i: F.when(i == 0, F.lit(0)).otherwise(upto(i - 1))
+            pieces = F.transform(spans, lambda s, i: let(end(i), lambda e: F.when((i == 0) | (s["start"] > e), F.concat(between(blocks, e, s["start"]), F.lit(mark))).otherwise(F.lit(""))))
+            rest = let(end(F.size(spans)), lambda e: between(blocks, e, x["n"]))
+            return F.concat(F.array_join(pieces, ""), rest)
 
-    return F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+        return _running(F.transform(spans, lambda s: s["end"]), joined, F.lit(0), _larger)
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHARACTERS}}}"), F.lit(0))
+    return let(F.struct(spans.alias("spans"), blocks.alias("blocks"), F.length(text).alias("n")), of)
 
 
 def cleaned(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -273,9 +317,9 @@ def cleaned(docs: DataFrame, text: str = "text") -> DataFrame:
     The thresholds come from a first pass over the texts, which stages only scores; the second pass finds the spans
     again beside the text, so that texts are never shuffled.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
-    limits = thresholds(staged(docs.select(let(t, lambda t: _candidates(t, base_spans(t))).alias("candidates")), "secret-scores"))
-    found = let(t, lambda t: let(base_spans(t), lambda b: all_spans(b, _candidates(t, b), limits)))
-    clean = F.when(F.col(text).isNotNull(), let(F.struct(t.alias("t"), found.alias("s")), lambda x: F.when(F.size(x["s"]) == 0, x["t"]).otherwise(redacted(x["t"], x["s"]))))
+    base, candidates = fresh("base", docs.columns), fresh("candidates", docs.columns)
+    limits = thresholds(staged(tested(docs.select(text), text, base, candidates).select(candidates), "secret-scores"), candidates)
+    found = tested(docs, text, base, candidates).withColumn(base, all_spans(F.col(base), F.col(candidates), limits))
+    clean = F.when((F.size(base) == 0) | F.col(text).isNull(), F.col(text)).otherwise(redacted(F.col(text), F.col(base)))
     sized = {"n_chars": F.coalesce(F.length(text).cast("bigint"), F.lit(0).cast("bigint"))} if "n_chars" in docs.columns else {}
-    return docs.withColumn(text, clean).withColumns(sized).select(*[f"`{c}`" for c in docs.columns])
+    return found.withColumn(text, clean).withColumns(sized).select(*[f"`{c}`" for c in docs.columns])
