@@ -21,6 +21,7 @@ any type) and ``text`` are read; other columns never clash. A very long text is
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, removed, text_batches, written
-from .vocabularies import cut, text_slices, vocabulary
+from .vocabularies import cut, encoded_parts, lengths, text_slices, vocabulary
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Rows of a block table that an Arrow batch holds.
@@ -73,26 +74,21 @@ class Aligned:
         return np.repeat(np.arange(len(self.a_counts)), self.a_counts)
 
 
-@cache
-def _lengths(name: str) -> np.ndarray:
-    return np.array([len(t) for t in vocabulary(name).tokens], np.int64)
-
-
 def align(parts: list[str], a: str = A, b: str = B) -> Aligned:
     """Tokens, groups and links of parts, each standing for a space and itself. Parts that do not come back as their own
     bytes on both sides are not valid and have no tokens."""
-    left, right = vocabulary(a), vocabulary(b)
-    a_lists, b_lists = left.encode([" " + p for p in parts]), right.encode(parts)
-    whole = lambda lists, tokens: b"".join(tokens[i] for ids in lists for i in ids)
-    data = " ".join(["", *parts]).encode()
-    valid = np.ones(len(parts), bool)
-    if whole(a_lists, left.tokens) != data or whole(b_lists, right.tokens) != data:
-        each = zip(parts, a_lists, b_lists, strict=True)
-        valid[:] = [whole([x], left.tokens) == whole([y], right.tokens) == (" " + p).encode() for p, x, y in each]
-    a_lists, b_lists = ([ids if ok else [] for ids, ok in zip(lists, valid, strict=True)] for lists in (a_lists, b_lists))
-    flat = lambda lists: np.fromiter((i for ids in lists for i in ids), np.int64)
-    a_ids, b_ids = flat(a_lists), flat(b_lists)
-    a_size, b_size = _lengths(a)[a_ids], _lengths(b)[b_ids]
+    left, right = vocabulary(a).tokens, vocabulary(b).tokens
+    (a_ids, a_counts), b_lists = encoded_parts(a, [" " + p for p in parts]), vocabulary(b).encode(parts)
+    b_ids, b_counts = np.fromiter(itertools.chain.from_iterable(b_lists), np.int64), np.fromiter(map(len, b_lists), np.int64, len(parts))
+    del b_lists
+    whole = lambda ids, tokens: b"".join(map(tokens.__getitem__, ids.tolist()))
+    data, valid = " ".join(["", *parts]).encode(), np.ones(len(parts), bool)
+    if whole(a_ids, left) != data or whole(b_ids, right) != data:
+        a_each, b_each = (np.split(ids, np.cumsum(counts)[:-1]) for ids, counts in ((a_ids, a_counts), (b_ids, b_counts)))
+        valid[:] = [whole(x, left) == whole(y, right) == (" " + p).encode() for p, x, y in zip(parts, a_each, b_each, strict=True)]
+        a_ids, b_ids = a_ids[np.repeat(valid, a_counts)], b_ids[np.repeat(valid, b_counts)]
+        a_counts, b_counts = np.where(valid, a_counts, 0), np.where(valid, b_counts, 0)
+    a_size, b_size = lengths(a)[a_ids], lengths(b)[b_ids]
     a_ends, b_ends = np.cumsum(a_size), np.cumsum(b_size)
     a_starts, b_starts = a_ends - a_size, b_ends - b_size
     na, nb = len(a_ids), len(b_ids)
@@ -101,9 +97,8 @@ def align(parts: list[str], a: str = A, b: str = B) -> Aligned:
     link_a, link_b = np.concatenate([np.arange(na), first_a[later]]), np.concatenate([first_b, later])
     root = components(na + nb, link_a, na + link_b)
     number = np.cumsum(root[:na] == np.arange(na)) - 1  # the least node of a component is its first token of A
-    counts = [np.fromiter(map(len, lists), np.int64, len(parts)) for lists in (a_lists, b_lists)]
     groups = [number[root[:na]], number[root[na:]]] if na else [np.zeros(0, np.int64)] * 2
-    return Aligned(valid, a_ids, a_ends, counts[0], groups[0], b_ids, b_ends, counts[1], groups[1], link_a, link_b)
+    return Aligned(valid, a_ids, a_ends, a_counts, groups[0], b_ids, b_ends, b_counts, groups[1], link_a, link_b)
 
 
 @cache

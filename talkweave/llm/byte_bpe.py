@@ -1,7 +1,7 @@
 """Byte-level BPE: texts to packed token ids with character offsets, and back.
 
 Encoding runs the tokenizers library over Arrow batches. A text is cut at safe spaces, and each distinct part is encoded
-once per slice of a batch, so repeated words and copies cost a look-up. Ids are packed as little-endian unsigned 32-bit
+once by a task, as long as it is remembered, so repeated words and copies cost a look-up. Ids are packed as little-endian unsigned 32-bit
 integers, the form of token files for training. A token is a run of bytes and may begin or end inside a character: its
 offsets are those of all characters it has a byte of, in code points, the end exclusive, so neighbours that share a
 character overlap by one.
@@ -18,7 +18,6 @@ the library whole, which takes some 70 times its bytes; other long texts take me
 from __future__ import annotations
 
 import codecs
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean
-from .vocabularies import cut, text_slices, vocabulary
+from .vocabularies import cut, encoded_parts, lengths, text_slices, vocabulary
 
 RANKS = "byte_bpe_50k.tiktoken"
+#: Parts whose ids a task remembers.
+PARTS = 200_000
 
 
 def parts_of(text: str) -> list[str]:
@@ -38,25 +39,29 @@ def parts_of(text: str) -> list[str]:
     return [first, *[" " + p for p in rest]] if text else []
 
 
-def packed(texts: list[str], name: str) -> list[bytes]:
-    """The packed ids of texts."""
-    split = [parts_of(t) for t in texts]
-    distinct = list({p for s in split for p in s})
-    ids = vocabulary(name).encode(distinct)
-    known = {p: np.asarray(i, "<u4").tobytes() for p, i in zip(distinct, ids, strict=True)}
-    return [b"".join(map(known.__getitem__, s)) for s in split]
+class Packer:
+    """Packed ids of texts. Each distinct part is encoded once, until there are ``PARTS``: then it starts anew."""
 
+    def __init__(self, name: str):
+        self.name, self.known = name, {}
 
-@functools.cache
-def _lengths(name: str) -> np.ndarray:
-    return np.array([len(t) for t in vocabulary(name).tokens], np.int64)
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        split = [parts_of(t) for t in texts]
+        if len(self.known) > PARTS:
+            self.known.clear()
+        known = self.known
+        new = list({p for s in split for p in s if p not in known})
+        ids, counts = encoded_parts(self.name, new)
+        data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        known.update(zip(new, [data[s:e] for s, e in zip([0, *ends], ends, strict=False)], strict=True))
+        return [b"".join(map(known.__getitem__, s)) for s in split]
 
 
 def offsets(text: str, ids: bytes, name: str) -> tuple[np.ndarray, np.ndarray]:
     """First character and end of the characters that each token has a byte of."""
     data = np.frombuffer(text.encode(), np.uint8)
     character = np.cumsum((data & 0xC0) != 0x80)  # of a byte, counted from 1
-    ends = np.cumsum(_lengths(name)[np.frombuffer(ids, "<u4")])
+    ends = np.cumsum(lengths(name)[np.frombuffer(ids, "<u4")])
     starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     return (character[starts] - 1).astype(np.int32), character[ends - 1].astype(np.int32)
 
@@ -71,8 +76,9 @@ def encoded(docs: DataFrame, ranks: str = RANKS, with_offsets: bool = True, doc_
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = Packer(ranks)
         for part, texts in text_slices(batches, 1):
-            ids = packed(texts, ranks)
+            ids = packed(texts)
             columns = [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
             if with_offsets:
                 columns += map(_lists, zip(*[offsets(t, i, ranks) for t, i in zip(texts, ids, strict=True)], strict=True))

@@ -74,9 +74,10 @@ def test_every_code_point_splits_as_in_the_library(library):
     """All characters among letters, digits and spaces: the pattern's classes agree in both libraries."""
     at = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000][::7]
     probes = [f"a{chr(c)}1{chr(c)} {chr(c)}b\n{chr(c)}!{chr(c)}" for c in at]
+    packed = byte_bpe.Packer(byte_bpe.RANKS)
     for s in range(0, len(probes), 4096):
         part = probes[s : s + 4096]
-        assert [np.frombuffer(x, "<u4").tolist() for x in byte_bpe.packed(part, byte_bpe.RANKS)] == [library.encode_ordinary(t) for t in part]
+        assert [np.frombuffer(x, "<u4").tolist() for x in packed(part)] == [library.encode_ordinary(t) for t in part]
 
 
 def test_split_characters_and_broken_bytes(spark):
