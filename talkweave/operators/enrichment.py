@@ -11,17 +11,21 @@ from pyspark.sql import functions as F
 
 from talkweave.functions import text as T
 
+from .model_calls import StoredModel
 from .providers import TextProvider
 
 CALLED = "call_id bigint, window_index bigint, local_index bigint, position bigint, source string, output string, failed boolean, fell_back boolean, called boolean, latency_ms double"
 
 
-def called(rows: DataFrame, provider: TextProvider | None, task: str, strict: bool = False) -> DataFrame:
+def called(rows: DataFrame, provider: TextProvider | StoredModel | None, task: str, strict: bool = False) -> DataFrame:
     """``rows`` (call_id, window_index, local_index, position, source) with the provider's ``output``, a call a window.
 
     Without a provider the sources pass. A failing call falls back to the sources, or raises if ``strict``; so does
-    an answer of the wrong length; an empty answer to a text falls back alone.
+    an answer of the wrong length; an empty answer to a text falls back alone. A ``StoredModel`` is asked by prompts,
+    and its answers are kept.
     """
+    if isinstance(provider, StoredModel):
+        return provider.answers(rows, task, strict)
     if provider is None:
         return rows.select("call_id", "window_index", "local_index", "position", "source", F.col("source").alias("output"), F.lit(False).alias("failed"), F.lit(False).alias("fell_back"), F.lit(False).alias("called"), F.lit(0.0).alias("latency_ms"))
     gathered = rows.groupBy("call_id", "window_index").agg(F.array_sort(F.collect_list(F.struct("local_index", "position", "source"))).alias("items"))
@@ -104,7 +108,7 @@ def guarded(source: Column, candidate: Column, low: Column) -> Column:
     return F.when(low, T.light_enhance(source)).when(T.drifted(source, candidate), source).otherwise(candidate)
 
 
-def enhanced_by(segments: DataFrame, windows: DataFrame, provider: TextProvider, skip_low_confidence: bool = True, strict: bool = False) -> DataFrame:
+def enhanced_by(segments: DataFrame, windows: DataFrame, provider: TextProvider | StoredModel, skip_low_confidence: bool = True, strict: bool = False) -> DataFrame:
     """Enhancement by a provider, window by window, on segments with ``position`` and ``low_confidence``.
 
     Adds ``drifted``, ``skipped`` and ``windowed``. Segments in no window keep their source.

@@ -55,6 +55,18 @@ w2 AS (SELECT *, CASE WHEN pe > s THEN least(e, (pe + s) / 2) ELSE s END AS s2,
 cut AS (SELECT * EXCLUDE (s, e, pe, ns, s2), s2 AS s, CASE WHEN conflict THEN greatest(s2, (e + ns) / 2) ELSE e END AS e FROM w2)"""
 
 
+#: Lines of documents as segments, eight a window, with what the stand-in model makes of them.
+LINES = r"""
+la AS (SELECT doc_id AS call_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
+lb AS (SELECT call_id, i, regexp_replace(line, '^[\s\x0b\x1c-\x1f]+|[\s\x0b\x1c-\x1f]+$', '', 'g') AS source FROM la),
+l0 AS (SELECT call_id, source, row_number() OVER (PARTITION BY call_id ORDER BY i) - 1 AS position FROM lb WHERE source <> ''),
+l1 AS (SELECT *, position // 8 AS window_index, regexp_replace(regexp_replace(source, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '[EMAIL]', 'g'), '[0-9]{8,}', '[ID]', 'g') AS masked,
+       regexp_matches(source, '\b\+?\d[\d\s\-()]{6,}\b') OR regexp_matches(source, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') OR regexp_matches(source, '\b\d{8,}\b') AS pii FROM l0),
+l2 AS (SELECT *, first_value(length(source)) OVER (PARTITION BY call_id, window_index ORDER BY position) % 13 = 0 AS failed FROM l1),
+l3 AS (SELECT *, failed OR contains(source, '#') AS fell_back FROM l2),
+l4 AS (SELECT *, CASE WHEN fell_back THEN source ELSE masked END AS output FROM l3),
+l5 AS (SELECT *, (length(output) - length(replace(output, '[EMAIL]', ''))) // 7 AS n_email, (length(output) - length(replace(output, '[ID]', ''))) // 4 AS n_id FROM l4)"""
+
 WINDOWS = SEG + """,
 p AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) - 1 AS position, trim(raw_text) AS txt FROM seg),
 q AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY s, e, position) AS rn FROM p WHERE trim(raw_text) <> ''),
@@ -242,6 +254,10 @@ SELECT group_id, string_agg('<SEG id="' || i || '">' || c || '</SEG>', chr(10) O
 y AS (SELECT text_id::BIGINT AS text_id, list_filter(z, lambda p: p[1] = '0') AS a, list_filter(z, lambda p: p[1] = '1') AS b FROM x) SELECT text_id, CASE WHEN len(a) > 0 AND len(b) > 0 THEN trim(a[-1][2]) || '|' || trim(b[-1][2]) ELSE '' END AS texts FROM y""",
     "seg_round_trip": f"WITH {TEXTS} SELECT text_id // 10 AS group_id, string_agg(trim(replace(text, chr(10), ' ')), '|' ORDER BY text_id) AS texts FROM texts GROUP BY ALL",
     "anonymize_passthrough": f"WITH {SEG} SELECT call_id, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) - 1 AS position, raw_text AS anonymized_text, '' AS enhanced_text FROM seg",
+    "model_answers": f"WITH {LINES} SELECT call_id, window_index, position, output, failed, fell_back, NOT failed AS reused FROM l5",
+    "model_report": f"""WITH {LINES}, g AS (SELECT call_id, count(DISTINCT window_index) AS w, count(*) AS n, sum(length(source)) AS chars, count(DISTINCT window_index) FILTER (failed) AS windows_failed, count(*) FILTER (fell_back) AS fallback_segments, count(*) FILTER (pii) AS p,
+  count(*) FILTER (pii AND (n_email + n_id > 0 OR regexp_matches(output, '\\[(ИМЯ|ТЕЛЕФОН|АДРЕС)\\]'))) AS m, sum(n_email)::BIGINT AS n_email, sum(n_id)::BIGINT AS n_id FROM l5 GROUP BY call_id)
+SELECT call_id, w AS windows_total, w AS llm_calls_total, windows_failed, fallback_segments, p AS pii_candidate_segments, m AS masked_candidate_segments, round(m / greatest(1, p), 6) AS anonymization_recall_proxy, round(chars / w, 6) AS avg_chars_per_llm_call, round(n / w, 6) AS avg_segments_per_llm_call, n_email, n_id FROM g""",
     "anonymize_report": f"WITH RECURSIVE {WINDOWS} SELECT call_id, count(*) AS windows_total, 0::BIGINT AS llm_calls_total, 0::BIGINT AS windows_failed, 0::BIGINT AS fallback_segments, 0::BIGINT AS pii_candidate_segments, 0::DOUBLE AS anonymization_recall_proxy FROM wd GROUP BY call_id",
     "drift_guard": f"WITH {TEXTS} SELECT text_id, CASE WHEN text_id % 7 = 0 THEN {LIGHT.replace('X', 'text')} WHEN text_id % 5 = 0 THEN text ELSE text || ' !' END AS enhanced FROM texts",
     "enhance_deterministic": f"WITH {SEG}, x AS (SELECT *, {LIGHT.replace('X', 'raw_text')} AS en FROM seg) SELECT call_id, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) - 1 AS position, en AS enhanced_text, en <> raw_text AS changed FROM x",

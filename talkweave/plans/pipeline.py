@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkweave.operators import asr, chunks, enrichment, intervals, quality, report, transcript, windows
+from talkweave.operators.model_calls import StoredModel, TextModel
 from talkweave.operators.providers import Recognizer, TextProvider
 
 from .artifacts import Artifacts
@@ -24,13 +25,18 @@ class Result:
     final: DataFrame
 
 
-def run(diarization: DataFrame, durations: DataFrame, recognizer: Recognizer, settings: Settings, artifacts: Artifacts | None = None, text: TextProvider | None = None, fallback: Recognizer | None = None) -> Result:
+def run(diarization: DataFrame, durations: DataFrame, recognizer: Recognizer, settings: Settings, artifacts: Artifacts | None = None, text: TextProvider | TextModel | StoredModel | None = None, fallback: Recognizer | None = None) -> Result:
     """``diarization`` has call_id, ordinal, idx, speaker, start, end; ``durations`` call_id, audio_sec.
 
+    ``text`` is a provider of lists, a model that answers prompts (its answers are kept beside the artifacts), or none.
     Tables that several results read are persisted, or else kept as artifacts; the caller may unpersist them.
     """
     if settings.text_enhancement_mode != "deterministic" and text is None:
         raise ValueError(f"enhancement mode {settings.text_enhancement_mode!r} needs a text provider")
+    if text is not None and hasattr(text, "generate"):
+        if artifacts is None:
+            raise ValueError("a text model needs artifacts, where its answers are kept")
+        text = StoredModel(text, f"{settings.artifacts_root}/answers")
     if artifacts:
         artifacts.reads(diarization, durations)
     keep = artifacts.table if artifacts else (lambda name, make, after=(): make().persist())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +11,9 @@ from pyspark.sql import functions as F
 
 from talkweave.functions import text as T
 from talkweave.operators import asr, chunks, enrichment, intervals, quality, report, transcript, windows
+from talkweave.operators.model_calls import StoredModel
 from talkweave.sources import audio, fixtures
+from talkweave.sources.store import shared_folder
 
 
 def r6(c: str | Column, name: str | None = None) -> Column:
@@ -392,6 +396,47 @@ def audio_enhance(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("path", "sample_rate", r6("duration_sec"), *[F.round(c, 3).alias(c) for c in ("input_rms_dbfs", "output_rms_dbfs", "input_peak_dbfs", "output_peak_dbfs")])
 
 
+class Masker:
+    """A stand-in for a text model: masks e-mail addresses and long numbers in a payload. It answers nothing to a window
+    whose first line has a length divisible by 13, and leaves lines with a hash sign blank."""
+
+    model_name = "masker-1"
+
+    def generate(self, prompt: str) -> str:
+        lines = re.findall(r"<SEG id=\"(\d+)\">(.*?)</SEG>", prompt.split("\n\n", 1)[1], re.S)
+        if len(lines[0][1].replace("&lt;", "<").replace("&amp;", "&")) % 13 == 0:
+            return ""
+        mask = lambda t: re.sub("[0-9]{8,}", T.PLACEHOLDERS["ID"], re.sub(T.EMAIL, T.PLACEHOLDERS["EMAIL"], t))
+        return "\n".join(f'<SEG id="{i}">{"" if "#" in t else mask(t)}</SEG>' for i, t in lines)
+
+
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as calls, their lines as segments, eight a window."""
+    text = F.col("text")
+    each = fixtures.table(spark, sf, "documents").select(F.col("doc_id").alias("call_id"), F.posexplode(F.filter(F.transform(F.split(text, "\n"), T.strip), lambda t: t != "")).alias("position", "source"))
+    place = F.col("position").cast("bigint")
+    return each.select("call_id", F.floor(place / 8).alias("window_index"), (place % 8).alias("local_index"), place.alias("position"), "source")
+
+
+def _answered(spark: SparkSession, sf: str) -> DataFrame:
+    """Asked twice with one store: the second time only what failed is called again."""
+    model = StoredModel(Masker(), f"{shared_folder(spark)}/answers-{uuid.uuid4().hex}")
+    enrichment.called(_lines(spark, sf), model, "anonymize")
+    return enrichment.called(_lines(spark, sf), model, "anonymize")
+
+
+def model_answers(spark: SparkSession, sf: str) -> DataFrame:
+    return _answered(spark, sf).select("call_id", "window_index", "position", "output", "failed", "fell_back", "reused")
+
+
+def model_report(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _lines(spark, sf)
+    model = StoredModel(Masker(), f"{shared_folder(spark)}/answers-{uuid.uuid4().hex}")
+    found = enrichment.anonymize_report(rows.select("call_id", "window_index").distinct(), enrichment.called(rows, model, "anonymize"))
+    counted = [F.coalesce(F.try_element_at("entity_mask_counts", F.lit(k)), F.lit(0)).cast("bigint").alias(f"n_{k.lower()}") for k in ("EMAIL", "ID")]
+    return found.select("call_id", "windows_total", "llm_calls_total", "windows_failed", "fallback_segments", "pii_candidate_segments", "masked_candidate_segments", r6("anonymization_recall_proxy"), r6("avg_chars_per_llm_call"), r6("avg_segments_per_llm_call"), *counted)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -399,6 +444,6 @@ QUERIES = {
         nearest_rank_percentile, merge_transcript, chunk_quality, cleaned_out_chunks, quality_summary, chunk_overlap, cleanup_filter, dedup_segments, clip_overlaps, cleanup_report, semantic_windows, semantic_window_report,
         window_segments, low_confidence_segments, language_switching_ratio, punctuation_density, normalize_words, token_language, code_switch, dominant_language, word_drift, placeholder_counts, pii_candidates, seg_payload,
         seg_parse, seg_round_trip, anonymize_passthrough, anonymize_report, drift_guard, enhance_deterministic, enhancement_report, call_metrics, call_result, vector_levels,
-        asr_transcripts, enhance_guarded, audio_normalize, audio_enhance,
+        asr_transcripts, enhance_guarded, audio_normalize, audio_enhance, model_answers, model_report,
     )
 }
