@@ -254,6 +254,8 @@ SELECT group_id, string_agg('<SEG id="' || i || '">' || c || '</SEG>', chr(10) O
 y AS (SELECT text_id::BIGINT AS text_id, list_filter(z, lambda p: p[1] = '0') AS a, list_filter(z, lambda p: p[1] = '1') AS b FROM x) SELECT text_id, CASE WHEN len(a) > 0 AND len(b) > 0 THEN trim(a[-1][2]) || '|' || trim(b[-1][2]) ELSE '' END AS texts FROM y""",
     "seg_round_trip": f"WITH {TEXTS} SELECT text_id // 10 AS group_id, string_agg(trim(replace(text, chr(10), ' ')), '|' ORDER BY text_id) AS texts FROM texts GROUP BY ALL",
     "anonymize_passthrough": f"WITH {SEG} SELECT call_id, row_number() OVER (PARTITION BY call_id ORDER BY s, e, ordinal) - 1 AS position, raw_text AS anonymized_text, '' AS enhanced_text FROM seg",
+    "wav_round_trip": """WITH v AS (SELECT printf('part-%06d.wav', vec_id // 100) AS name, unnest(embedding)::FLOAT::DOUBLE * 0.5 AS x FROM embeddings), q AS (SELECT name, greatest(-32768, least(32767, round_even(x * 32768, 0))) / 32768 AS x FROM v)
+SELECT name, 8000::INT AS sample_rate, count(*) AS frames, count(*) AS frames_read, round(sqrt(sum(x * x) / count(*)), 6) AS rms, round(max(abs(x)), 6) AS peak FROM q GROUP BY name""",
     "model_answers": f"WITH {LINES} SELECT call_id, window_index, position, output, failed, fell_back, NOT failed AS reused FROM l5",
     "model_report": f"""WITH {LINES}, g AS (SELECT call_id, count(DISTINCT window_index) AS w, count(*) AS n, sum(length(source)) AS chars, count(DISTINCT window_index) FILTER (failed) AS windows_failed, count(*) FILTER (fell_back) AS fallback_segments, count(*) FILTER (pii) AS p,
   count(*) FILTER (pii AND (n_email + n_id > 0 OR regexp_matches(output, '\\[(ИМЯ|ТЕЛЕФОН|АДРЕС)\\]'))) AS m, sum(n_email)::BIGINT AS n_email, sum(n_id)::BIGINT AS n_id FROM l5 GROUP BY call_id)

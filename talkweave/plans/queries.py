@@ -6,13 +6,13 @@ import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talkweave.functions import text as T
 from talkweave.operators import asr, chunks, enrichment, intervals, quality, report, transcript, windows
 from talkweave.operators.model_calls import StoredModel
-from talkweave.sources import audio, fixtures
+from talkweave.sources import audio, fixtures, wav
 from talkweave.sources.store import shared_folder
 
 
@@ -380,11 +380,11 @@ def _waves(spark: SparkSession, sf: str) -> DataFrame:
     import numpy as np
     import pandas as pd
 
-    def wav(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def as_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"path": b["vec_id"].astype(str), "content": [audio.encode_wav(np.resize(np.asarray(v, float) * 0.5, 1000), 8000) for v in b["embedding"]]})
 
-    return fixtures.table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(wav, "path string, content binary")
+    return fixtures.table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(as_files, "path string, content binary")
 
 
 def audio_normalize(spark: SparkSession, sf: str) -> DataFrame:
@@ -437,6 +437,34 @@ def model_report(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("call_id", "windows_total", "llm_calls_total", "windows_failed", "fallback_segments", "pii_candidate_segments", "masked_candidate_segments", r6("anonymization_recall_proxy"), r6("avg_chars_per_llm_call"), r6("avg_segments_per_llm_call"), *counted)
 
 
+def wav_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors as recordings, a hundred a file, written as 16-bit WAV and read again in ranges of bytes: levels per file."""
+    from collections.abc import Iterator
+
+    import numpy as np
+    import pyarrow as pa
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            samples = [(np.asarray(v, "<f4") * np.float32(0.5)).tobytes() for v in b.column("embedding").to_pylist()]
+            yield pa.record_batch([b.column("vec_id"), pa.array([len(x) // 4 for x in samples], pa.int64()), pa.array(samples, pa.binary())], names=["vec_id", "n", "samples"])
+
+    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = [np.frombuffer(v, "<f4").astype(np.float64) for v in b.column("samples").to_pylist()]
+            yield pa.record_batch([b.column("path"), b.column("sample_rate"), b.column("frames"), pa.array([len(v) for v in x], pa.int64()), pa.array([float(v @ v) for v in x]), pa.array([float(np.abs(v).max(initial=0)) for v in x])], names=["path", "sample_rate", "frames", "n", "squares", "peak"])
+
+    files = Window.partitionBy("name")
+    rows = fixtures.table(spark, sf, "embeddings").select("vec_id", "embedding").mapInArrow(packed, "vec_id bigint, n bigint, samples binary")
+    rows = rows.withColumn("name", F.format_string("part-%06d.wav", F.floor(F.col("vec_id") / 100)))
+    rows = rows.withColumns({"sample_rate": F.lit(8000), "frames": F.sum("n").over(files), "first_frame": F.coalesce(F.sum("n").over(files.orderBy("vec_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    folder = f"{shared_folder(spark)}/waves-{uuid.uuid4().hex}"
+    wav.to_files(rows, folder)
+    read = wav.blocks(spark, folder, splitBytes=20000, blockFrames=3000).mapInArrow(levels, "path string, sample_rate int, frames bigint, n bigint, squares double, peak double")
+    found = read.groupBy(F.regexp_extract("path", "([^/]+)$", 1).alias("name")).agg(F.max("sample_rate").alias("sample_rate"), F.max("frames").alias("frames"), F.sum("n").alias("frames_read"), F.sum("squares").alias("squares"), F.max("peak").alias("peak"))
+    return found.select("name", "sample_rate", "frames", "frames_read", r6(F.sqrt(F.col("squares") / F.col("frames")), "rms"), r6("peak"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -444,6 +472,6 @@ QUERIES = {
         nearest_rank_percentile, merge_transcript, chunk_quality, cleaned_out_chunks, quality_summary, chunk_overlap, cleanup_filter, dedup_segments, clip_overlaps, cleanup_report, semantic_windows, semantic_window_report,
         window_segments, low_confidence_segments, language_switching_ratio, punctuation_density, normalize_words, token_language, code_switch, dominant_language, word_drift, placeholder_counts, pii_candidates, seg_payload,
         seg_parse, seg_round_trip, anonymize_passthrough, anonymize_report, drift_guard, enhance_deterministic, enhancement_report, call_metrics, call_result, vector_levels,
-        asr_transcripts, enhance_guarded, audio_normalize, audio_enhance, model_answers, model_report,
+        asr_transcripts, enhance_guarded, audio_normalize, audio_enhance, model_answers, model_report, wav_round_trip,
     )
 }

@@ -6,10 +6,7 @@ signal processing has no column form; a file is one row and never leaves its tas
 
 from __future__ import annotations
 
-import io
 import math
-import struct
-import wave
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,45 +14,20 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
+from . import wav
+
 EPS = 1e-8
 
 
-def decode_wav(data: bytes) -> tuple[np.ndarray, int]:
-    """(channels x samples, rate) of a RIFF file with 8-, 16-, 24- or 32-bit integers or 32-bit floats."""
-    kind, channels, rate, bits, body = 1, 1, 0, 16, b""
-    at = 12
-    while at + 8 <= len(data):
-        name, size = data[at : at + 4], struct.unpack("<I", data[at + 4 : at + 8])[0]
-        part = data[at + 8 : at + 8 + size]
-        if name == b"fmt ":
-            kind, channels, rate, _, _, bits = struct.unpack("<HHIIHH", part[:16])
-        elif name == b"data":
-            body = part
-        at += 8 + size + size % 2
-    if kind == 3:
-        x = np.frombuffer(body, "<f4").astype(np.float64)
-    elif bits == 8:
-        x = (np.frombuffer(body, np.uint8).astype(np.float64) - 128) / 128
-    elif bits == 24:
-        b = np.frombuffer(body, np.uint8).reshape(-1, 3).astype(np.int32)
-        x = ((b[:, 0] << 8 | b[:, 1] << 16 | b[:, 2] << 24) >> 8) / float(1 << 23)
-    else:
-        x = np.frombuffer(body, f"<i{bits // 8}").astype(np.float64) / float(1 << (bits - 1))
-    return x.reshape(-1, channels).T, rate
+def decode_wav(data: bytes, name: str = "file") -> tuple[np.ndarray, int]:
+    """(channels x samples, rate) of a WAV file, in the encodings that ``wav.header`` knows."""
+    h = wav.header(lambda at, n: data[at : at + n], len(data), name)
+    return h.decoded(data[h.data_at : h.data_at + h.frames * h.frame_bytes]).T, h.rate
 
 
 def encode_wav(x: np.ndarray, rate: int, as_float: bool = False) -> bytes:
     """One channel, 16-bit integers or 32-bit floats."""
-    if as_float:
-        body = np.asarray(x, "<f4").tobytes()
-        return b"RIFF" + struct.pack("<I", 36 + len(body)) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 3, 1, rate, rate * 4, 4, 32) + b"data" + struct.pack("<I", len(body)) + body
-    out = io.BytesIO()
-    with wave.open(out, "wb") as f:
-        f.setnchannels(1)
-        f.setsampwidth(2)
-        f.setframerate(rate)
-        f.writeframes(np.clip(np.round(np.asarray(x) * 32768), -32768, 32767).astype("<i2").tobytes())
-    return out.getvalue()
+    return wav.written_header(len(x), rate, as_float) + wav.written_body(x, as_float)
 
 
 def downmix(x: np.ndarray) -> np.ndarray:
@@ -161,12 +133,10 @@ def normalised(files: DataFrame, target_rate: int = 16000) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
             for path, data in zip(b["path"], b["content"], strict=True):
-                x, rate = decode_wav(data)
+                x, rate = decode_wav(data, path)
                 x = normalise_peak(resample(downmix(x), rate, target_rate))
-                out.append((path, encode_wav(x, target_rate), target_rate, len(x) / target_rate, 1, "wav"))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in NORMALISED.split(", ")])
+                yield pd.DataFrame([(path, encode_wav(x, target_rate), target_rate, len(x) / target_rate, 1, "wav")], columns=[c.split()[0] for c in NORMALISED.split(", ")])
 
     return files.mapInPandas(run, NORMALISED)
 
@@ -179,15 +149,14 @@ def enhanced(files: DataFrame, expected_rate: int = 16000, settings: Enhancement
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
             for path, data in zip(b["path"], b["wav"], strict=True):
-                x, rate = decode_wav(data)
+                x, rate = decode_wav(data, path)
                 if rate != expected_rate:
                     raise ValueError(f"{path}: {rate} Hz where {expected_rate} Hz is expected")
                 x = downmix(x)
                 y = enhance(x, rate, settings) if enabled else x
-                out.append((path, encode_wav(y, rate, True) if enabled else data, rate, len(y) / rate, settings.denoise_strength, settings.noise_quantile, settings.highpass_hz, settings.target_rms_dbfs, settings.target_peak_dbfs, dbfs(rms(x)), dbfs(rms(y)), dbfs(peak(x)), dbfs(peak(y)), not enabled))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in ENHANCED.split(", ")])
+                row = (path, encode_wav(y, rate, True) if enabled else data, rate, len(y) / rate, settings.denoise_strength, settings.noise_quantile, settings.highpass_hz, settings.target_rms_dbfs, settings.target_peak_dbfs, dbfs(rms(x)), dbfs(rms(y)), dbfs(peak(x)), dbfs(peak(y)), not enabled)
+                yield pd.DataFrame([row], columns=[c.split()[0] for c in ENHANCED.split(", ")])
 
     return files.select("path", "wav").mapInPandas(run, ENHANCED)
 
