@@ -1,8 +1,10 @@
 """Interval, transcript and window operators against plain Python on random segments, and hand-made cases."""
 
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from talkweave.operators import chunks, intervals, quality, transcript, windows
 
@@ -213,3 +215,26 @@ def test_calls_without_a_duration_end_with_their_last_segment(spark):
     rows = spark.createDataFrame([(1, 0.0, 2.0), (2, 0.0, 3.0)], "call_id bigint, start double, end double")
     found = intervals.with_duration(rows, spark.createDataFrame([(1, 9.0)], "call_id bigint, audio_sec double"))
     assert {r.call_id: r.audio_sec for r in found.collect()} == {1: 9.0, 2: 3.0}
+
+
+def test_long_calls_in_linear_time(spark):
+    """One call of many overlapping and short segments: four times the length takes no more than some six times as long."""
+
+    def seconds(n):
+        x = F.col("id")
+        segs = spark.range(n).select(F.lit(1).cast("bigint").alias("call_id"), x.alias("ordinal"), x.alias("idx"), F.concat(F.lit("S"), x % 3).alias("speaker"), (x * 0.2).alias("start"), (x * 0.2 + F.when(x % 5 == 0, 0.1).otherwise(0.6)).alias("end"))
+        began = time.time()
+        found = intervals.groups(intervals.resolved_entries(intervals.with_duration(segs), absorb_short_gap_ms=500)).agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("source_indices")).alias("sources")).first()
+        assert found.sources >= n * 0.99 and found.n > n / 10
+        return time.time() - began
+
+    seconds(1000)
+    short, long = seconds(50_000), seconds(200_000)
+    assert long < 6 * short + 10
+
+
+def test_a_chain_of_takers_is_flattened_once():
+    rope = (None, [0])
+    for i in range(1, 200_000):
+        rope = ((None, [i]), rope)
+    assert intervals._flat(rope) == list(range(199_999, -1, -1))
