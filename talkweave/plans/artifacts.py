@@ -49,8 +49,12 @@ class Artifacts:
     def table(self, name: str, make: Callable[[], DataFrame], after: tuple[str, ...] = ()) -> DataFrame:
         """The stored table of a stage, made anew if its settings, what it reads, or ``force`` ask for it."""
         own = self._prints[name] = self.fingerprint(name, after)
-        mark, fs = self._path(f"{name}.state/{own}")
-        fresh = not self.settings.force and fs.exists(mark) and all(self.hits[a] for a in after)
+        return self.kept(name, own, make, all(self.hits[a] for a in after))
+
+    def kept(self, name: str, fingerprint: str, make: Callable[[], DataFrame], current: bool = True) -> DataFrame:
+        """The stored table if it was made under this fingerprint (and is ``current``), or else made and stored."""
+        mark, fs = self._path(f"{name}.state/{fingerprint}")
+        fresh = current and not self.settings.force and fs.exists(mark)
         self.hits[name] = fresh
         where = f"{self.folder}/{name}"
         if not fresh:
