@@ -30,7 +30,7 @@ from .vocabularies import cut, encoded_parts, lengths, text_slices, vocabulary
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Parts whose ids a task remembers.
-PARTS = 200_000
+PARTS = 400_000
 
 
 def parts_of(text: str) -> list[str]:
