@@ -1,8 +1,8 @@
 """Benchmark decontamination by a positional inverted index of the training texts.
 
 ``build_index`` cuts the corpus into segments of bounded size, as the documents come, without a shuffle, and stores
-for each the postings of every term: its places in the segment, documents lying ``GAP`` apart so that no match runs
-from one into the next. The index is a table in the shared folder; it doesn't depend on the test set. ``search``
+for each the postings of every term: its places in the segment, documents lying a place apart. A phrase has no such
+place in it, and a stretch that reaches from one document into the next is dropped, so no match does. The index is a table in the shared folder; it doesn't depend on the test set. ``search``
 takes the test set in blocks of bounded size. In each segment a window (``WINDOW`` consecutive words of an item, or
 all words of a shorter one) starts from the postings of its rarest term, shifted by the term's offset, and is
 intersected with the postings of its other terms, rarest first; what is left are the exact phrase matches. With
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import lean, released, staged, text_batches, utf8
 
 WINDOW = 8
-#: Words between two documents of a segment: more than any match can span.
-GAP = 64
+#: Places between two documents of a segment, and bytes that a document's row takes beside its text.
+GAP, ROW = 1, 16
 #: Bytes of text in a segment (one larger text is a segment alone), and words of items in a block of the test set.
 SEGMENT_BYTES, BLOCK_WORDS = 24 << 20, 200_000
 #: Items with a hit that make a document contaminated.
@@ -103,11 +103,11 @@ def _indexer(segment_bytes: int):
             kind = b.column(0).type
             first = 0
             for i, t in enumerate(utf8(b.column(1))):
-                if coded.lengths and size + len(t) > segment_bytes:
+                if coded.lengths and size + len(t) + ROW > segment_bytes:
                     yield _segment([*ids, b.column(0).take(pa.array(np.arange(first, i)))], coded, kind)
                     ids, coded, size, first = [], _Coded(), 0, i
                 coded.add(t)
-                size += len(t)
+                size += len(t) + ROW
             ids.append(b.column(0).take(pa.array(np.arange(first, b.num_rows))))  # a slice would hold the texts as well
             del b
         if coded.lengths:
@@ -163,7 +163,8 @@ class Segment:
             at = np.searchsorted(p, left) - 1
             ok &= at >= 0
             left = p[np.maximum(at, 0)]
-        ok &= right - left < len(window) + slop
+        # the nearest terms lie in another document only if this one has none that fit
+        ok &= (right - left < len(window) + slop) & (np.searchsorted(self.starts, left, "right") == np.searchsorted(self.starts, right, "right"))
         return left[ok], right[ok]
 
 

@@ -206,6 +206,17 @@ def test_proximity(spark):
     assert got == {1: (["9"], ["9"]), 2: ([], ["9"]), 3: ([], []), 4: ([], []), 5: ([], ["9"])}
 
 
+def test_proximity_stays_in_a_document(spark):
+    """With more room than lies between documents; rows without words take places of their own and end segments."""
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, None), (3, "eps zeta eta theta"), (4, "alpha beta " + "x " * 90 + "gamma delta eps zeta eta theta")], "doc_id bigint, text string").coalesce(1)
+    items = spark.createDataFrame([(9, "alpha beta gamma delta eps zeta eta theta")], "item_id bigint, text string")
+    got = {r.doc_id: (r.n_words, list(r["items"]), list(r.near_items)) for r in decontaminate.contamination(docs, items, slop=100).collect()}
+    assert got == {1: (4, [], []), 2: (0, [], []), 3: (4, [], []), 4: (98, [], ["9"])}
+    blank = spark.createDataFrame([(i, None) for i in range(1000)], "doc_id bigint, text string").coalesce(1)
+    index = decontaminate.build_index(blank, segment_bytes=1600)
+    assert [len(r.doc_ids) for r in index.collect()] == [100] * 10
+
+
 def test_mixing(spark, odd, none, documents):
     docs = [(r.doc_id, r.source, r.text) for r in documents.collect()]
     got = [(r.doc_id, r.replica, r.shuffle_key) for r in mixing.replicated(documents).collect()]
