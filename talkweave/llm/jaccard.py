@@ -48,8 +48,8 @@ BUCKET, TILE = 2048, 512
 SMALL, CHAIN = 16, 2
 #: About so many documents are sampled for frequent shingles: those in at least so many of them.
 SAMPLE, FREQUENT = 8000, 4
-#: Shingles that a task packs at once, and about so many are verified in one group.
-ENTRIES, TOGETHER = 1_000_000, 2_000_000
+#: Shingles that a task packs at once, and about so many are verified in one group; rows of a group, pairs and sets.
+ENTRIES, TOGETHER, ROWS = 1_000_000, 2_000_000, 4096
 #: Least bits of a set's sketch.
 BITS = 1024
 
@@ -400,11 +400,15 @@ def _groups(pairs: DataFrame, weights: DataFrame, before: DataFrame | None = Non
     the folders of these.
 
     Pairs that hang together are compared together, so that a set or sketch moves once however many pairs it is in; a
-    component of over ``TOGETHER`` of ``weights`` (``key``, ``n``: its 64-bit numbers) is dealt over hashed parts, and each
-    pair of parts is a group. Pairs within a component of ``before`` (``node``, ``component``) are left out.
+    component of over ``TOGETHER`` of ``weights`` (``key``, ``n``: its 64-bit numbers), or whose pairs would make groups
+    of over ``ROWS`` rows, is dealt over hashed parts, and each pair of parts is a group: of p pairs in k parts, about
+    2p/k² and at most twice as many sets each. A set moves at most once for each of its pairs, however many parts there
+    are. Pairs within a component of ``before`` (``node``, ``component``) are left out.
     """
-    of = connected(pairs).join(weights, F.col("node") == F.col("key")).select("key", "component", "n")
-    total = of.groupBy("component").agg(F.ceil(F.sum("n") / TOGETHER).cast("int").alias("of"))
+    degree = pairs.groupBy(F.col("u").alias("key")).agg(F.count(F.lit(1)).alias("pairs"))
+    of = connected(pairs).join(weights, F.col("node") == F.col("key")).join(degree, "key", "left").select("key", "component", "n", "pairs")
+    parts = F.greatest(F.sum("n") / TOGETHER, F.sqrt(F.coalesce(F.sum("pairs"), F.lit(0)) * 6 / ROWS))
+    total = of.groupBy("component").agg(F.ceil(parts).cast("int").alias("of"))
     part = F.pmod(F.xxhash64("key", F.lit(11)), F.greatest(F.lit(1), F.col("of"))).cast("int")
     placed = of.join(total, "component").select("key", "component", part.alias("part"))
     if before is not None:

@@ -92,7 +92,7 @@ def test_fingerprints_link_first(spark, monkeypatch):
     docs, met, links = spark.createDataFrame(rows, "doc_id bigint, text string"), [], jaccard._links
 
     def spied(meetings, *others):
-        meetings = meetings.localCheckpoint()
+        meetings = meetings.cache()
         met.append({(r.u, r.v) for r in meetings.collect()})
         return links(meetings, *others)
 
@@ -166,3 +166,19 @@ def test_packed_shingles_are_those_of_the_sets(monkeypatch):
         found, rare = jaccard.prefix(s, frequent)
         want |= {(int(h), jaccard.key(s), len(s), i) for i, h in enumerate(found[:rare])}
     assert set(got) == want
+
+
+def test_a_large_component_is_dealt_by_its_pairs(spark, monkeypatch):
+    """Light sets, many pairs: no group holds much more than its share, and each pair and its two sets meet in one group."""
+    monkeypatch.setattr(jaccard, "ROWS", 400)
+    rng = random.Random(9)
+    large = {tuple(sorted(rng.sample(range(600), 2))) for _ in range(2000)}
+    small = {(1000 + 2 * i, 1001 + 2 * i) for i in range(50)}
+    pairs = spark.createDataFrame(sorted(large | small), "u bigint, v bigint")
+    weights = spark.createDataFrame([(k, 10) for k in {x for p in large | small for x in p}], "key bigint, n int")
+    grouped, needed, _ = jaccard._groups(pairs, weights)
+    got, sets = grouped.collect(), {tuple(r) for r in needed.collect()}
+    assert sorted((r.u, r.v) for r in got) == sorted(large | small)
+    assert all((r.component, r.lo, r.hi, x) in sets for r in got for x in (r.u, r.v))
+    rows = Counter((r.component, r.lo, r.hi) for r in got) + Counter(s[:3] for s in sets)
+    assert max(rows.values()) < 1.5 * jaccard.ROWS and len([g for g in rows if g[0] < 1000]) > 10 and len([g for g in rows if g[0] >= 1000]) == 50
