@@ -10,8 +10,10 @@ A task works on blocks of some megabytes. Texts are cut at safe spaces (``vocabu
 either side ends, and each distinct part of a block is tokenized, grouped and linked once; a text is a sequence of parts.
 Per block, one row leaves: the sequences of parts, the distinct linked pairs and how often the block links each. Pairs
 are counted over all blocks by a grouped sum, combined before the shuffle; the highest count per id of B has at most as
-many rows as B has ids, a proven bound, so it is broadcast. A block then gets the counts of its distinct pairs back, one
-row per pair and block, and sums them over its texts. Texts are never shuffled, and no pair is moved once per link.
+many rows as B has ids, a proven bound, so it is broadcast. A block then meets the counts of its distinct pairs, one
+row per pair and block, in a cogroup, and sums them over its texts: rows are sorted and streamed there, and only one
+block is held. Texts are never shuffled, and no pair is moved once per link. A file of blocks is written and read some
+blocks at a time, however many a task has.
 
 Null and empty texts, and those whose tokens do not join to the bytes of space and text on both sides, have no tokens:
 zeros and an empty ``groups_sha256``. Repeated rows count each. An empty table gives an empty one. Only ``doc_id`` (of
@@ -32,11 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, removed, text_batches, written
+from .common import lean, released, removed, written
 from .vocabularies import cut, encoded_parts, lengths, text_slices, vocabulary
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Rows of a block table that an Arrow batch holds.
+#: Rows of a block table that a row group holds.
 BLOCKS_AT_ONCE = 4
 
 
@@ -209,35 +211,30 @@ def pair_counts(of_blocks: DataFrame, b: str = B) -> DataFrame:
     return counts.join(F.broadcast(best), "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
-def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text, the sums of its links' counts, from the counts of the block's distinct pairs (``found``)."""
-    for b in batches:
-        column = {name: b.column(name) for name in b.schema.names}
-        for row in range(b.num_rows):
-            of = lambda name: column[name][row].values  # noqa: B023, E731
-            sequence, parts, places, links = (_unpack(column[c][row].as_py()) for c in PACKED)
-            keys, sums = of("keys").to_numpy(), []
-            pair, *found = of("found").flatten() if column["found"][row].is_valid else [None]
-            at = np.searchsorted(keys, pair.to_numpy()) if found else []
-            for counts in reversed(found or [None, None]):
-                value = np.zeros(len(keys), np.int64)
-                if found:
-                    value[at] = counts.cast(pa.int64()).to_numpy()
-                sums.append(_ragged_sum(_ragged_sum(value[places], links)[sequence], parts))
-            yield pa.record_batch([of("doc_ids"), *map(of, PER_TEXT), *map(pa.array, sums), of("digest")], names=["doc_id", *PER_TEXT, "n_best", "count_sum", "groups_sha256"])
+def _measured(block: pa.Table, counts: pa.Table) -> pa.Table:
+    """Per text of a block, the sums of its links' counts, from the counts of the block's distinct pairs."""
+    of = lambda name: block.column(name)[0].values
+    sequence, parts, places, links = (_unpack(block.column(c)[0].as_py()) for c in PACKED)
+    keys, sums = of("keys").to_numpy(), []
+    at = np.searchsorted(keys, counts.column("pair").to_numpy())
+    for name in ("best", "n"):
+        value = np.zeros(len(keys), np.int64)
+        value[at] = counts.column(name).cast(pa.int64()).to_numpy()
+        sums.append(_ragged_sum(_ragged_sum(value[places], links)[sequence], parts))
+    out = pa.table([of("doc_ids"), *map(of, PER_TEXT), *map(pa.array, sums), of("digest")], names=["doc_id", *PER_TEXT, "n_best", "count_sum", "groups_sha256"])
+    released()
+    return out
 
 
 def measured(docs: DataFrame, a: str = A, b: str = B, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best`` (links whose pair has its B id's
     highest count, ties included), ``count_sum`` (of its links' pairs), ``groups_sha256``."""
     spark = docs.sparkSession
-    of_blocks, path = written(blocks(docs, a, b, doc_id, text), "aligned-blocks")
+    of_blocks, path = written(blocks(docs, a, b, doc_id, text), "aligned-blocks", grouped=BLOCKS_AT_ONCE)
     counts = pair_counts(of_blocks, b)
-    needed = of_blocks.select("block", F.explode("keys").alias("pair")).join(counts, "pair")
-    found = needed.groupBy("block").agg(F.collect_list(F.struct("pair", "n", "best")).alias("found"))
+    needed = of_blocks.select(F.col("block").alias("of"), F.explode("keys").alias("pair")).join(counts, "pair")
     schema = f"doc_id {of_blocks.schema['doc_ids'].dataType.elementType.simpleString()}, " + ", ".join(f"{c} bigint" for c in (*PER_TEXT, "n_best", "count_sum")) + ", groups_sha256 string"
-    with text_batches(spark, BLOCKS_AT_ONCE):
-        out = written(of_blocks.drop("times").join(found, "block", "left").mapInArrow(lean(_measured), schema), "aligned")[0]
+    out = written(of_blocks.drop("times").groupBy("block").cogroup(needed.groupBy("of")).applyInArrow(_measured, schema), "aligned")[0]
     removed(spark, path)
     return out
 

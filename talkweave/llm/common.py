@@ -38,15 +38,17 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or _own_folder()).rstrip("/")
 
 
-def written(df: DataFrame, name: str, one_in: int = 1) -> tuple[DataFrame, str]:
+def written(df: DataFrame, name: str, one_in: int = 1, grouped: int = 0) -> tuple[DataFrame, str]:
     """``df`` as Parquet in a new folder of the shared folder, read again, and that folder.
 
     ``one_in``: for tables much smaller than the texts, one file for so many of the session's shuffle partitions.
+    ``grouped``: for rows of megabytes, the rows of a row group. Writer and reader hold a row group at a time, and the
+    writer first looks at its bytes after a hundred rows.
     """
     if one_in > 1:
         df = df.coalesce(max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // one_in))
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("parquet.block.row.count.limit", grouped) if grouped else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -5,10 +5,12 @@ import random
 import re
 import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 import tiktoken
@@ -254,3 +256,12 @@ def test_shares_stay_exact_beyond_64_bits(spark):
     n = 10**15 + 7
     found = spark.range(1).select(divergence._share(F.lit(n), F.lit(3 * n + 1), F.lit(11))).first()[0]
     assert found == 1 + 10**9 * (n + 5) // (3 * n + 1 + 55)
+
+
+def test_blocks_lie_few_to_a_row_group(docs, spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(alignment, "removed", lambda spark, path: kept.append(path))
+    with text_batches(spark, 1):
+        out = alignment.measured(docs.limit(30).coalesce(1))
+    groups = [f.metadata.row_group(i).num_rows for f in map(pq.ParquetFile, Path(kept[0].removeprefix("file://")).glob("*.parquet")) for i in range(f.num_row_groups)]
+    assert sum(groups) == out.count() == 30 and max(groups) <= alignment.BLOCKS_AT_ONCE
