@@ -3,6 +3,8 @@
 A request is a prompt with the window's segments as a payload of numbered elements. Its digest covers the prompt, the
 model's name and the payload. Answers that could be used are kept under their digest in a table of the shared store, so
 only distinct requests without one are called, and a second run, or one resumed after a failure, calls what is missing.
+Requests are told apart by digests and row numbers alone; a window's
+texts are shuffled once to be gathered, once to be asked, and once to meet their answers.
 Calls run in as many tasks as ``Retry.tasks`` says. A call that raises is tried again after a wait that grows; the last
 error stays with the request. Answers are parsed in the JVM; one that lacks a segment fails its window, whose
 segments keep their sources; a blank one falls back alone.
@@ -20,7 +22,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from talkweave.functions import text as T
@@ -60,12 +62,15 @@ class Retry:
         return min(self.longest_wait, self.first_wait * self.factor ** (failures - 1))
 
 
+def _payload() -> Column:
+    return T.seg_payload(F.transform("items", lambda x: x["source"]))
+
+
 def requests(rows: DataFrame, model_name: str, task: str) -> DataFrame:
     """One row per window of (call_id, window_index, local_index, position, source): ``items``, ``payload``, ``digest``."""
     source = F.coalesce("source", F.lit("")).alias("source")
     gathered = rows.select("call_id", "window_index", "local_index", "position", source).groupBy("call_id", "window_index").agg(F.array_sort(F.collect_list(F.struct("local_index", "position", "source"))).alias("items"))
-    payload = T.seg_payload(F.transform("items", lambda x: x["source"]))
-    asked = gathered.withColumn("payload", payload)
+    asked = gathered.withColumn("payload", _payload())
     return asked.withColumn("digest", F.sha2(F.concat_ws("\x1f", F.lit(PROMPTS[task]), F.lit(model_name), "payload"), 256))
 
 
@@ -85,7 +90,7 @@ def _calls(model: TextModel, prompt: str, retry: Retry):
         for b in batches:
             found = [call(p) for p in b["payload"]]
             columns = list(zip(*found, strict=True)) or [()] * 4
-            yield pd.DataFrame({"digest": b["digest"], "response": columns[0], "error": columns[1], "attempts": columns[2], "latency_ms": columns[3]})
+            yield pd.DataFrame({"digest": b["digest"], "response": columns[0], "error": columns[1], "attempts": columns[2], "latency_ms": columns[3], "n": b["n"]})
 
     return run
 
@@ -109,18 +114,18 @@ class StoredModel:
         ``reused`` (the answer was there before) and ``error``. With ``strict``, calls that raised fail the run in the end."""
         spark, run = rows.sparkSession, uuid.uuid4().hex
         path = f"{self.store}/requests/{task}-{run}"
-        requests(rows, self.model.model_name, task).write.parquet(path)
+        requests(rows, self.model.model_name, task).drop("payload").withColumn("request", F.monotonically_increasing_id()).write.parquet(path)
         asked = spark.read.parquet(path)
-        before = _table(spark, f"{self.store}/answers", STORED).filter("usable").select("digest").distinct()
-        n = F.size("items").alias("n")
-        missing = asked.select("digest", "payload", n).dropDuplicates(["digest"]).join(before, "digest", "left_anti").select("digest", "payload").repartition(self.retry.tasks, "digest")
-        got = missing.mapInPandas(_calls(self.model, PROMPTS[task], self.retry), ANSWERS)
-        got.write.parquet(f"{self.store}/calls/{task}-{run}")
-        # parsed once the calls are safe: a request of n elements is usable if n come back
-        size = asked.select("digest", n).dropDuplicates(["digest"])
-        parsed = spark.read.schema(ANSWERS).parquet(f"{self.store}/calls/{task}-{run}").join(size, "digest")
+        before = _table(spark, f"{self.store}/answers", STORED).filter("usable").select("digest")
+        wanted = asked.groupBy("digest").agg(F.min("request").alias("request")).join(before, "digest", "left_anti").select("request")
+        # at least the session's partitions, else the join makes its own; a semi-join would go below them, and texts be shuffled twice
+        tasks = max(1, self.retry.tasks)
+        parts = max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        missing = asked.select("request", "digest", "items").repartition(parts, "request").join(wanted.repartition(parts, "request"), "request").coalesce(tasks)
+        got = missing.select("digest", _payload().alias("payload"), F.size("items").alias("n")).mapInPandas(_calls(self.model, PROMPTS[task], self.retry), f"{ANSWERS}, n int")
+        # a request of n elements is usable if n come back
         usable = F.col("response").isNotNull() & (F.size(T.seg_parse(F.coalesce("response", F.lit("")), F.col("n"))) > 0)
-        parsed.select(*[c.split()[0] for c in ANSWERS.split(", ")], usable.alias("usable"), F.lit(run).alias("run")).write.mode("append").parquet(f"{self.store}/answers")
+        got.select(*[c.split()[0] for c in ANSWERS.split(", ")], usable.alias("usable"), F.lit(run).alias("run")).write.mode("append").parquet(f"{self.store}/answers")
         stored = _table(spark, f"{self.store}/answers", STORED)
         if strict:
             raised = stored.filter((F.col("run") == run) & F.col("error").isNotNull())
@@ -133,7 +138,9 @@ class StoredModel:
 def _applied(asked: DataFrame, stored: DataFrame, run: str) -> DataFrame:
     """Answers on their windows: of usable ones the first run's, else what this run got."""
     own = F.col("run") == run
-    of_request = stored.filter(F.col("usable") | own).groupBy("digest").agg(F.min_by(F.struct("response", "error", "attempts", "latency_ms", "usable", "run"), F.struct(~F.col("usable"), F.col("run"))).alias("a"))
+    order = F.struct(~F.col("usable"), F.col("run"))
+    ranked = stored.filter(F.col("usable") | own).withColumn("first", F.min(order).over(Window.partitionBy("digest")))
+    of_request = ranked.filter(order == F.col("first")).select("digest", F.struct("response", "error", "attempts", "latency_ms", "usable", "run").alias("a"))
     windows = asked.join(of_request, "digest", "left").withColumn("texts", F.when(F.col("a.usable"), T.seg_parse(F.coalesce("a.response", F.lit("")), F.size("items"))).otherwise(F.array().cast("array<string>")))
     failed = F.size("texts") == 0
     each = windows.select("call_id", "window_index", "a", "texts", failed.alias("failed"), F.posexplode("items").alias("k", "item"))

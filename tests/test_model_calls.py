@@ -122,3 +122,29 @@ def test_enhancement_by_prompts(spark, setting):
 def test_waits_grow():
     r = Retry(attempts=9, first_wait=1.0, factor=3.0, longest_wait=20.0)
     assert [r.wait(k) for k in (1, 2, 3, 4)] == [1.0, 3.0, 9.0, 20.0]
+
+
+def test_reports_read_the_outputs_once(spark, setting):
+    folder, store = setting
+    rows = rows_of(spark, ["Bob 12345678", "plain"], ["Bob Bob"], ["broken"])
+    outputs = enrichment.called(rows, StoredModel(Model(folder), store, QUICK), "anonymize")
+    report = enrichment.anonymize_report(rows.select("call_id", "window_index").distinct(), outputs)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode") == 1
+    r = report.first()
+    assert r.entity_mask_counts == {"NAME": 3} and (r.pii_candidate_segments, r.masked_candidate_segments, r.windows_failed) == (1, 1, 1)
+
+
+def test_requests_are_stored_without_payloads_and_answers_once(spark, setting, tmp_path):
+    folder, store = setting
+    enrichment.called(rows_of(spark, ["a", "b"], ["a", "b"], ["c"]), StoredModel(Model(folder), store, QUICK), "anonymize")
+    kept = {p.name for p in (tmp_path / "store").iterdir()}
+    assert kept == {"requests", "answers"} and calls(folder) == 2
+    assert "payload" not in spark.read.parquet(f"{store}/requests/*").columns and spark.read.parquet(f"{store}/answers").count() == 2
+
+
+def test_calls_run_in_the_tasks_asked_for(spark, setting, tmp_path):
+    folder, store = setting
+    rows = rows_of(spark, *[[f"text {i}"] for i in range(40)])
+    enrichment.called(rows, StoredModel(Model(folder), store, QUICK), "anonymize")
+    assert len(list((tmp_path / "store" / "answers").glob("part-*"))) == QUICK.tasks and calls(folder) == 40
