@@ -65,30 +65,31 @@ def anonymized(segments: DataFrame, outputs: DataFrame | None = None) -> DataFra
     return base.withColumns({"anonymized_text": F.coalesce("output", "raw_text"), "enhanced_text": F.lit("")}).drop("output")
 
 
-def _usage(outputs: DataFrame) -> DataFrame:
-    per_window = outputs.groupBy("call_id", "window_index").agg(F.max("called").alias("called"), F.max("failed").alias("failed"), F.max("latency_ms").alias("ms"), F.sum(F.length("source")).alias("chars"), F.count(F.lit(1)).alias("n"), F.count_if("fell_back").alias("back"))
+def _usage(outputs: DataFrame, **numbers: Column) -> DataFrame:
+    """Per call, what its calls took and gave, and the sums over segments of further ``numbers``, in one pass."""
+    per_window = outputs.groupBy("call_id", "window_index").agg(F.max("called").alias("called"), F.max("failed").alias("failed"), F.max("latency_ms").alias("ms"), F.sum(F.length("source")).alias("chars"), F.count(F.lit(1)).alias("n"), F.count_if("fell_back").alias("back"), *[F.sum(v).alias(k) for k, v in numbers.items()])
     c = F.col("called")
     g = per_window.groupBy("call_id").agg(
         F.count_if(c).alias("llm_calls_total"), F.sum(F.when(c, F.col("ms")).otherwise(0.0)).alias("llm_latency_total_ms"), F.sum(F.when(c, F.col("chars")).otherwise(0)).alias("__chars"), F.sum(F.when(c, F.col("n")).otherwise(0)).alias("__n"),
-        F.count_if("failed").alias("windows_failed"), F.sum("back").alias("fallback_segments"),
+        F.count_if("failed").alias("windows_failed"), F.sum("back").alias("fallback_segments"), *[F.sum(k).alias(k) for k in numbers],
     )
     per = lambda x: F.when(F.col("llm_calls_total") > 0, F.col(x) / F.greatest(F.lit(1), F.col("llm_calls_total"))).otherwise(F.lit(0.0))
     return g.withColumns({"avg_chars_per_llm_call": per("__chars"), "avg_segments_per_llm_call": per("__n")}).drop("__chars", "__n")
 
 
-def masked_entities(outputs: DataFrame) -> DataFrame:
-    """Per call, the sum of placeholder counts by entity, as a map."""
-    each = outputs.select("call_id", F.explode(T.placeholder_counts(F.col("output"))).alias("entity", "n"))
-    return each.groupBy("call_id", "entity").agg(F.sum("n").alias("n")).groupBy("call_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("entity", "n")))).alias("entity_mask_counts"))
-
-
 def anonymize_report(windows: DataFrame, outputs: DataFrame) -> DataFrame:
-    """One row per call with windows. Personal data is only looked for where a provider was called."""
-    seen = outputs.filter("called").withColumn("__pii", T.pii_candidate(F.col("source")))
-    masks = F.size(T.placeholder_counts(F.col("output"))) > 0
-    pii = seen.groupBy("call_id").agg(F.count_if("__pii").alias("pii_candidate_segments"), F.count_if(F.col("__pii") & masks).alias("masked_candidate_segments"))
-    rows = windows.groupBy("call_id").agg(F.count(F.lit(1)).alias("windows_total")).join(_usage(outputs), "call_id", "left").join(pii, "call_id", "left").fillna(0)
-    rows = rows.join(masked_entities(outputs.filter("called")), "call_id", "left").withColumn("entity_mask_counts", F.coalesce("entity_mask_counts", F.create_map().cast("map<string,bigint>")))
+    """One row per call with windows. Personal data is only looked for where a provider was called.
+
+    The outputs are read once: a window's numbers are summed over its segments, a call's over its windows.
+    """
+    called = F.col("called")
+    if_called = lambda c: F.when(called, c)
+    seen = outputs.withColumns({"__pii": if_called(T.pii_candidate(F.col("source"))), "__masks": if_called(T.placeholder_counts(F.col("output")))})
+    entities = {f"__{e}": F.try_element_at("__masks", F.lit(e)) for e in sorted(T.PLACEHOLDERS)}
+    usage = _usage(seen, pii_candidate_segments=F.col("__pii").cast("bigint"), masked_candidate_segments=(F.col("__pii") & (F.size("__masks") > 0)).cast("bigint"), **entities)
+    rows = windows.groupBy("call_id").agg(F.count(F.lit(1)).alias("windows_total")).join(usage, "call_id", "left").fillna(0)
+    counts = F.filter(F.array(*[F.struct(F.lit(e[2:]).alias("entity"), F.col(e).cast("bigint").alias("n")) for e in entities]), lambda x: x["n"] > 0)
+    rows = rows.withColumn("entity_mask_counts", F.map_from_entries(counts)).drop(*entities)
     return rows.withColumn("anonymization_recall_proxy", F.col("masked_candidate_segments") / F.greatest(F.lit(1), F.col("pii_candidate_segments")))
 
 
