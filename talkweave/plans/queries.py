@@ -373,8 +373,9 @@ def enhance_guarded(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("call_id", "position", "enhanced_text", "drifted", "skipped", "windowed")
 
 
-def _waves(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors as sound: 16-bit files of 8000 Hz, each vector's samples repeated to an eighth of a second."""
+def _waves(spark: SparkSession, sf: str, schema: str, *tasks) -> DataFrame:
+    """Vectors as sound: 16-bit files of 8000 Hz, each vector's samples repeated to an eighth of a second; then tasks of
+    ``audio`` in the same Python worker, as one for each would hold its own batches of files and libraries."""
     from collections.abc import Iterator
 
     import numpy as np
@@ -382,17 +383,25 @@ def _waves(spark: SparkSession, sf: str) -> DataFrame:
 
     def as_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"path": b["vec_id"].astype(str), "content": [audio.encode_wav(np.resize(np.asarray(v, float) * 0.5, 1000), 8000) for v in b["embedding"]]})
+            for at in range(0, len(b), 100):
+                some = b.iloc[at : at + 100]
+                yield pd.DataFrame({"path": some["vec_id"].astype(str), "content": [audio.encode_wav(np.resize(np.asarray(v, float) * 0.5, 1000), 8000) for v in some["embedding"]]})
 
-    return fixtures.table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(as_files, "path string, content binary")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = as_files(batches)
+        for task in tasks:
+            found = task(found)
+        return found
+
+    return fixtures.table(spark, sf, "embeddings").select("vec_id", "embedding").mapInPandas(run, schema)
 
 
 def audio_normalize(spark: SparkSession, sf: str) -> DataFrame:
-    return audio.normalised(_waves(spark, sf)).select("path", "sample_rate", r6("duration_sec"), "channels", "format")
+    return _waves(spark, sf, audio.NORMALISED, audio.normalising()).select("path", "sample_rate", r6("duration_sec"), "channels", "format")
 
 
 def audio_enhance(spark: SparkSession, sf: str) -> DataFrame:
-    rows = audio.enhanced(audio.normalised(_waves(spark, sf)).select("path", "wav"))
+    rows = _waves(spark, sf, audio.ENHANCED, audio.normalising(), audio.enhancing())
     return rows.select("path", "sample_rate", r6("duration_sec"), *[F.round(c, 3).alias(c) for c in ("input_rms_dbfs", "output_rms_dbfs", "input_peak_dbfs", "output_peak_dbfs")])
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from talkweave.plans import queries
 from talkweave.sources import audio, wav
 
 RNG = np.random.default_rng(4)
@@ -123,3 +124,12 @@ def test_stages_write_files(spark, tmp_path):
     again = audio.read_audio(spark, str(tmp_path / "normal")).withColumnRenamed("content", "wav")
     clean = wav.saved(audio.enhanced(again), str(tmp_path / "clean"), "float32")
     assert all(math.isclose(audio.dbfs(audio.rms(audio.decode_wav(open(r.output_path, "rb").read())[0])), r.output_rms_dbfs, abs_tol=1e-3) for r in clean.collect()) and clean.count() == 2
+
+
+def test_audio_tasks_share_a_worker(spark, sf):
+    files = queries._waves(spark, sf, "path string, content binary").limit(20)
+    apart = audio.enhanced(audio.normalised(files).select("path", "wav")).orderBy("path").collect()
+    one = lambda b: audio.enhancing()(audio.normalising()(b))
+    assert files.mapInPandas(one, audio.ENHANCED).orderBy("path").collect() == apart and len(apart) == 20
+    plan = queries.audio_enhance(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1
